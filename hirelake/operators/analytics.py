@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from hirelake.functions.keys import COMPANY_KEY_LEN, LOCATION_KEY_LEN, ROLE_KEY_LEN
+from hirelake.operators.joins import by_short_key
+
 GRAINS = ("day", "week", "month")
 
 
@@ -65,25 +68,20 @@ def star_rollup(
 ) -> DataFrame:
     """Adverts and employers per role, country and month, over the star schema.
 
-    Facts are counted by their keys before any dimension is joined: one shuffle of counts, and the
-    joins see the combinations that occur instead of the facts.
+    The dimensions are bounded by their short keys and the calendar by its months, so all joins are
+    lookups in the facts' own tasks; what is shuffled are partial counts.
     """
-    month = F.trunc("date_posted_fk", "month")
-    counted = fact.groupBy(
-        month.alias("month"), "role_fk", "company_fk", "location_fk"
-    ).agg(F.count(F.lit(1)).alias("n"))
     months = calendar.select(
         F.trunc("date_iso_format_pk", "month").alias("month"), "num_year", "num_month_in_year", "name_month_en"
     ).distinct()
-
-    def key(name: str) -> Column:
-        return F.col(name)
-
+    roles = by_short_key(roles, ROLE_KEY_LEN)
+    locations = by_short_key(locations, LOCATION_KEY_LEN)
+    companies = by_short_key(companies.select("company_pk"), COMPANY_KEY_LEN)
     return (
-        counted.join(months, "month")
-        .join(roles, key("role_fk") == key("role_pk"))
-        .join(locations, key("location_fk") == key("location_pk"))
-        .join(companies.select("company_pk"), key("company_fk") == key("company_pk"))
+        fact.join(F.broadcast(months), F.trunc("date_posted_fk", "month") == F.col("month"))
+        .join(roles, F.col("role_fk") == F.col("role_pk"))
+        .join(locations, F.col("location_fk") == F.col("location_pk"))
+        .join(companies, F.col("company_fk") == F.col("company_pk"))
         .groupBy("role", "country", "num_year", "num_month_in_year", "name_month_en")
-        .agg(F.sum("n").alias("n_ads"), F.count_distinct("company_fk").alias("n_companies"))
+        .agg(F.count(F.lit(1)).alias("n_ads"), F.count_distinct("company_fk").alias("n_companies"))
     )

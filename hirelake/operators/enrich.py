@@ -16,6 +16,7 @@ from hirelake.functions.keys import (
     surrogate_key,
 )
 from hirelake.functions.text import MISSING_TEXT, any_of, fold_accents
+from hirelake.operators.joins import lookup_join
 from hirelake.sources.iso import iso_names, iso_pattern, iso_table
 
 # The roles, in label order.
@@ -56,8 +57,7 @@ _LONGEST_PHRASE = 3
 def role_from_title(title: Column | str, rules: Sequence[tuple[str, str]] = TITLE_RULES) -> Column:
     """The role a title names: 'Other' when no rule matches, 'None' without a title."""
     lowered = F.lower(title)
-    role = F.when(F.col(title).isNull() if isinstance(title, str) else title.isNull(), F.lit(MISSING_TEXT))
-    role = role.when(F.trim(lowered) == "", F.lit(MISSING_TEXT))
+    role = F.when(F.isnull(title) | (F.trim(lowered) == ""), F.lit(MISSING_TEXT))
     for pattern, name in rules:
         role = role.when(F.rlike(lowered, F.lit(pattern)), F.lit(name))
     return role.otherwise(F.lit(OTHER_ROLE))
@@ -204,8 +204,15 @@ def _gazetteer_hits(distinct: DataFrame, gazetteer: DataFrame) -> DataFrame:
 
 
 def with_geo(df: DataFrame, gazetteer: DataFrame | None = None) -> DataFrame:
-    """Rows with the struct column ``geo``; NULL without a location."""
-    return df.join(resolve_locations(df, gazetteer), "location", "left")
+    """Rows (with a unique ``id``) and the struct column ``geo``; NULL without a location."""
+    return lookup_join(df, resolve_locations(df, gazetteer), "location", spread_by="id")
+
+
+def keyed_locations(df: DataFrame, gazetteer: DataFrame | None = None) -> DataFrame:
+    """The distinct locations with key, country and city: all that the location dimension needs."""
+    return resolve_locations(df, gazetteer).select(
+        surrogate_key("location", LOCATION_KEY_LEN).alias("location_key"), "geo.country", "geo.city"
+    )
 
 
 def with_keys(df: DataFrame) -> DataFrame:
@@ -220,6 +227,22 @@ def with_keys(df: DataFrame) -> DataFrame:
     )
 
 
+def keyed_postings(
+    raw: DataFrame,
+    rules: Sequence[tuple[str, str]] = TITLE_RULES,
+    tools: Sequence[str] = DEFAULT_TOOLS,
+) -> DataFrame:
+    """Raw adverts with role, tools and keys. Every row is handled by itself; nothing is shuffled."""
+    return with_keys(
+        raw.withColumns(
+            {
+                "role": role_from_title("title", rules),
+                "toolset_list": list_of_tools("job_description", tools),
+            }
+        )
+    )
+
+
 def clean_postings(
     raw: DataFrame,
     gazetteer: DataFrame | None = None,
@@ -227,12 +250,7 @@ def clean_postings(
     tools: Sequence[str] = DEFAULT_TOOLS,
 ) -> DataFrame:
     """Raw adverts with role, tools, place and keys, as columns of the clean table."""
-    enriched = with_geo(raw, gazetteer).withColumns(
-        {
-            "role": role_from_title("title", rules),
-            "country": F.col("geo.country"),
-            "city": F.col("geo.city"),
-            "toolset_list": list_of_tools("job_description", tools),
-        }
+    placed = with_geo(keyed_postings(raw, rules, tools), gazetteer)
+    return schemas.conform(
+        placed.withColumns({"country": F.col("geo.country"), "city": F.col("geo.city")}), schemas.CLEAN_JOBS
     )
-    return schemas.conform(with_keys(enriched), schemas.CLEAN_JOBS)

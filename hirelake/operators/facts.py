@@ -13,39 +13,32 @@ from hirelake.functions.keys import (
     EMPLOYMENT_TYPE_KEY_LEN,
     LOCATION_KEY_LEN,
     ROLE_KEY_LEN,
-    key_space,
 )
 from hirelake.operators import dims
+from hirelake.operators.joins import by_short_key
 from hirelake.operators.keyed import one_per_key, with_whole_key
 
-# A side of at most this many short keys is broadcast: about 100 MB as a hash table.
-BROADCAST_KEYS = 1 << 20
-
-
 def newest_first() -> list[Column]:
     """The order that puts the newest of several adverts with one fact key first."""
     return [F.desc("last_updated"), F.desc("id")]
 
 
 def fact_candidates(
-    clean: DataFrame, roles: DataFrame, companies: DataFrame, types: DataFrame, locations: DataFrame
+    adverts: DataFrame, roles: DataFrame, companies: DataFrame, types: DataFrame, locations: DataFrame
 ) -> DataFrame:
     """Adverts whose four keys all stand in their dimension, with their id.
 
     Only the keys of the dimensions are joined. A key of n hex digits has at most 16**n values, so
     these sides stay bounded however many adverts there are, and the adverts are not shuffled.
     """
-    joined = clean
+    joined = adverts
     for dim, pk, key, length in (
         (roles, "role_pk", "role_key", ROLE_KEY_LEN),
         (companies, "company_pk", "company_key", COMPANY_KEY_LEN),
         (types, "employment_type_pk", "employment_type_key", EMPLOYMENT_TYPE_KEY_LEN),
         (locations, "location_pk", "location_key", LOCATION_KEY_LEN),
     ):
-        side = dim.select(pk)
-        if key_space(length) <= BROADCAST_KEYS:
-            side = F.broadcast(side)
-        joined = joined.join(side, F.col(key) == F.col(pk))
+        joined = joined.join(by_short_key(dim.select(pk), length), F.col(key) == F.col(pk))
     return joined.select(
         "id",
         F.col("date_posted").alias("date_posted_fk"),
@@ -58,14 +51,14 @@ def fact_candidates(
     )
 
 
-def candidates_with_own_dims(clean: DataFrame) -> DataFrame:
+def candidates_with_own_dims(adverts: DataFrame) -> DataFrame:
     """Fact candidates against the dimensions the same adverts give."""
     return fact_candidates(
-        clean,
-        dims.role_dim(clean),
-        dims.company_dim(clean),
-        dims.employment_type_dim(clean),
-        dims.location_dim(clean),
+        adverts,
+        dims.role_dim(adverts),
+        dims.company_dim(adverts),
+        dims.employment_type_dim(adverts),
+        adverts.select(F.col("location_key").alias("location_pk")).where("location_pk IS NOT NULL").distinct(),
     )
 
 
@@ -77,9 +70,9 @@ def fact_rows(candidates: DataFrame) -> DataFrame:
     )
 
 
-def fact_load(clean: DataFrame) -> DataFrame:
-    """The fact table of one batch of clean adverts."""
-    return fact_rows(candidates_with_own_dims(clean))
+def fact_load(adverts: DataFrame) -> DataFrame:
+    """The fact table of one batch of adverts with keys."""
+    return fact_rows(candidates_with_own_dims(adverts))
 
 
 def daily_snapshot(fact: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:

@@ -1,0 +1,33 @@
+"""Joins that add the columns of a lookup table to many rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from hirelake.functions.keys import key_space
+
+# A side of at most this many short rows is broadcast: about 100 MB as a hash table.
+BROADCAST_ROWS = 1 << 20
+SALTS = 16
+
+
+def by_short_key(dim: DataFrame, key_length: int) -> DataFrame:
+    """A side with one row per key of ``key_length`` hex digits, to be broadcast where that bounds it."""
+    return F.broadcast(dim) if key_space(key_length) <= BROADCAST_ROWS else dim
+
+
+def lookup_join(
+    rows: DataFrame, lookup: DataFrame, key: str, spread_by: str, max_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Left join with a table that has one row per key.
+
+    The table is counted first and broadcast if it is small enough, so the rows are not shuffled.
+    A larger one is repeated once per salt, and the rows of each key are spread over the salts by
+    ``spread_by``: a key that holds a third of all rows goes to many tasks.
+    """
+    if lookup.select(key).limit(max_rows + 1).count() <= max_rows:
+        return rows.join(F.broadcast(lookup), key, "left")
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
+    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    return salted.join(repeated, [key, "_salt"], "left").drop("_salt")

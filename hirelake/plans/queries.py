@@ -41,6 +41,17 @@ def clean(spark: SparkSession, folder: str, descriptions: bool = False) -> DataF
     )
 
 
+def keyed_adverts(spark: SparkSession, folder: str, descriptions: bool = False) -> DataFrame:
+    """The same adverts without country and city, which facts and most dimensions do not need."""
+    adverts = fixtures.postings(spark, folder, descriptions)
+    return enrich.keyed_postings(adverts, fixtures.SEGMENT_ROLES, fixtures.PROSE_TOOLS)
+
+
+def places(spark: SparkSession, folder: str) -> DataFrame:
+    """The distinct locations of the adverts with key, country and city."""
+    return enrich.keyed_locations(fixtures.postings(spark, folder), fixtures.gazetteer(spark, folder))
+
+
 def calendar_of(adverts: DataFrame) -> DataFrame:
     """The calendar from the first to the last posting date."""
     bounds = adverts.agg(F.min("date_posted").alias("first"), F.max("date_posted").alias("last"))
@@ -247,33 +258,33 @@ def date_dim(spark, folder):
 
 @query
 def role_dim(spark, folder):
-    return dims.role_dim(clean(spark, folder))
+    return dims.role_dim(keyed_adverts(spark, folder))
 
 
 @query
 def employment_type_dim(spark, folder):
-    return dims.employment_type_dim(clean(spark, folder))
+    return dims.employment_type_dim(keyed_adverts(spark, folder))
 
 
 @query
 def company_dim(spark, folder):
-    return dims.company_dim(clean(spark, folder))
+    return dims.company_dim(keyed_adverts(spark, folder))
 
 
 @query
 def location_dim(spark, folder):
-    return dims.location_dim(clean(spark, folder))
+    return dims.location_dim(places(spark, folder))
 
 
 @query
 def fact_load(spark, folder):
-    return facts.fact_load(clean(spark, folder, descriptions=True))
+    return facts.fact_load(keyed_adverts(spark, folder, descriptions=True))
 
 
 @query
 def scd1_upsert(spark, folder):
     """Two batches, even ids then odd ids: the later batch replaces facts of the same key."""
-    candidates = facts.candidates_with_own_dims(clean(spark, folder))
+    candidates = facts.candidates_with_own_dims(keyed_adverts(spark, folder))
     first = facts.fact_rows(candidates.where("id % 2 = 0"))
     return keyed.upsert(first, candidates.where("id % 2 = 1"), schemas.FACT.key, facts.newest_first())
 
@@ -281,14 +292,14 @@ def scd1_upsert(spark, folder):
 @query
 def lookup_update(spark, folder):
     """Adverts without role key get it from the role dimension by role name."""
-    adverts = clean(spark, folder)
+    adverts = keyed_adverts(spark, folder)
     blank = adverts.select("id", "role", F.lit(None).cast("string").alias("role_key"))
     return facts.lookup_update(blank, "role_key", dims.role_dim(adverts), "role_pk", "role")
 
 
 @query
 def daily_snapshot(spark, folder):
-    fact = facts.fact_load(clean(spark, folder))
+    fact = facts.fact_load(keyed_adverts(spark, folder))
     return facts.daily_snapshot(fact, SNAPSHOT_DAY).unionByName(
         facts.daily_snapshot(fact, SNAPSHOT_DAY_WITHOUT_ADS)
     )
@@ -296,7 +307,7 @@ def daily_snapshot(spark, folder):
 
 @query
 def snapshot_history(spark, folder):
-    return facts.snapshot_history(facts.fact_load(clean(spark, folder)))
+    return facts.snapshot_history(facts.fact_load(keyed_adverts(spark, folder)))
 
 
 @query
@@ -318,19 +329,19 @@ def days_opened(spark, folder):
 
 @query
 def star_rollup(spark, folder):
-    adverts = clean(spark, folder)
+    adverts = keyed_adverts(spark, folder)
     return analytics.star_rollup(
         facts.fact_load(adverts),
-        calendar_of(fixtures.postings(spark, folder)),
+        calendar_of(adverts),
         dims.role_dim(adverts),
         dims.company_dim(adverts),
-        dims.location_dim(adverts),
+        dims.location_dim(places(spark, folder)),
     )
 
 
 @query
 def trend_by_role_month(spark, folder):
-    return analytics.trend_by_role(clean(spark, folder))
+    return analytics.trend_by_role(keyed_adverts(spark, folder))
 
 
 @query
@@ -357,18 +368,15 @@ def top_hiring_companies(spark, folder):
 def dq_pk_violations(spark, folder):
     """Repeated raw keys, and fact keys that repeat before the upsert."""
     raw = quality.pk_violations(fixtures.postings(spark, folder), schemas.RAW_JOBS)
-    candidates = facts.candidates_with_own_dims(clean(spark, folder))
+    candidates = facts.candidates_with_own_dims(keyed_adverts(spark, folder))
     return raw.unionByName(quality.pk_violations(candidates, schemas.FACT))
 
 
 @query
 def dq_unique_label(spark, folder):
     """Companies with several keys (none), and places with several location keys (pages)."""
-    companies = dims.company_dim(clean(spark, folder))
-    pages = enrich.with_geo(fixtures.page_postings(spark, folder)).select(
-        keys.surrogate_key("location", keys.LOCATION_KEY_LEN).alias("location_key"), "geo.*"
-    )
-    locations = dims.location_dim(pages)
+    companies = dims.company_dim(keyed_adverts(spark, folder))
+    locations = dims.location_dim(enrich.keyed_locations(fixtures.page_postings(spark, folder)))
     return quality.unique_violations(companies, "company_dim", ["company"], "company_pk").unionByName(
         quality.unique_violations(locations, "location_dim", ["country", "city"], "location_pk")
     )
@@ -377,14 +385,14 @@ def dq_unique_label(spark, folder):
 @query
 def dq_fk_orphans(spark, folder):
     """Facts against a calendar and a company dimension that were loaded too early."""
-    adverts = clean(spark, folder)
+    adverts = keyed_adverts(spark, folder)
     early = adverts.where(F.col("date_posted") <= F.lit(DIMENSION_LOADED_UNTIL).cast("date"))
     references = {
         "date_posted_fk": (dims.date_dim(spark, *CALENDAR_OF_REPORT), "date_iso_format_pk"),
         "role_fk": (dims.role_dim(adverts), "role_pk"),
         "company_fk": (dims.company_dim(early), "company_pk"),
         "employment_type_fk": (dims.employment_type_dim(adverts), "employment_type_pk"),
-        "location_fk": (dims.location_dim(adverts), "location_pk"),
+        "location_fk": (dims.location_dim(places(spark, folder)), "location_pk"),
     }
     return quality.fk_orphans(facts.fact_load(adverts), references)
 
@@ -413,7 +421,7 @@ def dq_key_collisions(spark, folder):
 
 @query
 def dq_date_coverage(spark, folder):
-    fact = facts.fact_load(clean(spark, folder))
+    fact = facts.fact_load(keyed_adverts(spark, folder))
     return quality.date_coverage(fact, dims.date_dim(spark, *CALENDAR_OF_REPORT))
 
 

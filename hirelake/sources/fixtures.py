@@ -53,11 +53,10 @@ def postings(spark: SparkSession, folder: str, descriptions: bool = False) -> Da
     customer = read_table(spark, folder, "customer")
     nation = read_table(spark, folder, "nation")
     region = read_table(spark, folder, "region")
-    adverts = (
-        orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    )
+    # The small tables meet first, so the orders are joined only once.
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    companies = customer.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    adverts = orders.join(companies, F.col("o_custkey") == F.col("c_custkey"))
     description = F.lit(None).cast("string")
     if descriptions:
         documents = read_table(spark, folder, "documents").select("doc_id", "text")
