@@ -149,31 +149,21 @@ def unescape_entities(text: Column | str) -> Column:
         )
         known = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
         character = F.decode(F.unhex(F.lpad(F.hex(code.cast("long")), 8, "0")), "UTF-32")
-        return F.when(
-            known, F.concat(character, F.regexp_replace(part, r"^[xX]?[0-9a-fA-F]+;", ""))
-        ).otherwise(F.concat(F.lit("&#"), part))
-
-    numeric = F.when(
-        F.contains(text, F.lit("&#")),
-        F.array_join(
-            F.concat(
-                F.slice(parts, 1, 1),
-                F.transform(F.slice(parts, F.lit(2), F.size(parts)), decode),
-            ),
-            "",
-        ),
-    ).otherwise(text)
-    decoded = numeric
+        rest = F.regexp_replace(part, r"^[xX]?[0-9a-fA-F]+;", "")
+        return F.when(known, F.concat(character, rest)).otherwise(F.concat(F.lit("&#"), part))
+
+    numbered = F.transform(F.slice(parts, F.lit(2), F.size(parts)), decode)
+    decoded = F.array_join(F.concat(F.slice(parts, 1, 1), numbered), "")
     for entity, character in NAMED_ENTITIES.items():
         decoded = F.replace(decoded, F.lit(entity), F.lit(character))
     return decoded
 
 
 def any_of(terms: Iterable[str]) -> str:
-    """A regular expression that matches any of the terms, the longest one where several begin.
+    """A regular expression for whole words or phrases in any letter case, as spelled in the text.
 
-    Terms are grouped by their first character, so a position in the text is compared with the
-    terms of one letter only. White space in a term matches one blank.
+    Where several terms begin at one place the longest one matches. Most places of a text are ruled
+    out by the first character alone; the others are compared with the terms of one letter only.
     """
     groups: dict[str, list[str]] = {}
     for term in terms:
@@ -182,7 +172,9 @@ def any_of(terms: Iterable[str]) -> str:
     for first, members in groups.items():
         rests = sorted((m[1:] for m in set(members)), key=lambda r: (-len(r), r))
         alternatives.append(_quote(first) + "(?:" + "|".join(_quote(r) for r in rests) + ")")
-    return "(?:" + "|".join(alternatives) + ")"
+    firsts = "".join(_quote(c) for first in groups for c in sorted({first, first.upper()}))
+    word = r"[\p{L}\p{N}_]"
+    return f"(?=[{firsts}])(?<!{word})(?i:{'|'.join(alternatives)})(?!{word})"
 
 
 def _quote(literal: str) -> str:

@@ -69,8 +69,7 @@ def tools_in(text: Column | str, tools: Sequence[str] = DEFAULT_TOOLS) -> Column
     Where several tools begin at one place the longest wins. One regular expression does all of it
     inside the scan's stage: no row is added and nothing is shuffled.
     """
-    pattern = rf"(?<![\p{{L}}\p{{N}}_])(?i:{any_of(tools)})(?![\p{{L}}\p{{N}}_])"
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(any_of(tools)), F.lit(0))
 
 
 def list_of_tools(text: Column | str, tools: Sequence[str] = DEFAULT_TOOLS) -> Column:
@@ -81,8 +80,8 @@ def list_of_tools(text: Column | str, tools: Sequence[str] = DEFAULT_TOOLS) -> C
 def tool_spans(docs: DataFrame, id_col: str, text: Column | str, lexicon: DataFrame) -> DataFrame:
     """Where a text names tools: id, first word, number of words, tool.
 
-    For a lexicon table (column ``term``) of any size: words are joined with the first words of the
-    terms, and only hits go on. Where hits overlap the earlier wins, then the longer one.
+    For a lexicon table (column ``term``) of any size: words are looked up among the first words of
+    the terms, and only hits go on. Where hits overlap the earlier wins, then the longer one.
     """
     terms = _phrases(lexicon.select("term"))
     words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
@@ -94,9 +93,11 @@ def tool_spans(docs: DataFrame, id_col: str, text: Column | str, lexicon: DataFr
             )
         ).alias("start", "place"),
     )
+    begun = places.select(
+        id_col, "start", F.col("place.first").alias("first"), F.col("place.ahead").alias("ahead")
+    )
     hits = (
-        places.select(id_col, "start", F.col("place.first").alias("first"), F.col("place.ahead").alias("ahead"))
-        .join(terms, "first")
+        lookup_join(begun, terms, "first", spread_by="start", how="inner")
         .where(F.array_join(F.slice("ahead", F.lit(1), F.col("n_words")), " ") == F.col("term"))
     )
     # A group holds the hits of one text, which was one value before.

@@ -14,7 +14,6 @@ from hirelake.functions.keys import (
     LOCATION_KEY_LEN,
     ROLE_KEY_LEN,
 )
-from hirelake.operators import dims
 from hirelake.operators.joins import by_short_key
 from hirelake.operators.keyed import one_per_key, with_whole_key
 
@@ -51,14 +50,21 @@ def fact_candidates(
     )
 
 
-def candidates_with_own_dims(adverts: DataFrame) -> DataFrame:
-    """Fact candidates against the dimensions the same adverts give."""
-    return fact_candidates(
-        adverts,
-        dims.role_dim(adverts),
-        dims.company_dim(adverts),
-        dims.employment_type_dim(adverts),
-        adverts.select(F.col("location_key").alias("location_pk")).where("location_pk IS NOT NULL").distinct(),
+def batch_candidates(adverts: DataFrame) -> DataFrame:
+    """Fact candidates of adverts whose dimensions are loaded from these same adverts.
+
+    A key then stands in its dimension unless it is NULL, so the four joins come to a NULL check,
+    which ``fact_rows`` makes.
+    """
+    return adverts.select(
+        "id",
+        F.col("date_posted").alias("date_posted_fk"),
+        F.col("role_key").alias("role_fk"),
+        F.col("company_key").alias("company_fk"),
+        F.col("employment_type_key").alias("employment_type_fk"),
+        F.col("location_key").alias("location_fk"),
+        "toolset_list",
+        F.col("metadata_lastupdated").alias("last_updated"),
     )
 
 
@@ -70,11 +76,6 @@ def fact_rows(candidates: DataFrame) -> DataFrame:
     )
 
 
-def fact_load(adverts: DataFrame) -> DataFrame:
-    """The fact table of one batch of adverts with keys."""
-    return fact_rows(candidates_with_own_dims(adverts))
-
-
 def daily_snapshot(fact: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
     """How many facts were last updated on a day (today by default). Always one row."""
     day = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")

@@ -18,16 +18,22 @@ def by_short_key(dim: DataFrame, key_length: int) -> DataFrame:
 
 
 def lookup_join(
-    rows: DataFrame, lookup: DataFrame, key: str, spread_by: str, max_rows: int = BROADCAST_ROWS
+    rows: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    spread_by: str,
+    how: str = "left",
+    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Left join with a table that has one row per key.
+    """Join many rows with a lookup table.
 
     The table is counted first and broadcast if it is small enough, so the rows are not shuffled.
     A larger one is repeated once per salt, and the rows of each key are spread over the salts by
     ``spread_by``: a key that holds a third of all rows goes to many tasks.
     """
     if lookup.select(key).limit(max_rows + 1).count() <= max_rows:
-        return rows.join(F.broadcast(lookup), key, "left")
+        return rows.join(F.broadcast(lookup), key, how)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
-    return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
+    salts = F.array(*[F.lit(salt).cast("bigint") for salt in range(SALTS)])
+    repeated = lookup.withColumn("_salt", F.explode(salts))
+    return salted.join(repeated, [key, "_salt"], how).drop("_salt")

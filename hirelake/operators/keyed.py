@@ -65,26 +65,28 @@ def rank_by_id(df: DataFrame, id_col: str, group: Sequence[str] = (), name: str
     into blocks of 2**16: rows are ranked inside their block, and counts of the blocks before it are
     added. Blocks are summed in spans of 2**40 ids first, so no window sees more than 2**24 rows.
     """
-    group = list(group)
-    block, span = F.shiftright(id_col, _LOW_BITS), F.shiftright(id_col, _HIGH_BITS)
-    blocks = df.groupBy(*group, block.alias("_block"), span.alias("_span")).agg(F.count(F.lit(1)).alias("_n"))
-    spans = blocks.groupBy(*group, "_span").agg(F.sum("_n").alias("_n"))
+    # Keys are structs because a NULL inside a struct equals another NULL: such groups count too.
+    in_block = F.struct(*group, F.shiftright(id_col, _LOW_BITS).alias("_block"))
+    in_span = F.struct(*group, F.shiftright(id_col, _HIGH_BITS).alias("_span"))
+    blocks = df.groupBy(in_block.alias("_in_block"), in_span.alias("_in_span")).agg(F.count(F.lit(1)).alias("_n"))
+    spans = blocks.groupBy("_in_span").agg(F.sum("_n").alias("_n"))
 
-    def before(partition: list[str], order: str) -> Column:
+    def before(partition: list[Column], order: str) -> Column:
         window = W.partitionBy(*partition).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
         return F.coalesce(F.sum("_n").over(window), F.lit(0))
 
-    span_starts = spans.select(*group, "_span", before(group, "_span").alias("_span_start"))
+    groups = [F.col(f"_in_span.{name}") for name in group]
+    span_starts = spans.select("_in_span", before(groups, "_in_span._span").alias("_span_start"))
     starts = (
-        blocks.withColumn("_in_span", before([*group, "_span"], "_block"))
-        .join(span_starts, [*group, "_span"])
-        .select(*group, "_block", (F.col("_span_start") + F.col("_in_span")).alias("_start"))
+        blocks.withColumn("_earlier", before([F.col("_in_span")], "_in_block._block"))
+        .join(span_starts, "_in_span")
+        .select("_in_block", (F.col("_span_start") + F.col("_earlier")).alias("_start"))
     )
-    local = F.row_number().over(W.partitionBy(*group, "_block").orderBy(id_col))
+    local = F.row_number().over(W.partitionBy("_in_block").orderBy(id_col))
     return (
-        df.withColumn("_block", block)
+        df.withColumn("_in_block", in_block)
         .withColumn("_local", local)
-        .join(starts, [*group, "_block"])
+        .join(starts, "_in_block")
         .select(*df.columns, (F.col("_start") + F.col("_local")).alias(name))
     )
 

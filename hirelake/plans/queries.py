@@ -47,6 +47,18 @@ def keyed_adverts(spark: SparkSession, folder: str, descriptions: bool = False)
     return enrich.keyed_postings(adverts, fixtures.SEGMENT_ROLES, fixtures.PROSE_TOOLS)
 
 
+def stored_adverts(spark: SparkSession, folder: str, descriptions: bool = False) -> DataFrame:
+    """The same adverts, written once and read back: several tables are built from them."""
+    path = scratch_path(spark, "adverts")
+    keyed_adverts(spark, folder, descriptions).drop("job_description").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def batch_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """The facts of the adverts."""
+    return facts.fact_rows(facts.batch_candidates(keyed_adverts(spark, folder)))
+
+
 def places(spark: SparkSession, folder: str) -> DataFrame:
     """The distinct locations of the adverts with key, country and city."""
     return enrich.keyed_locations(fixtures.postings(spark, folder), fixtures.gazetteer(spark, folder))
@@ -73,8 +85,7 @@ def extract_page_fields(spark, folder):
 
 @query
 def extract_page_text(spark, folder):
-    pages = read_table(spark, folder, "pages")
-    return pages.select(
+    return fixtures.pages(spark, folder).select(
         "page_id",
         visible_text(element_html("html", "article")).alias("description"),
         visible_text("html").alias("page_text"),
@@ -151,14 +162,12 @@ def surrogate_keys(spark, folder):
 
 @query
 def squeeze_whitespace(spark, folder):
-    documents = read_table(spark, folder, "documents")
-    return documents.select("doc_id", text.squeeze_whitespace("text").alias("squeezed"))
+    return fixtures.documents(spark, folder).select("doc_id", text.squeeze_whitespace("text").alias("squeezed"))
 
 
 @query
 def fold_accents(spark, folder):
-    documents = read_table(spark, folder, "documents")
-    return documents.select("doc_id", text.fold_accents("text").alias("folded"))
+    return fixtures.documents(spark, folder).select("doc_id", text.fold_accents("text").alias("folded"))
 
 
 @query
@@ -278,13 +287,22 @@ def location_dim(spark, folder):
 
 @query
 def fact_load(spark, folder):
-    return facts.fact_load(keyed_adverts(spark, folder, descriptions=True))
+    """Dimensions and fact of one batch: four joins on the keys, then the newest advert per fact key."""
+    adverts = stored_adverts(spark, folder, descriptions=True)
+    candidates = facts.fact_candidates(
+        adverts,
+        dims.role_dim(adverts),
+        dims.company_dim(adverts),
+        dims.employment_type_dim(adverts),
+        dims.location_dim(places(spark, folder)),
+    )
+    return facts.fact_rows(candidates)
 
 
 @query
 def scd1_upsert(spark, folder):
     """Two batches, even ids then odd ids: the later batch replaces facts of the same key."""
-    candidates = facts.candidates_with_own_dims(keyed_adverts(spark, folder))
+    candidates = facts.batch_candidates(keyed_adverts(spark, folder))
     first = facts.fact_rows(candidates.where("id % 2 = 0"))
     return keyed.upsert(first, candidates.where("id % 2 = 1"), schemas.FACT.key, facts.newest_first())
 
@@ -299,7 +317,7 @@ def lookup_update(spark, folder):
 
 @query
 def daily_snapshot(spark, folder):
-    fact = facts.fact_load(keyed_adverts(spark, folder))
+    fact = batch_fact(spark, folder)
     return facts.daily_snapshot(fact, SNAPSHOT_DAY).unionByName(
         facts.daily_snapshot(fact, SNAPSHOT_DAY_WITHOUT_ADS)
     )
@@ -307,7 +325,7 @@ def daily_snapshot(spark, folder):
 
 @query
 def snapshot_history(spark, folder):
-    return facts.snapshot_history(facts.fact_load(keyed_adverts(spark, folder)))
+    return facts.snapshot_history(batch_fact(spark, folder))
 
 
 @query
@@ -329,9 +347,9 @@ def days_opened(spark, folder):
 
 @query
 def star_rollup(spark, folder):
-    adverts = keyed_adverts(spark, folder)
+    adverts = stored_adverts(spark, folder)
     return analytics.star_rollup(
-        facts.fact_load(adverts),
+        facts.fact_rows(facts.batch_candidates(adverts)),
         calendar_of(adverts),
         dims.role_dim(adverts),
         dims.company_dim(adverts),
@@ -368,7 +386,7 @@ def top_hiring_companies(spark, folder):
 def dq_pk_violations(spark, folder):
     """Repeated raw keys, and fact keys that repeat before the upsert."""
     raw = quality.pk_violations(fixtures.postings(spark, folder), schemas.RAW_JOBS)
-    candidates = facts.candidates_with_own_dims(keyed_adverts(spark, folder))
+    candidates = facts.batch_candidates(keyed_adverts(spark, folder))
     return raw.unionByName(quality.pk_violations(candidates, schemas.FACT))
 
 
@@ -385,7 +403,7 @@ def dq_unique_label(spark, folder):
 @query
 def dq_fk_orphans(spark, folder):
     """Facts against a calendar and a company dimension that were loaded too early."""
-    adverts = keyed_adverts(spark, folder)
+    adverts = stored_adverts(spark, folder)
     early = adverts.where(F.col("date_posted") <= F.lit(DIMENSION_LOADED_UNTIL).cast("date"))
     references = {
         "date_posted_fk": (dims.date_dim(spark, *CALENDAR_OF_REPORT), "date_iso_format_pk"),
@@ -394,7 +412,7 @@ def dq_fk_orphans(spark, folder):
         "employment_type_fk": (dims.employment_type_dim(adverts), "employment_type_pk"),
         "location_fk": (dims.location_dim(places(spark, folder)), "location_pk"),
     }
-    return quality.fk_orphans(facts.fact_load(adverts), references)
+    return quality.fk_orphans(facts.fact_rows(facts.batch_candidates(adverts)), references)
 
 
 @query
@@ -421,7 +439,7 @@ def dq_key_collisions(spark, folder):
 
 @query
 def dq_date_coverage(spark, folder):
-    fact = facts.fact_load(keyed_adverts(spark, folder))
+    fact = batch_fact(spark, folder)
     return quality.date_coverage(fact, dims.date_dim(spark, *CALENDAR_OF_REPORT))
 
 

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.functions.text import squeeze_whitespace
-from hirelake.sources.pages import element_html, extract_fields, visible_text
-from hirelake.sources.tables import read_table
+from hirelake.sources.pages import extract_fields
+from hirelake.sources.tables import read_table, spread
 
 # Role rules for the titles of these views: pattern in the lower-case title, role.
 SEGMENT_ROLES = (
@@ -60,7 +60,7 @@ def postings(spark: SparkSession, folder: str, descriptions: bool = False) -> Da
     description = F.lit(None).cast("string")
     if descriptions:
         documents = read_table(spark, folder, "documents").select("doc_id", "text")
-        adverts = adverts.join(documents, F.col("o_orderkey") == F.col("doc_id"), "left")
+        adverts = spread(adverts, "o_orderkey").join(documents, F.col("o_orderkey") == F.col("doc_id"), "left")
         description = squeeze_whitespace("text")
     return adverts.select(
         F.col("o_orderkey").alias("id"),
@@ -85,9 +85,16 @@ def gazetteer(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def page_postings(spark: SparkSession, folder: str, text: bool = False) -> DataFrame:
+def pages(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(read_table(spark, folder, "pages"), "page_id")
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(read_table(spark, folder, "documents"), "doc_id")
+
+
+def page_postings(spark: SparkSession, folder: str) -> DataFrame:
     """Adverts from stored pages: heading, host and language segment of the address."""
-    pages = read_table(spark, folder, "pages")
     lang = F.upper(F.regexp_extract("url", r"^[a-z]+://[^/]+/([a-z]{2})/", 1))
     columns = [
         F.col("page_id").alias("id"),
@@ -96,14 +103,12 @@ def page_postings(spark: SparkSession, folder: str, text: bool = False) -> DataF
         lang.alias("lang_code"),
         F.col("url").alias("metadata_application_link"),
     ]
-    if text:
-        columns.append(visible_text(element_html("html", "article")).alias("job_description"))
-    return pages.select(*columns).withColumn("location", F.concat("company", F.lit(" "), "lang_code"))
+    return read_table(spark, folder, "pages").select(*columns).withColumn("location", F.concat("company", F.lit(" "), "lang_code"))
 
 
 def descriptions(spark: SparkSession, folder: str) -> DataFrame:
     """Descriptions: the documents, blanks squeezed."""
-    return read_table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         F.col("doc_id").alias("id"),
         squeeze_whitespace("text").alias("job_description"),
         "lang",
