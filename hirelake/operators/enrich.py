@@ -85,21 +85,24 @@ def tool_spans(docs: DataFrame, id_col: str, text: Column | str, lexicon: DataFr
     """
     terms = _phrases(lexicon.select("term"))
     words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
-    places = docs.select(id_col, words.alias("_words")).select(
-        id_col,
-        F.posexplode(
-            F.transform(
-                "_words", lambda w, i: F.struct(w.alias("first"), F.slice("_words", i + 1, _LONGEST_PHRASE).alias("ahead"))
-            )
-        ).alias("start", "place"),
-    )
-    begun = places.select(
-        id_col, "start", F.col("place.first").alias("first"), F.col("place.ahead").alias("ahead")
-    )
-    hits = (
-        lookup_join(begun, terms, "first", spread_by="start", how="inner")
-        .where(F.array_join(F.slice("ahead", F.lit(1), F.col("n_words")), " ") == F.col("term"))
+    rest = F.size("_words")
+    ahead = F.arrays_zip(F.col("_words"), *[F.slice("_words", n, rest) for n in range(2, _LONGEST_PHRASE + 1)])
+    begun = (
+        docs.select(id_col, words.alias("_words"))
+        .select(id_col, F.posexplode(ahead).alias("start", "ahead"))
+        .select(
+            id_col,
+            "start",
+            F.col("ahead._words").alias("first"),
+            *[F.col(f"ahead.`{n}`").alias(f"w{n}") for n in range(1, _LONGEST_PHRASE)],
+        )
     )
+    phrase = F.when(F.col("n_words") == 1, F.col("first"))
+    for n in range(2, _LONGEST_PHRASE + 1):
+        phrase = phrase.when(
+            F.col("n_words") == n, F.concat_ws(" ", "first", *[f"w{i}" for i in range(1, n)])
+        )
+    hits = lookup_join(begun, terms, "first", spread_by="start", how="inner").where(phrase == F.col("term"))
     # A group holds the hits of one text, which was one value before.
     ordered = F.sort_array(
         F.collect_list(F.struct("start", (-F.col("n_words")).alias("shorter"), "n_words", "term"))
@@ -141,6 +144,10 @@ def _without_overlaps(hits: Column) -> Column:
     return F.aggregate(hits, state, step, lambda acc: acc["kept"])
 
 
+def distinct_locations(df: DataFrame) -> DataFrame:
+    return df.select("location").where("location IS NOT NULL").distinct()
+
+
 def resolve_locations(locations: DataFrame, gazetteer: DataFrame | None = None) -> DataFrame:
     """Country and city of each distinct location text: location, geo(country, city).
 
@@ -149,7 +156,7 @@ def resolve_locations(locations: DataFrame, gazetteer: DataFrame | None = None)
     Texts repeat a lot, so only distinct ones are looked up.
     """
     spark = locations.sparkSession
-    distinct = locations.select("location").where("location IS NOT NULL").distinct()
+    distinct = distinct_locations(locations)
     not_defined = F.lit(NOT_DEFINED)
     place = F.lit(None).cast("struct<country:string,city:string>")
     found = distinct
@@ -171,8 +178,8 @@ def _gazetteer_hits(distinct: DataFrame, gazetteer: DataFrame) -> DataFrame:
     def normal(text: Column | str) -> Column:
         return F.lower(fold_accents(text))
 
-    words = F.regexp_extract_all(normal("location"), F.lit(r"[\p{L}\p{N}_'.\-]+"), F.lit(0))
-    counted = distinct.withColumn("_words", words)
+    words = F.regexp_extract_all("_text", F.lit(r"[\p{L}\p{N}_'.\-]+"), F.lit(0))
+    counted = distinct.withColumn("_text", normal("location")).withColumn("_words", words)
     starts = F.transform("_words", lambda _, i: i)
 
     def of_length(n: int) -> Column:
@@ -189,7 +196,7 @@ def _gazetteer_hits(distinct: DataFrame, gazetteer: DataFrame) -> DataFrame:
     hit = F.when(
         F.col("city").isNotNull(),
         F.struct(
-            (~F.contains(normal("location"), F.col("_country"))).alias("elsewhere"),
+            (~F.contains(F.col("_text"), F.col("_country"))).alias("elsewhere"),
             "start",
             "shorter",
             "country",
@@ -197,7 +204,7 @@ def _gazetteer_hits(distinct: DataFrame, gazetteer: DataFrame) -> DataFrame:
         ),
     )
     return (
-        counted.select("location", F.inline_outer(phrases))
+        counted.select("location", "_text", F.inline_outer(phrases))
         .join(places, "phrase", "left")
         .groupBy("location")
         .agg(F.min(hit).alias("hit"))
@@ -206,7 +213,9 @@ def _gazetteer_hits(distinct: DataFrame, gazetteer: DataFrame) -> DataFrame:
 
 def with_geo(df: DataFrame, gazetteer: DataFrame | None = None) -> DataFrame:
     """Rows (with a unique ``id``) and the struct column ``geo``; NULL without a location."""
-    return lookup_join(df, resolve_locations(df, gazetteer), "location", spread_by="id")
+    return lookup_join(
+        df, resolve_locations(df, gazetteer), "location", spread_by="id", counted=distinct_locations(df)
+    )
 
 
 def keyed_locations(df: DataFrame, gazetteer: DataFrame | None = None) -> DataFrame:

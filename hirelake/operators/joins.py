@@ -23,15 +23,17 @@ def lookup_join(
     key: str,
     spread_by: str,
     how: str = "left",
+    counted: DataFrame | None = None,
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join many rows with a lookup table.
 
-    The table is counted first and broadcast if it is small enough, so the rows are not shuffled.
+    The table (or ``counted``, with as many rows but less work) is counted first. If it is small
+    enough it is broadcast, and the rows are not shuffled.
     A larger one is repeated once per salt, and the rows of each key are spread over the salts by
     ``spread_by``: a key that holds a third of all rows goes to many tasks.
     """
-    if lookup.select(key).limit(max_rows + 1).count() <= max_rows:
+    if (lookup if counted is None else counted).select(key).limit(max_rows + 1).count() <= max_rows:
         return rows.join(F.broadcast(lookup), key, how)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
     salts = F.array(*[F.lit(salt).cast("bigint") for salt in range(SALTS)])

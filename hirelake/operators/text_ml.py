@@ -29,17 +29,20 @@ def train_text_classifier(
 
     Its size depends on the number of hashed features and classes, not on the data.
     """
-    index = StringIndexer(inputCol=label, outputCol="_label").fit(train)
-    stages = [
-        index,
-        RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"[^\p{L}\p{N}_]+", toLowercase=True),
-        HashingTF(inputCol="_words", outputCol="_counts", numFeatures=features),
-        LogisticRegression(
-            featuresCol="_counts", labelCol="_label", family="multinomial", maxIter=20, regParam=0.01
-        ),
-        IndexToString(inputCol="prediction", outputCol="predicted", labels=index.labels),
-    ]
-    return Pipeline(stages=stages).fit(train.select(text, label))
+    prepare = Pipeline(
+        stages=[
+            StringIndexer(inputCol=label, outputCol="_label"),
+            RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"[^\p{L}\p{N}_]+", toLowercase=True),
+            HashingTF(inputCol="_words", outputCol="_counts", numFeatures=features),
+        ]
+    ).fit(train)
+    counts = prepare.transform(train).select("_label", "_counts").persist()
+    regression = LogisticRegression(
+        featuresCol="_counts", labelCol="_label", family="multinomial", maxIter=20, regParam=0.01
+    ).fit(counts)
+    counts.unpersist()
+    names = IndexToString(inputCol="prediction", outputCol="predicted", labels=prepare.stages[0].labels)
+    return PipelineModel(stages=[*prepare.stages, regression, names])
 
 
 def macro_f1(scored: DataFrame, gold: str, predicted: str, labels: Sequence[str]) -> DataFrame:

@@ -24,11 +24,16 @@ def reload_table(spark: SparkSession, df: DataFrame, path: str, id_col: str, ord
 
 
 def write_merged(
-    spark: SparkSession, path: str, incoming: DataFrame, merge: Merge, partition: str, batch_id: str
+    spark: SparkSession,
+    path: str,
+    incoming: DataFrame,
+    merge: Merge,
+    batch_id: str,
+    partition: str | None = None,
 ) -> None:
-    """Merge a batch into a table partitioned by ``partition``, rewriting only the partitions it touches.
+    """Merge a batch into a table. With ``partition`` only the partitions it touches are rewritten.
 
-    The merged partitions are written next to the table first, because a table cannot be read and
+    The merged rows are written next to the table first, because a table cannot be read and
     overwritten in one plan. If the job is lost while they replace the old ones, running the same
     batch again finds them complete and only repeats the replacement.
     """
@@ -38,24 +43,19 @@ def write_merged(
     if not complete:
         if path_exists(spark, path):
             stored = spark.read.schema(incoming.schema).parquet(path)
-            # The distinct partitions are few; dynamic pruning then scans only those of the table.
-            touched = stored.join(incoming.select(partition).distinct(), partition, "left_semi")
+            if partition:
+                # The distinct partitions are few; dynamic pruning then scans only those of the table.
+                stored = stored.join(incoming.select(partition).distinct(), partition, "left_semi")
         else:
-            touched = spark.createDataFrame([], incoming.schema)
-        merged = merge(touched.select(*incoming.columns), incoming)
-        (
-            merged.withColumn("batch_id", F.lit(batch_id))
+            stored = spark.createDataFrame([], incoming.schema)
+        merged = merge(stored.select(*incoming.columns), incoming).withColumn("batch_id", F.lit(batch_id))
+        if partition:
             # Splits the files of a partition that holds most rows, joins those of small ones.
-            .hint("rebalance", partition)
-            .write.mode("overwrite")
-            .partitionBy("batch_id", partition)
-            .parquet(stage)
-        )
-    (
-        spark.read.schema(incoming.schema)
-        .parquet(staged_batch)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+            merged = merged.hint("rebalance", partition)
+        merged.write.mode("overwrite").partitionBy(
+            "batch_id", *([partition] if partition else [])
+        ).parquet(stage)
+    writer = spark.read.schema(incoming.schema).parquet(staged_batch).write.mode("overwrite")
+    if partition:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition)
+    writer.parquet(path)

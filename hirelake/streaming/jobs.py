@@ -62,7 +62,7 @@ def upsert_newest(
             "bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
         )
         write_merged(
-            spark, out, incoming, lambda old, new: keep_newest(old, new, keys, order), "bucket", str(batch_id)
+            spark, out, incoming, lambda old, new: keep_newest(old, new, keys, order), str(batch_id), "bucket"
         )
 
     return (
