@@ -41,6 +41,10 @@ def write_merged(
     staged_batch = f"{stage}/batch_id={batch_id}"
     complete = path_exists(spark, f"{stage}/_SUCCESS") and path_exists(spark, staged_batch)
     if not complete:
+        # The merge reads the batch several times; written down it is computed once.
+        arrived = f"{path.rstrip('/')}_incoming"
+        incoming.write.mode("overwrite").parquet(arrived)
+        incoming = spark.read.schema(incoming.schema).parquet(arrived)
         if path_exists(spark, path):
             stored = spark.read.schema(incoming.schema).parquet(path)
             if partition:

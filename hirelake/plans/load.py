@@ -1,6 +1,6 @@
 """The batch load: raw adverts to the clean table, the star schema and the daily snapshot.
 
-    spark-submit hirelake/plans/load.py --raw s3://…/raw_jobs --root s3://…/warehouse --batch 2024-02-01
+    spark-submit hirelake/plans/load.py --raw /data/raw_jobs --root /data/warehouse --batch 2024-02-01
 """
 
 from __future__ import annotations

@@ -50,6 +50,8 @@ def postings(spark: SparkSession, folder: str, descriptions: bool = False) -> Da
     With ``descriptions`` the document of the same number is the description, where there is one.
     """
     orders = read_table(spark, folder, "orders")
+    if descriptions:
+        orders = spread(orders, "o_orderkey")
     customer = read_table(spark, folder, "customer")
     nation = read_table(spark, folder, "nation")
     region = read_table(spark, folder, "region")
@@ -59,8 +61,8 @@ def postings(spark: SparkSession, folder: str, descriptions: bool = False) -> Da
     adverts = orders.join(companies, F.col("o_custkey") == F.col("c_custkey"))
     description = F.lit(None).cast("string")
     if descriptions:
-        documents = read_table(spark, folder, "documents").select("doc_id", "text")
-        adverts = spread(adverts, "o_orderkey").join(documents, F.col("o_orderkey") == F.col("doc_id"), "left")
+        texts = read_table(spark, folder, "documents").select("doc_id", "text")
+        adverts = adverts.join(texts, F.col("o_orderkey") == F.col("doc_id"), "left")
         description = squeeze_whitespace("text")
     return adverts.select(
         F.col("o_orderkey").alias("id"),

@@ -26,9 +26,9 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores before costly work on texts, where the table comes in fewer splits.
+    """The rows of a scan over all cores before costly work on texts, if it has fewer splits.
 
-    Only a small table does: one with more splits than cores is left as it is, without a shuffle.
+    Only a small table has: one with more splits than cores is left as it is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
