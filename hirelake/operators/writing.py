@@ -35,31 +35,42 @@ def write_merged(
 
     The merged rows are written next to the table first, because a table cannot be read and
     overwritten in one plan. If the job is lost while they replace the old ones, running the same
-    batch again finds them complete and only repeats the replacement.
+    batch again finds them complete and only repeats the replacement. Afterwards they are removed.
     """
     stage = f"{path.rstrip('/')}_stage"
     staged_batch = f"{stage}/batch_id={batch_id}"
+    layout = [partition] if partition else []
     complete = path_exists(spark, f"{stage}/_SUCCESS") and path_exists(spark, staged_batch)
     if not complete:
         # The merge reads the batch several times; written down it is computed once.
         arrived = f"{path.rstrip('/')}_incoming"
         incoming.write.mode("overwrite").parquet(arrived)
         incoming = spark.read.schema(incoming.schema).parquet(arrived)
-        if path_exists(spark, path):
-            stored = spark.read.schema(incoming.schema).parquet(path)
-            if partition:
-                # The distinct partitions are few; dynamic pruning then scans only those of the table.
-                stored = stored.join(incoming.select(partition).distinct(), partition, "left_semi")
-        else:
-            stored = spark.createDataFrame([], incoming.schema)
-        merged = merge(stored.select(*incoming.columns), incoming).withColumn("batch_id", F.lit(batch_id))
+        merged = merge(stored_rows(spark, path, incoming, partition), incoming)
         if partition:
             # Splits the files of a partition that holds most rows, joins those of small ones.
             merged = merged.hint("rebalance", partition)
-        merged.write.mode("overwrite").partitionBy(
-            "batch_id", *([partition] if partition else [])
-        ).parquet(stage)
+        staged = merged.withColumn("batch_id", F.lit(batch_id))
+        staged.write.mode("overwrite").partitionBy("batch_id", *layout).parquet(stage)
+        if not path_exists(spark, staged_batch):
+            return  # no rows came, and none are stored
     writer = spark.read.schema(incoming.schema).parquet(staged_batch).write.mode("overwrite")
     if partition:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition)
     writer.parquet(path)
+    nothing = spark.createDataFrame([], incoming.schema).withColumn("batch_id", F.lit(batch_id))
+    nothing.write.mode("overwrite").partitionBy("batch_id", *layout).parquet(stage)
+
+
+def stored_rows(
+    spark: SparkSession, path: str, incoming: DataFrame, partition: str | None = None
+) -> DataFrame:
+    """The rows of a table that a batch can change: those of the partitions it touches."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], incoming.schema)
+    stored = spark.read.schema(incoming.schema).parquet(path)
+    if partition:
+        # Their names are folders of the table, months or buckets. As literals they prune the scan.
+        touched = [row[0] for row in incoming.select(partition).distinct().collect()]
+        stored = stored.where(F.col(partition).isin(touched))
+    return stored.select(*incoming.columns)

@@ -483,7 +483,7 @@ def eval_entity_prf(spark, folder):
 
 def _event_stream(spark, folder):
     schema = fixtures.arrivals(spark, folder).schema
-    return jobs.arriving_files(spark, folder, schema, "events.parquet")
+    return jobs.arriving_files(spark, f"{folder.rstrip('/')}/events.parquet", schema)
 
 
 @query
@@ -493,7 +493,7 @@ def stream_landing_dedup(spark, folder):
     out, checkpoint = scratch_path(spark, "ingest"), scratch_path(spark, "checkpoint")
     twice = stream.unionByName(_event_stream(spark, folder))
     jobs.ingest_once(twice, ["event_id"], "ts", "1 hour", out, checkpoint).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    return jobs.written_rows(spark, out, stream.schema)
 
 
 @query
@@ -504,7 +504,7 @@ def stream_scd1_upsert(spark, folder):
     jobs.upsert_newest(
         stream, ["user_id", "event_type"], ["ts", "event_id"], 16, out, checkpoint
     ).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out).select(*stream.columns)
+    return jobs.written_rows(spark, out, stream.schema).select(*stream.columns)
 
 
 @query

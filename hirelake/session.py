@@ -44,9 +44,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/hirelake/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whichever file system its scheme names."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hadoop_path = _file_system(spark, path)
     return fs.exists(hadoop_path)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory()

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.functions.text import squeeze_whitespace
+from hirelake.operators.joins import lookup_join
 from hirelake.sources.pages import extract_fields
 from hirelake.sources.tables import read_table, spread
 
@@ -55,10 +56,18 @@ def postings(spark: SparkSession, folder: str, descriptions: bool = False) -> Da
     customer = read_table(spark, folder, "customer")
     nation = read_table(spark, folder, "nation")
     region = read_table(spark, folder, "region")
-    # The small tables meet first, so the orders are joined only once.
-    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    companies = customer.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-    adverts = orders.join(companies, F.col("o_custkey") == F.col("c_custkey"))
+    # Places and companies meet first, so the orders are joined once. Nations and regions are few;
+    # one company may have posted a third of all adverts.
+    places = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    companies = customer.join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))
+    adverts = lookup_join(
+        orders,
+        companies.withColumnRenamed("c_custkey", "o_custkey"),
+        "o_custkey",
+        spread_by="o_orderkey",
+        how="inner",
+        counted=customer.select(F.col("c_custkey").alias("o_custkey")),
+    )
     description = F.lit(None).cast("string")
     if descriptions:
         texts = read_table(spark, folder, "documents").select("doc_id", "text")

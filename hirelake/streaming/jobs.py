@@ -14,16 +14,26 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hirelake.operators.keyed import keep_newest, one_per_key
 from hirelake.operators.writing import write_merged
+from hirelake.session import is_folder, path_exists
 
 
-def arriving_files(
-    spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", files_per_batch: int | None = None
-) -> DataFrame:
-    """The Parquet files of a landing folder as a stream."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+def arriving_files(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
+    """The Parquet files of a landing folder, or one such file, as a stream."""
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    if not is_folder(spark, path):
+        # A stream reads folders: this one takes the named file of its folder only.
+        path, name = path.rsplit("/", 1)
+        reader = reader.option("pathGlobFilter", name)
+    return reader.parquet(path)
+
+
+def written_rows(spark: SparkSession, path: str, schema) -> DataFrame:
+    """What a stream has written; nothing if nothing has arrived yet."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def ingest_once(
@@ -101,5 +111,5 @@ def count_per_day(stream: DataFrame, event_time: str, delay: str, out: str, chec
 
 def current_counts(spark: SparkSession, out: str) -> DataFrame:
     """The latest count of each day."""
-    written = spark.read.schema("day DATE, n_events BIGINT, batch_id BIGINT").parquet(out)
+    written = written_rows(spark, out, "day DATE, n_events BIGINT, batch_id BIGINT")
     return one_per_key(written, ["day"], [F.desc("batch_id")]).select("day", "n_events")

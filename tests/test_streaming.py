@@ -28,6 +28,16 @@ def arriving(spark):
     return events, stream
 
 
+def test_a_folder_without_files_gives_no_rows(spark):
+    events = fixtures.arrivals(spark, FOLDER)
+    folder, out, checkpoint = (scratch_path(spark, n) for n in ("empty", "out", "checkpoint"))
+    events.limit(0).write.parquet(folder)
+    jobs.upsert_newest(
+        jobs.arriving_files(spark, folder, events.schema), ["user_id"], ["ts"], 4, out, checkpoint
+    ).awaitTermination()
+    assert jobs.written_rows(spark, out, events.schema).count() == 0
+
+
 def rows(df):
     return sorted(map(tuple, df.collect()), key=str)
 

@@ -1,6 +1,7 @@
 """Keyed operators, dimensions, facts, quality reports and the batch load."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -234,6 +235,30 @@ def test_merge_rewrites_touched_partitions_only_and_can_be_repeated(spark, rows)
             (4, "e", "z"),
         }
     assert untouched <= set(spark.read.parquet(path).inputFiles())
+    # The same batch with other rows is merged anew.
+    writing.write_merged(spark, path, rows(schema, (4, "f", "z")), merge, "2", "m")
+    assert as_set(spark.read.parquet(path).where("m = 'z'"), "k", "v") == {(4, "f")}
+    touched = writing.stored_rows(spark, path, rows(schema, (9, "g", "y")), "m")
+    pruned = re.search(r"PartitionFilters: \[.*m#\d+ = y", touched._jdf.queryExecution().executedPlan().toString())
+    assert pruned
+    assert {f.split("m=")[1][0] for f in touched.inputFiles()} >= {"y"}
+
+
+def test_a_merge_that_was_lost_is_finished_from_its_stage(spark, rows):
+    path = scratch_path(spark, "lost")
+
+    def merge(old, new):
+        return keyed.upsert(old, new, ["k"])
+
+    writing.write_merged(spark, path, rows("k int, v string", (1, "a")), merge, "1")
+    # The state after a crash: everything is staged, the table is gone.
+    staged = rows("k int, v string, batch_id string", (1, "a", "2"), (2, "b", "2"))
+    staged.write.mode("overwrite").partitionBy("batch_id").parquet(f"{path}_stage")
+    rows("k int, v string").write.mode("overwrite").parquet(path)
+    writing.write_merged(spark, path, rows("k int, v string", (2, "b")), merge, "2")
+    assert as_set(spark.read.parquet(path)) == {(1, "a"), (2, "b")}
+    # An unfinished stage is not trusted.
+    assert not spark.read.schema("k int").parquet(f"{path}_stage").count()
 
 
 def test_batch_load_twice_and_in_two_batches(spark):
