@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Number of leading hex digits of the MD5 kept per key.
-ROLE_KEY_LEN = 3
-EMPLOYMENT_TYPE_KEY_LEN = 3
-COMPANY_KEY_LEN = 5
-LOCATION_KEY_LEN = 5
+
+@dataclass(frozen=True)
+class KeyLengths:
+    """How many leading hex digits of a label's MD5 make its key."""
+
+    # The lengths of the warehouse. Longer keys collide less, shorter ones bound a dimension.
+    role: int = 3
+    employment_type: int = 3
+    company: int = 5
+    location: int = 5
+
+
+KEY_LENGTHS = KeyLengths()
 
 
 def surrogate_key(label: Column | str, length: int) -> Column:

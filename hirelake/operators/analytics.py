@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from hirelake.functions.keys import COMPANY_KEY_LEN, LOCATION_KEY_LEN, ROLE_KEY_LEN
-from hirelake.operators.joins import by_short_key
+from hirelake.functions.keys import KEY_LENGTHS, KeyLengths
+from hirelake.operators.joins import dimension_join
 
 GRAINS = ("day", "week", "month")
 
@@ -64,7 +64,12 @@ def top_hiring_companies(adverts: DataFrame, k: int) -> DataFrame:
 
 
 def star_rollup(
-    fact: DataFrame, calendar: DataFrame, roles: DataFrame, companies: DataFrame, locations: DataFrame
+    fact: DataFrame,
+    calendar: DataFrame,
+    roles: DataFrame,
+    companies: DataFrame,
+    locations: DataFrame,
+    lengths: KeyLengths = KEY_LENGTHS,
 ) -> DataFrame:
     """Adverts and employers per role, country and month, over the star schema.
 
@@ -74,14 +79,15 @@ def star_rollup(
     months = calendar.select(
         F.trunc("date_iso_format_pk", "month").alias("month"), "num_year", "num_month_in_year", "name_month_en"
     ).distinct()
-    roles = by_short_key(roles, ROLE_KEY_LEN)
-    locations = by_short_key(locations, LOCATION_KEY_LEN)
-    companies = by_short_key(companies.select("company_pk"), COMPANY_KEY_LEN)
-    return (
-        fact.join(F.broadcast(months), F.trunc("date_posted_fk", "month") == F.col("month"))
-        .join(roles, F.col("role_fk") == F.col("role_pk"))
-        .join(locations, F.col("location_fk") == F.col("location_pk"))
-        .join(companies, F.col("company_fk") == F.col("company_pk"))
-        .groupBy("role", "country", "num_year", "num_month_in_year", "name_month_en")
-        .agg(F.count(F.lit(1)).alias("n_ads"), F.count_distinct("company_fk").alias("n_companies"))
+    joined = fact.join(F.broadcast(months), F.trunc("date_posted_fk", "month") == F.col("month"))
+    for dim, name, length, labels in (
+        (roles, "role", lengths.role, ["role"]),
+        (locations, "location", lengths.location, ["country"]),
+        (companies, "company", lengths.company, []),
+    ):
+        pk = f"{name}_pk"
+        spread_by = ["date_posted_fk", "role_fk", "company_fk", "location_fk"]
+        joined = dimension_join(joined, dim.select(pk, *labels), pk, f"{name}_fk", length, spread_by)
+    return joined.groupBy("role", "country", "num_year", "num_month_in_year", "name_month_en").agg(
+        F.count(F.lit(1)).alias("n_ads"), F.count_distinct("company_fk").alias("n_companies")
     )

@@ -8,13 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelake import schemas
-from hirelake.functions.keys import (
-    COMPANY_KEY_LEN,
-    EMPLOYMENT_TYPE_KEY_LEN,
-    LOCATION_KEY_LEN,
-    ROLE_KEY_LEN,
-    surrogate_key,
-)
+from hirelake.functions.keys import KEY_LENGTHS, KeyLengths, surrogate_key
 from hirelake.functions.text import MISSING_TEXT, any_of, fold_accents
 from hirelake.operators.joins import lookup_join
 from hirelake.sources.iso import iso_names, iso_pattern, iso_table
@@ -102,7 +96,7 @@ def tool_spans(docs: DataFrame, id_col: str, text: Column | str, lexicon: DataFr
         phrase = phrase.when(
             F.col("n_words") == n, F.concat_ws(" ", "first", *[f"w{i}" for i in range(1, n)])
         )
-    hits = lookup_join(begun, terms, "first", spread_by="start", how="inner").where(phrase == F.col("term"))
+    hits = lookup_join(begun, terms, "first", spread_by=["start"], how="inner").where(phrase == F.col("term"))
     # A group holds the hits of one text, which was one value before.
     ordered = F.sort_array(
         F.collect_list(F.struct("start", (-F.col("n_words")).alias("shorter"), "n_words", "term"))
@@ -214,25 +208,27 @@ def _gazetteer_hits(distinct: DataFrame, gazetteer: DataFrame) -> DataFrame:
 def with_geo(df: DataFrame, gazetteer: DataFrame | None = None) -> DataFrame:
     """Rows (with a unique ``id``) and the struct column ``geo``; NULL without a location."""
     return lookup_join(
-        df, resolve_locations(df, gazetteer), "location", spread_by="id", counted=distinct_locations(df)
+        df, resolve_locations(df, gazetteer), "location", spread_by=["id"], counted=distinct_locations(df)
     )
 
 
-def keyed_locations(df: DataFrame, gazetteer: DataFrame | None = None) -> DataFrame:
+def keyed_locations(
+    df: DataFrame, gazetteer: DataFrame | None = None, lengths: KeyLengths = KEY_LENGTHS
+) -> DataFrame:
     """The distinct locations with key, country and city: all that the location dimension needs."""
     return resolve_locations(df, gazetteer).select(
-        surrogate_key("location", LOCATION_KEY_LEN).alias("location_key"), "geo.country", "geo.city"
+        surrogate_key("location", lengths.location).alias("location_key"), "geo.country", "geo.city"
     )
 
 
-def with_keys(df: DataFrame) -> DataFrame:
+def with_keys(df: DataFrame, lengths: KeyLengths = KEY_LENGTHS) -> DataFrame:
     """Rows with the surrogate keys of role, company, location and employment type."""
     return df.withColumns(
         {
-            "role_key": surrogate_key("role", ROLE_KEY_LEN),
-            "company_key": surrogate_key("company", COMPANY_KEY_LEN),
-            "location_key": surrogate_key("location", LOCATION_KEY_LEN),
-            "employment_type_key": surrogate_key("employment_type", EMPLOYMENT_TYPE_KEY_LEN),
+            "role_key": surrogate_key("role", lengths.role),
+            "company_key": surrogate_key("company", lengths.company),
+            "location_key": surrogate_key("location", lengths.location),
+            "employment_type_key": surrogate_key("employment_type", lengths.employment_type),
         }
     )
 
@@ -241,6 +237,7 @@ def keyed_postings(
     raw: DataFrame,
     rules: Sequence[tuple[str, str]] = TITLE_RULES,
     tools: Sequence[str] = DEFAULT_TOOLS,
+    lengths: KeyLengths = KEY_LENGTHS,
 ) -> DataFrame:
     """Raw adverts with role, tools and keys. Every row is handled by itself; nothing is shuffled."""
     return with_keys(
@@ -249,7 +246,8 @@ def keyed_postings(
                 "role": role_from_title("title", rules),
                 "toolset_list": list_of_tools("job_description", tools),
             }
-        )
+        ),
+        lengths,
     )
 
 
@@ -258,9 +256,10 @@ def clean_postings(
     gazetteer: DataFrame | None = None,
     rules: Sequence[tuple[str, str]] = TITLE_RULES,
     tools: Sequence[str] = DEFAULT_TOOLS,
+    lengths: KeyLengths = KEY_LENGTHS,
 ) -> DataFrame:
     """Raw adverts with role, tools, place and keys, as columns of the clean table."""
-    placed = with_geo(keyed_postings(raw, rules, tools), gazetteer)
+    placed = with_geo(keyed_postings(raw, rules, tools, lengths), gazetteer)
     return schemas.conform(
         placed.withColumns({"country": F.col("geo.country"), "city": F.col("geo.city")}), schemas.CLEAN_JOBS
     )

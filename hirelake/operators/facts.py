@@ -8,22 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelake import schemas
-from hirelake.functions.keys import (
-    COMPANY_KEY_LEN,
-    EMPLOYMENT_TYPE_KEY_LEN,
-    LOCATION_KEY_LEN,
-    ROLE_KEY_LEN,
-)
-from hirelake.operators.joins import by_short_key
+from hirelake.functions.keys import KEY_LENGTHS, KeyLengths
+from hirelake.operators.joins import dimension_join
 from hirelake.operators.keyed import one_per_key, with_whole_key
 
+
 def newest_first() -> list[Column]:
     """The order that puts the newest of several adverts with one fact key first."""
     return [F.desc("last_updated"), F.desc("id")]
 
 
 def fact_candidates(
-    adverts: DataFrame, roles: DataFrame, companies: DataFrame, types: DataFrame, locations: DataFrame
+    adverts: DataFrame,
+    roles: DataFrame,
+    companies: DataFrame,
+    types: DataFrame,
+    locations: DataFrame,
+    lengths: KeyLengths = KEY_LENGTHS,
 ) -> DataFrame:
     """Adverts whose four keys all stand in their dimension, with their id.
 
@@ -31,30 +32,22 @@ def fact_candidates(
     these sides stay bounded however many adverts there are, and the adverts are not shuffled.
     """
     joined = adverts
-    for dim, pk, key, length in (
-        (roles, "role_pk", "role_key", ROLE_KEY_LEN),
-        (companies, "company_pk", "company_key", COMPANY_KEY_LEN),
-        (types, "employment_type_pk", "employment_type_key", EMPLOYMENT_TYPE_KEY_LEN),
-        (locations, "location_pk", "location_key", LOCATION_KEY_LEN),
+    for dim, name, length in (
+        (roles, "role", lengths.role),
+        (companies, "company", lengths.company),
+        (types, "employment_type", lengths.employment_type),
+        (locations, "location", lengths.location),
     ):
-        joined = joined.join(by_short_key(dim.select(pk), length), F.col(key) == F.col(pk))
-    return joined.select(
-        "id",
-        F.col("date_posted").alias("date_posted_fk"),
-        F.col("role_pk").alias("role_fk"),
-        F.col("company_pk").alias("company_fk"),
-        F.col("employment_type_pk").alias("employment_type_fk"),
-        F.col("location_pk").alias("location_fk"),
-        "toolset_list",
-        F.col("metadata_lastupdated").alias("last_updated"),
-    )
+        pk = f"{name}_pk"
+        joined = dimension_join(joined, dim.select(pk), pk, f"{name}_key", length, spread_by=["id"])
+    return batch_candidates(joined)
 
 
 def batch_candidates(adverts: DataFrame) -> DataFrame:
-    """Fact candidates of adverts whose dimensions are loaded from these same adverts.
+    """Adverts with keys in the columns of the fact, with their id.
 
-    A key then stands in its dimension unless it is NULL, so the four joins come to a NULL check,
-    which ``fact_rows`` makes.
+    This is all that is left of the four joins for adverts whose dimensions are loaded from these
+    same adverts: a key then stands in its dimension unless it is NULL, and ``fact_rows`` drops NULLs.
     """
     return adverts.select(
         "id",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,16 +14,24 @@ BROADCAST_ROWS = 1 << 20
 SALTS = 16
 
 
-def by_short_key(dim: DataFrame, key_length: int) -> DataFrame:
-    """A side with one row per key of ``key_length`` hex digits, to be broadcast where that bounds it."""
-    return F.broadcast(dim) if key_space(key_length) <= BROADCAST_ROWS else dim
+def dimension_join(
+    rows: DataFrame, dim: DataFrame, pk: str, key: str, length: int, spread_by: Sequence[str]
+) -> DataFrame:
+    """Inner join with a dimension that has one row per key of ``length`` hex digits.
+
+    Where that length bounds the dimension it is broadcast uncounted, otherwise after a count.
+    """
+    side = dim.withColumnRenamed(pk, key)
+    if key_space(length) <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(side), key)
+    return lookup_join(rows, side, key, spread_by, how="inner")
 
 
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
     key: str,
-    spread_by: str,
+    spread_by: Sequence[str],
     how: str = "left",
     counted: DataFrame | None = None,
     max_rows: int = BROADCAST_ROWS,
@@ -35,7 +45,7 @@ def lookup_join(
     """
     if (lookup if counted is None else counted).select(key).limit(max_rows + 1).count() <= max_rows:
         return rows.join(F.broadcast(lookup), key, how)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)))
     salts = F.array(*[F.lit(salt).cast("bigint") for salt in range(SALTS)])
     repeated = lookup.withColumn("_salt", F.explode(salts))
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")

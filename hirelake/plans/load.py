@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake import schemas
+from hirelake.functions.keys import KEY_LENGTHS, KeyLengths
 from hirelake.operators import dims, enrich, facts, keyed
 from hirelake.operators.writing import write_merged
 from hirelake.session import build_session
@@ -27,6 +28,7 @@ def load_batch(
     gazetteer: DataFrame | None = None,
     rules: Sequence[tuple[str, str]] = enrich.TITLE_RULES,
     tools: Sequence[str] = enrich.DEFAULT_TOOLS,
+    lengths: KeyLengths = KEY_LENGTHS,
 ) -> None:
     """Load one batch. ``batch`` names it: running it again after a failure gives the same tables."""
     path = {table.name: schemas.table_path(root, table) for table in schemas.TABLES}
@@ -39,7 +41,7 @@ def load_batch(
             spark, path[table.name], rows, lambda old, new: keyed.upsert(old, new, table.key), batch, partition
         )
 
-    enrich.clean_postings(raw, gazetteer, rules, tools).write.mode("overwrite").parquet(
+    enrich.clean_postings(raw, gazetteer, rules, tools, lengths).write.mode("overwrite").parquet(
         path[schemas.CLEAN_JOBS.name]
     )
     clean = read(schemas.CLEAN_JOBS)
@@ -55,6 +57,7 @@ def load_batch(
         read(schemas.COMPANY_DIM),
         read(schemas.EMPLOYMENT_TYPE_DIM),
         read(schemas.LOCATION_DIM),
+        lengths,
     )
     month = F.date_format("date_posted_fk", "yyyy-MM")
     upsert(schemas.FACT, facts.fact_rows(candidates).withColumn("posted_month", month), "posted_month")

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake import schemas
-from hirelake.functions import dates, keys, scoring, text
+from hirelake.functions import dates, scoring, text
+from hirelake.functions.keys import KEY_LENGTHS
 from hirelake.operators import analytics, dims, enrich, facts, keyed, quality, text_ml, writing
 from hirelake.session import scratch_path
 from hirelake.sources import fixtures
@@ -24,6 +25,11 @@ POSTED_ANCHOR = "2024-02-01 00:30:00"
 # The calendar and the company dimension that the quality reports check the facts against end early.
 CALENDAR_OF_REPORT = ("1995-01-01", "2000-12-31")
 DIMENSION_LOADED_UNTIL = "1996-06-30"
+# What the dimensions and the fact are built from.
+STORED = (
+    "id", "date_posted", "role_key", "role", "company_key", "company", "location_key", "employment_type_key",
+    "employment_type", "toolset_list", "metadata_lastupdated",
+)
 
 
 def query(fn: Query) -> Query:
@@ -50,7 +56,7 @@ def keyed_adverts(spark: SparkSession, folder: str, descriptions: bool = False)
 def stored_adverts(spark: SparkSession, folder: str, descriptions: bool = False) -> DataFrame:
     """The same adverts, written once and read back: several tables are built from them."""
     path = scratch_path(spark, "adverts")
-    keyed_adverts(spark, folder, descriptions).drop("job_description").write.parquet(path)
+    keyed_adverts(spark, folder, descriptions).select(*STORED).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -432,8 +438,8 @@ def dq_not_null(spark, folder):
 def dq_key_collisions(spark, folder):
     """Companies with equal keys, at the key length in use and at the shorter one."""
     adverts = fixtures.postings(spark, folder)
-    return quality.key_collisions(adverts, "company", "company", keys.COMPANY_KEY_LEN).unionByName(
-        quality.key_collisions(adverts, "company", "company", keys.ROLE_KEY_LEN)
+    return quality.key_collisions(adverts, "company", "company", KEY_LENGTHS.company).unionByName(
+        quality.key_collisions(adverts, "company", "company", KEY_LENGTHS.role)
     )
 
 

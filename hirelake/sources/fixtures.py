@@ -64,7 +64,7 @@ def postings(spark: SparkSession, folder: str, descriptions: bool = False) -> Da
         orders,
         companies.withColumnRenamed("c_custkey", "o_custkey"),
         "o_custkey",
-        spread_by="o_orderkey",
+        spread_by=["o_orderkey"],
         how="inner",
         counted=customer.select(F.col("c_custkey").alias("o_custkey")),
     )

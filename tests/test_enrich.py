@@ -129,8 +129,8 @@ def test_salted_lookup_equals_broadcast_lookup(spark):
     many = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 100).alias("k"))
     few = spark.range(99).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     for how in ("left", "inner"):
-        small = lookup_join(many, few, "k", spread_by="id", how=how)
-        large = lookup_join(many, few, "k", spread_by="id", how=how, max_rows=10)
+        small = lookup_join(many, few, "k", spread_by=["id"], how=how)
+        large = lookup_join(many, few, "k", spread_by=["id"], how=how, max_rows=10)
         plan = large._jdf.queryExecution().toString()
         assert "_salt" in plan
         assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, large.collect()), key=str)

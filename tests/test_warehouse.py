@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hirelake import schemas
+from hirelake.functions.keys import KeyLengths
 from hirelake.operators import analytics, dims, enrich, facts, keyed, landing, quality, text_ml, writing
 from hirelake.plans import load, queries
 from hirelake.session import scratch_path
@@ -61,6 +62,20 @@ def test_joined_facts_equal_facts_of_the_batch(spark):
     assert as_set(facts.fact_rows(joined)) == as_set(facts.fact_rows(facts.batch_candidates(adverts)))
 
 
+def test_longer_keys_give_the_same_facts(spark):
+    lengths = KeyLengths(role=8, employment_type=8, company=16, location=16)
+    raw = fixtures.postings(spark, FOLDER)
+    adverts = enrich.keyed_postings(raw, fixtures.SEGMENT_ROLES, fixtures.PROSE_TOOLS, lengths)
+    locations = dims.location_dim(enrich.keyed_locations(raw, fixtures.gazetteer(spark, FOLDER), lengths))
+    roles, companies, types = dims.role_dim(adverts), dims.company_dim(adverts), dims.employment_type_dim(adverts)
+    assert companies.where("length(company_pk) = 16").count() == adverts.select("company").distinct().count()
+    fact = facts.fact_rows(facts.fact_candidates(adverts, roles, companies, types, locations, lengths))
+    assert as_set(fact) == as_set(facts.fact_rows(facts.batch_candidates(adverts)))
+    calendar = queries.calendar_of(adverts)
+    found = analytics.star_rollup(fact, calendar, roles, companies, locations, lengths)
+    assert as_set(found) == as_set(queries.QUERIES["star_rollup"](spark, FOLDER))
+
+
 @pytest.mark.parametrize("step", [1, 7, 40_000, 3 << 40])
 def test_rank_by_id(spark, step):
     ids = spark.range(-500, 1000).select(
