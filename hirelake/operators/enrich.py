@@ -197,12 +197,9 @@ def _gazetteer_hits(distinct: DataFrame, gazetteer: DataFrame) -> DataFrame:
             "city",
         ),
     )
-    return (
-        counted.select("location", "_text", F.inline_outer(phrases))
-        .join(places, "phrase", "left")
-        .groupBy("location")
-        .agg(F.min(hit).alias("hit"))
-    )
+    named = counted.select("location", "_text", F.inline_outer(phrases))
+    placed = lookup_join(named, places, "phrase", spread_by=["location"])
+    return placed.groupBy("location").agg(F.min(hit).alias("hit"))
 
 
 def with_geo(df: DataFrame, gazetteer: DataFrame | None = None) -> DataFrame:

@@ -43,7 +43,7 @@ def lookup_join(
     A larger one is repeated once per salt, and the rows of each key are spread over the salts by
     ``spread_by``: a key that holds a third of all rows goes to many tasks.
     """
-    if (lookup if counted is None else counted).select(key).limit(max_rows + 1).count() <= max_rows:
+    if (lookup if counted is None else counted).select(key).count() <= max_rows:
         return rows.join(F.broadcast(lookup), key, how)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)))
     salts = F.array(*[F.lit(salt).cast("bigint") for salt in range(SALTS)])

@@ -9,13 +9,13 @@ import argparse
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake import schemas
 from hirelake.functions.keys import KEY_LENGTHS, KeyLengths
-from hirelake.operators import dims, enrich, facts, keyed
-from hirelake.operators.writing import write_merged
+from hirelake.operators import dims, enrich, facts, keyed, landing
+from hirelake.operators.writing import reload_table, write_merged
 from hirelake.session import build_session
 
 
@@ -64,6 +64,15 @@ def load_batch(
     upsert(schemas.DAILY_SNAPSHOT, facts.daily_snapshot(read(schemas.FACT), as_of))
 
 
+def load_landing(spark: SparkSession, pages: DataFrame, root: str, fetched_at: Column, source: str) -> None:
+    """Empty the landing tables and load the raw one from pages (page_id, url, html)."""
+    rows = landing.raw_jobs(pages, fetched_at, source)
+    reload_table(spark, rows, schemas.table_path(root, schemas.RAW_JOBS), "id", "id")
+    spark.createDataFrame([], schemas.CLEAN_JOBS.schema).write.mode("overwrite").parquet(
+        schemas.table_path(root, schemas.CLEAN_JOBS)
+    )
+
+
 def load_calendar(
     spark: SparkSession, root: str, first: str = schemas.CALENDAR_START, last: str = schemas.CALENDAR_END
 ) -> None:

@@ -224,6 +224,19 @@ def test_raw_jobs_from_pages(rows):
     assert found[0]["metadata_lastupdated"] == dt.datetime(2024, 2, 1, 10, 11)
 
 
+def test_pages_to_clean_adverts(spark, rows):
+    root = scratch_path(spark, "landing")
+    pages = rows("page_id long, url string, html string", (7, "u7", HEADER), (9, "u9", HEADER.replace("Berlin", "Bonn")))
+    fetched = F.lit("2024-02-01 10:11:12").cast("timestamp_ntz")
+    for _ in range(2):
+        load.load_landing(spark, pages, root, fetched, "board")
+    raw = spark.read.parquet(schemas.table_path(root, schemas.RAW_JOBS))
+    assert as_set(raw, "id", "location") == {(3, "Berlin, DE"), (4, "Bonn, DE")}
+    assert spark.read.parquet(schemas.table_path(root, schemas.CLEAN_JOBS)).count() == 0
+    clean = enrich.clean_postings(raw)
+    assert as_set(clean, "role", "country", "toolset_list") == {("Data Engineer", "Germany", "Spark")}
+
+
 def test_reload_goes_on_counting(spark, rows):
     path = scratch_path(spark, "reload")
     writing.reload_table(spark, rows("id long, v string", (10, "a"), (20, "b")), path, "id", "id")
