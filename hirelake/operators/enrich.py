@@ -34,7 +34,7 @@ TITLE_RULES = (
 # Tool names looked for in descriptions unless a job passes its own list.
 DEFAULT_TOOLS = (
     "Airflow", "AWS", "Azure", "BigQuery", "C++", "C#", "Cassandra", "Databricks", "dbt", "Docker",
-    "Elasticsearch", "Excel", "Flink", "GCP", "Git", "Go", "Google Cloud", "Hadoop", "Hive", "Java",
+    "Elasticsearch", "Excel", "GCP", "Git", "Go", "Google Cloud", "Hadoop", "Hive", "Java",
     "JavaScript", "Jenkins", "Jupyter", "Kafka", "Keras", "Kubernetes", "Linux", "Looker", "Matplotlib",
     "MongoDB", "MySQL", "NumPy", "Oracle", "Pandas", "PostgreSQL", "Power BI", "PySpark", "Python",
     "PyTorch", "R", "Redshift", "SAS", "Scala", "scikit-learn", "Snowflake", "Spark", "SQL", "SQL Server",

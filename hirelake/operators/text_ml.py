@@ -115,3 +115,16 @@ def entity_prf(gold: DataFrame, predicted: DataFrame, id_col: str) -> DataFrame:
         F.when(F.col("_all") == 1, "ALL").otherwise(F.col("term")).alias("term"), "tp", "fp", "fn"
     )
     return with_prf(named)
+
+
+# What the F of the entities and the F of the categories weigh in the training score.
+ENTITY_WEIGHT, CATEGORY_WEIGHT = 0.5, 0.5
+
+
+def training_score(entities: DataFrame, categories: DataFrame) -> DataFrame:
+    """One number from the 'ALL' row of ``entity_prf`` and the 'macro' row of ``macro_f1``."""
+    parts = entities.where("term = 'ALL'").select((F.col("f1") * ENTITY_WEIGHT).alias("part"))
+    parts = parts.unionByName(
+        categories.where("label = 'macro'").select((F.col("f1") * CATEGORY_WEIGHT).alias("part"))
+    )
+    return parts.agg(F.round(F.sum("part"), 6).alias("score"))

@@ -190,7 +190,10 @@ def test_scores(rows):
     span = "id int, start int, n_words int, term string"
     gold = rows(span, (1, 0, 1, "x"), (1, 5, 2, "y z"))
     predicted = rows(span, (1, 0, 1, "x"), (1, 5, 1, "y"))
-    found = {r["term"]: tuple(r)[1:4] for r in text_ml.entity_prf(gold, predicted, "id").collect()}
+    entities = text_ml.entity_prf(gold, predicted, "id")
+    score = text_ml.training_score(entities, text_ml.macro_f1(scored, "gold", "p", ["a", "b"]))
+    assert score.first()["score"] == round(0.5 * 0.5 + 0.5 * 0.583334, 6)
+    found = {r["term"]: tuple(r)[1:4] for r in entities.collect()}
     assert found == {"x": (1, 0, 0), "y": (0, 1, 0), "y z": (0, 0, 1), "ALL": (1, 1, 1)}
 
 
