@@ -13,14 +13,21 @@ from hirelake.session import path_exists
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
 
-def reload_table(spark: SparkSession, df: DataFrame, path: str, id_col: str, order: str) -> None:
-    """Empty the table and load it anew. Its serial ids go on counting where the last load ended."""
+def reload_table(
+    spark: SparkSession, df: DataFrame, path: str, id_col: str, order: str | None = None
+) -> None:
+    """Empty the table and load it anew. Its serial ids go on counting where the last load ended.
+
+    Rows are numbered by ``order``; without it they bring the numbers 1, 2, 3 … as their id.
+    """
     last_id = 0
     if path_exists(spark, path):
         last_id = spark.read.parquet(path).agg(F.max(id_col)).first()[0] or 0
-    numbered = rank_by_id(df, order, name="_serial")
-    rest = [name for name in df.columns if name not in (id_col, order)]
-    numbered.select((F.col("_serial") + last_id).alias(id_col), *rest).write.mode("overwrite").parquet(path)
+    number = id_col
+    if order is not None:
+        df, number = rank_by_id(df, order, name="_serial"), "_serial"
+    rest = [name for name in df.columns if name not in (id_col, order, number)]
+    df.select((F.col(number) + last_id).alias(id_col), *rest).write.mode("overwrite").parquet(path)
 
 
 def write_merged(

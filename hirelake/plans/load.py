@@ -67,7 +67,7 @@ def load_batch(
 def load_landing(spark: SparkSession, pages: DataFrame, root: str, fetched_at: Column, source: str) -> None:
     """Empty the landing tables and load the raw one from pages (page_id, url, html)."""
     rows = landing.raw_jobs(pages, fetched_at, source)
-    reload_table(spark, rows, schemas.table_path(root, schemas.RAW_JOBS), "id", "id")
+    reload_table(spark, rows, schemas.table_path(root, schemas.RAW_JOBS), "id")
     spark.createDataFrame([], schemas.CLEAN_JOBS.schema).write.mode("overwrite").parquet(
         schemas.table_path(root, schemas.CLEAN_JOBS)
     )
