@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import mixing, packing, simhash, token_files
-from hirelake.llm.common import read_table
+from hirelake.llm import mixing, packing, quality, simhash, token_files, toxicity
+from hirelake.llm.common import read_table, remainder
 from hirelake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,27 @@ def op5_token_files(spark, folder):
     token_files.write_token_files(read_table(spark, folder, "documents"), path)
     rows = token_files.with_checksums(token_files.read_tokens(spark, path))
     return rows.select("doc_id", "start", F.col("n_tokens").cast("long").alias("n_tokens"), "ids_crc32")
+
+
+def held_out(parts: int, which: int):
+    """Whether a document's number keeps its label from the training; without a number it has none."""
+    return F.coalesce(remainder("doc_id", parts) == which, F.lit(False))
+
+
+@query
+def op6_quality_classifier(spark, folder):
+    """Quality of all documents, learnt from four fifths of the labelled ones."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    labels = read_table(spark, folder, "labels").where(~held_out(5, 0))
+    scored = quality.with_quality(docs, *quality.train(docs, labels), keep_text=False)
+    return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op8_toxicity(spark, folder):
+    """Toxicity of all documents, learnt from three quarters of the labelled ones."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    labels = read_table(spark, folder, "labels").where(~held_out(4, 2))
+    model = toxicity.train(docs, labels, usable=~held_out(4, 2))
+    scored = toxicity.with_toxicity(docs, model, keep_text=False)
+    return scored.select("doc_id", held_out(4, 2).alias("held_out"), "score", "predicted")
