@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import mixing, packing, quality, simhash, token_files, toxicity
+from hirelake.llm import mixing, packing, quality, simhash, token_files, toxicity, vectors
 from hirelake.llm.common import read_table, remainder
 from hirelake.session import scratch_path
 
@@ -81,3 +81,9 @@ def op8_toxicity(spark, folder):
     model = toxicity.train(docs, labels, usable=~held_out(4, 2))
     scored = toxicity.with_toxicity(docs, model, keep_text=False)
     return scored.select("doc_id", held_out(4, 2).alias("held_out"), "score", "predicted")
+
+
+@query
+def op10_embedding_near_dedup(spark, folder):
+    """Links and groups of all vectors with a cosine of 0.9 or more."""
+    return vectors.near_duplicate_vectors(read_table(spark, folder, "embeddings"))
