@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import mixing, packing, quality, simhash, token_files, toxicity, vectors
+from hirelake.llm import mixing, packing, quality, simhash, sketches, token_files, toxicity, vectors
 from hirelake.llm.common import read_table, remainder
 from hirelake.session import scratch_path
 
@@ -87,3 +87,9 @@ def op8_toxicity(spark, folder):
 def op10_embedding_near_dedup(spark, folder):
     """Links and groups of all vectors with a cosine of 0.9 or more."""
     return vectors.near_duplicate_vectors(read_table(spark, folder, "embeddings"))
+
+
+@query
+def op7_lookup_sketch(spark, folder):
+    """Sketches of all documents and their edited texts, compared."""
+    return sketches.compared_fingerprints(read_table(spark, folder, "documents"))
