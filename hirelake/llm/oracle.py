@@ -40,5 +40,25 @@ SELECT s.doc_id, s.size, p.source_size, p.target,
 FROM sized s
 JOIN plans p ON s.source IS NOT DISTINCT FROM p.source
 JOIN keyed k ON s.source IS NOT DISTINCT FROM k.source AND s.key = k.key
+""",
+    "op3_perspective_rotation": """
+WITH messages AS (
+  SELECT DISTINCT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+people AS (
+  SELECT DISTINCT conv_id, role AS assistant FROM messages WHERE role IS NOT NULL AND role <> 'system'),
+seen AS (
+  SELECT m.conv_id, p.assistant, m.turn, m.role, m.text, coalesce(m.role = p.assistant, false) AS own,
+         '<|im_start|>' || CASE WHEN m.role = 'system' THEN 'system' WHEN m.role = p.assistant THEN 'assistant'
+                                ELSE 'user' || coalesce(' name=' || m.role, '') END || chr(10) AS header
+  FROM messages m JOIN people p ON m.conv_id IS NOT DISTINCT FROM p.conv_id),
+placed AS (
+  SELECT *, coalesce(sum(length(header) + length(text) + 11) OVER w, 0) + length(header) AS start
+  FROM seen
+  WINDOW w AS (PARTITION BY conv_id, assistant ORDER BY turn NULLS LAST, role NULLS LAST
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT conv_id, assistant, CAST(0 AS BIGINT) AS block, count(*) AS n_messages,
+       string_agg(header || text || '<|im_end|>' || chr(10), '' ORDER BY start) AS text,
+       coalesce(string_agg(start::BIGINT || '+' || (length(text) + 11), ' ' ORDER BY start) FILTER (WHERE own), '') AS mask
+FROM placed GROUP BY conv_id, assistant
 """,
 }

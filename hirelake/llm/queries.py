@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import mixing, packing, quality, simhash, sketches, token_files, toxicity, vectors
+from hirelake.llm import chat, mixing, packing, quality, simhash, sketches, token_files, toxicity, vectors, warc
 from hirelake.llm.common import read_table, remainder
 from hirelake.session import scratch_path
 
@@ -93,3 +93,17 @@ def op10_embedding_near_dedup(spark, folder):
 def op7_lookup_sketch(spark, folder):
     """Sketches of all documents and their edited texts, compared."""
     return sketches.compared_fingerprints(read_table(spark, folder, "documents"))
+
+
+@query
+def op3_perspective_rotation(spark, folder):
+    """All conversations, rendered for each of their participants."""
+    rendered = chat.rotated(read_table(spark, folder, "conversations"))
+    return rendered.select("conv_id", "assistant", "block", "n_messages", "text", chat.mask_text("spans").alias("mask"))
+
+
+@query
+def op9_warc_derivatives(spark, folder):
+    """Metadata and conversion records of the responses that all pages were."""
+    records = warc.derive(warc.responses(read_table(spark, folder, "pages")))
+    return records.withColumn("source_headers", F.array_join("source_headers", "\n"))
