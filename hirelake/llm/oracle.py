@@ -1,5 +1,16 @@
 """SQL for the queries that SQL can express."""
 
+from hirelake.plans.oracle import page_text, squeezed
+
+
+def uuid(kind: str, of: str) -> str:
+    key = f"md5('{kind}:' || {of})"
+    return (
+        f"'<urn:uuid:' || {key}[1:8] || '-' || {key}[9:12] || '-3' || {key}[14:16] || '-8' || {key}[18:20]"
+        f" || '-' || {key}[21:32] || '>'"
+    )
+
+
 ORACLE_SQL = {
     "op1_mix_sources": """
 WITH sized AS (
@@ -60,5 +71,33 @@ SELECT conv_id, assistant, CAST(0 AS BIGINT) AS block, count(*) AS n_messages,
        string_agg(header || text || '<|im_end|>' || chr(10), '' ORDER BY start) AS text,
        coalesce(string_agg(start::BIGINT || '+' || (length(text) + 11), ' ' ORDER BY start) FILTER (WHERE own), '') AS mask
 FROM placed GROUP BY conv_id, assistant
+""",
+    "op9_warc_derivatives": f"""
+WITH known AS (
+  SELECT {uuid("response", "page_id || ' ' || url")} AS refers_to, url, html,
+         ['Content-Type: text/html; charset=utf-8', 'Content-Length: ' || strlen(html)] AS sent,
+         regexp_extract(html, '(?is)<html[^>]*\\slang=["'']?([A-Za-z-]+)', 1) AS language,
+         {squeezed("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title,
+         regexp_extract_all(html, '(?is)<a\\s[^>]*?href=["'']([^"'']*)["'']', 1) AS links
+  FROM pages),
+made AS (
+  SELECT {uuid("metadata", "refers_to")} AS record_id, 'metadata' AS warc_type, refers_to, url, html, sent,
+         'application/warc-fields' AS content_type,
+         array_to_string(list_transform(
+           list_concat(list_transform(sent, lambda x: 'source-header: ' || x),
+                       CASE WHEN title <> '' THEN ['title: ' || title] ELSE [] END,
+                       CASE WHEN language <> '' THEN ['language: ' || language] ELSE [] END,
+                       list_transform(links, lambda x: 'outlink: ' || x)),
+           lambda x: x || chr(13) || chr(10)), '') AS block
+  FROM known
+  UNION ALL
+  SELECT {uuid("conversion", "refers_to")}, 'conversion', refers_to, url, html, sent,
+         'text/plain; charset=utf-8', {page_text("html")}
+  FROM known)
+SELECT record_id, warc_type, refers_to, url AS target_uri, '2024-01-01T00:00:00Z' AS date, content_type,
+       CAST(strlen(block) AS BIGINT) AS content_length, 'sha256:' || sha256(block) AS block_digest,
+       'sha256:' || sha256(html) AS payload_digest, 200 AS source_status,
+       array_to_string(sent, chr(10)) AS source_headers, block
+FROM made
 """,
 }
