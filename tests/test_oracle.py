@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from hirelake.plans.oracle import ORACLE_SQL
 from hirelake.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -32,14 +33,15 @@ def duck():
 
 
 def test_every_query_but_the_trained_model_has_sql():
-    assert set(QUERIES) - set(entry_module.oracle_sql()) == {"train_text_classifier"}
-    assert set(entry_module.oracle_sql()) <= set(QUERIES)
+    assert set(QUERIES) - set(ORACLE_SQL) == {"train_text_classifier"}
+    assert set(ORACLE_SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLE_SQL) <= set(entry_module.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_sql(spark, duck, name):
     found = QUERIES[name](spark, FOLDER)
-    expected = duck.execute(entry_module.oracle_sql()[name])
+    expected = duck.execute(ORACLE_SQL[name])
     types = {c[0]: str(c[1]) for c in expected.description}
     assert {c: TYPES[t] for c, t in found.dtypes} == types
     order = sorted(types)
