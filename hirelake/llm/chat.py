@@ -44,8 +44,8 @@ def rotated(
     end mark. Every conversation's participants are its distinct speakers, but those in ``system``,
     whose messages everybody sees as they are.
 
-    Messages go by turn, those without one last, then by speaker and text. Messages that are equal in
-    all four columns are one message. A NULL text is empty; a message without a speaker is an unnamed
+    Messages go by turn, those without one last, then by speaker, none last, then by a hash of the text.
+    Messages that are equal in all four columns are one message. A NULL text is empty; a message without a speaker is an unnamed
     user's in all perspectives and nobody's own. Rows without a conversation number form one
     conversation. One without participants gives no rows, as no messages do. Other columns are ignored.
     """
