@@ -12,44 +12,72 @@ UNKNOWN_DATE = "9999-12-30"
 # Layouts of absolute posting dates, tried in this order.
 DATE_LAYOUTS = (
     "yyyy-MM-dd",
+    "yyyy/MM/dd",
     "MMMM d, yyyy",
     "MMM d, yyyy",
+    "MMMM d yyyy",
+    "MMM d yyyy",
     "d MMMM yyyy",
     "d MMM yyyy",
     "MM/dd/yyyy",
+    "dd.MM.yyyy",
 )
+# The same without a year: the latest such day that is not after the anchor.
+YEARLESS_LAYOUTS = ("d MMMM", "d MMM", "MMMM d", "MMM d")
 
-_AGO = r"^(\d{1,6}|an?)\+?\s+(second|minute|hour|day|week|month|year)s?\s+ago$"
+_NUMBER = r"(\d+|(?:an?|one)(?=\s))"
+_UNITS = {
+    "year": r"(?:years?|yrs?|y)",
+    "month": r"(?:months?|mos?|mths?)",
+    "week": r"(?:weeks?|wks?|w)",
+    "day": r"(?:days?|d)",
+    "hour": r"(?:hours?|hrs?|h)",
+    "minute": r"(?:minutes?|mins?|min)",
+    "second": r"(?:seconds?|secs?|s)",
+}
+_PART = rf"(?:\d+|(?:an?|one)(?=\s))\+?\s*(?:{'|'.join(_UNITS.values())})"
+_AGO = rf"^(?:about |over |almost )?{_PART}(?:(?:\s*,\s*|\s+and\s+|\s*,\s*and\s+|\s+){_PART})*\s+ago$"
 
 
 def parse_posted_date(text: Column | str, anchor: Column) -> Column:
     """The date in texts like 'Posted 3 days ago', counted back from the timestamp ``anchor``.
 
-    Absolute dates are read in the layouts above. Whatever cannot be read becomes 9999-12-30.
+    Several amounts add up ('3 days, 2 hours ago'); 'last week' is one week ago. Absolute dates are read
+    in the layouts above, with or without a time after them, 'on' before or an ordinal ending. Whatever
+    cannot be read becomes 9999-12-30, as do amounts that lead out of the calendar.
     """
     body = F.trim(F.substring(text, len(POSTED_PREFIX) + 1, 2**31 - 1))
     lowered = F.lower(body)
-    amount = F.regexp_extract(lowered, _AGO, 1)
-    count = F.when(amount.isin("a", "an"), F.lit(1)).otherwise(amount.try_cast("int"))
-    unit = F.regexp_extract(lowered, _AGO, 2)
     day = anchor.cast("date")
-    zero = F.lit(0)
+
+    def amount(unit: str) -> Column:
+        """How many of a unit the text names; 0 if none, NULL if more than a number holds."""
+        said = F.regexp_extract(lowered, rf"(?:^|[\s,]){_NUMBER}\+?\s*{_UNITS[unit]}(?:[\s,]|$)", 1)
+        return F.when(said == "", 0).when(said.isin("a", "an", "one"), 1).otherwise(said.try_cast("int"))
+
+    months = F.try_add(F.try_multiply(amount("year"), F.lit(12)), amount("month"))
+    days = F.try_add(F.try_multiply(amount("week"), F.lit(7)), amount("day"))
+    # Amounts beyond about two thousand years lead out of the calendar.
+    sane = (months < 24_000) & (days < 365_000) & (amount("hour") < 8_760_000) & (amount("minute") < 500_000_000)
+    clock = F.make_dt_interval(F.lit(0), amount("hour"), amount("minute"), amount("second").cast("decimal(18,6)"))
+    before = F.date_sub(F.add_months((anchor - clock).cast("date"), -months), days)
+    ago = F.rlike(lowered, F.lit(_AGO)) & sane & (amount("second") < 1_000_000_000)
     relative = (
-        F.when(lowered.isin("today", "just now", "now"), day)
+        F.when(lowered.isin("today", "just now", "now", "just posted"), day)
         .when(lowered == "yesterday", F.date_sub(day, 1))
-        .when(unit == "day", F.date_sub(day, count))
-        .when(unit == "week", F.date_sub(day, count * 7))
-        .when(unit == "month", F.add_months(day, -count))
-        .when(unit == "year", F.add_months(day, count * -12))
-        .when(unit == "hour", (anchor - F.make_dt_interval(zero, count)).cast("date"))
-        .when(unit == "minute", (anchor - F.make_dt_interval(zero, zero, count)).cast("date"))
-        .when(
-            unit == "second",
-            (anchor - F.make_dt_interval(zero, zero, zero, count.cast("decimal(18,6)"))).cast("date"),
-        )
+        .when(lowered == "last week", F.date_sub(day, 7))
+        .when(lowered == "last month", F.add_months(day, -1))
+        .when(lowered == "last year", F.add_months(day, -12))
+        .when(ago, before)
     )
-    absolute = [F.try_to_date(body, layout) for layout in DATE_LAYOUTS]
-    return F.coalesce(relative, *absolute, F.lit(UNKNOWN_DATE).cast("date"))
+    bare = F.regexp_replace(body, r"(?i)^on\s+", "")
+    bare = F.regexp_replace(bare, r"(?i)(\d)(?:st|nd|rd|th)\b", "$1")
+    bare = F.regexp_replace(bare, r"(?<=\d)[T ]\d{1,2}:\d{2}.*$", "")
+    absolute = [F.try_to_date(bare, layout) for layout in DATE_LAYOUTS]
+    this_year = [F.try_to_date(F.concat(bare, F.date_format(day, " yyyy")), f"{layout} yyyy") for layout in YEARLESS_LAYOUTS]
+    latest = F.coalesce(*this_year)
+    latest = F.when(latest > day, F.add_months(latest, -12)).otherwise(latest)
+    return F.coalesce(relative, *absolute, latest, F.lit(UNKNOWN_DATE).cast("date"))
 
 
 def truncate_minute(ts: Column | str) -> Column:

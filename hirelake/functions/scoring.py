@@ -30,9 +30,10 @@ def argmax_category(scores: Column, labels: Sequence[str]) -> Column:
     return best["label"]
 
 
-def marker_count(tokens: Column, markers: Sequence[str]) -> Column:
-    """How many tokens are one of the marker words."""
-    return F.size(F.filter(tokens, lambda token: token.isin(*markers))).cast("bigint")
+def marker_count(text: Column, markers: Sequence[str]) -> Column:
+    """How many words (runs of letters) of a text are one of the marker words; NULL without a text."""
+    words = "|".join(sorted(markers, key=lambda m: (-len(m), m)))
+    return F.regexp_count(text, F.lit(rf"(?<!\p{{L}})(?:{words})(?!\p{{L}})")).cast("bigint")
 
 
 def hash_bucket(key: Column, buckets: int) -> Column:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from collections.abc import Iterable
 from functools import lru_cache
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,33 +16,6 @@ MISSING_TEXT = "None"
 # Every character Python's str.split() treats as white space.
 WHITESPACE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]+"
 
-# Entities decoded by name. The ampersand comes last, so that "&amp;lt;" gives "&lt;".
-NAMED_ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&apos;": "'",
-    "&nbsp;": " ",
-    "&copy;": "©",
-    "&reg;": "®",
-    "&trade;": "™",
-    "&middot;": "·",
-    "&bull;": "•",
-    "&hellip;": "…",
-    "&ndash;": "–",
-    "&mdash;": "—",
-    "&lsquo;": "‘",
-    "&rsquo;": "’",
-    "&ldquo;": "“",
-    "&rdquo;": "”",
-    "&laquo;": "«",
-    "&raquo;": "»",
-    "&euro;": "€",
-    "&pound;": "£",
-    "&deg;": "°",
-    "&amp;": "&",
-}
-
 # Letters that fold to other letters without being an accented form of them.
 SPECIAL_FOLDS = {
     "ß": "ss",
@@ -111,7 +86,11 @@ def fold_accents(text: Column | str) -> Column:
     return folded
 
 
-def chunk_text(text: Column | str, size: int = 3000) -> Column:
+# Fixed value: characters that a piece of a text holds at most.
+CHUNK_CHARS = 3000
+
+
+def chunk_text(text: Column | str, size: int = CHUNK_CHARS) -> Column:
     """The text as pieces of at most ``size`` characters, each ending at a word boundary.
 
     What follows the last word boundary (closing punctuation) belongs to no piece. The flags make
@@ -120,13 +99,19 @@ def chunk_text(text: Column | str, size: int = 3000) -> Column:
     return F.regexp_extract_all(text, F.lit(rf"(?dU)(.{{1,{size}}})(?=\b)"), F.lit(1))
 
 
-def explode_chunks(docs: DataFrame, id_col: str, text: Column | str, size: int = 3000) -> DataFrame:
+def explode_chunks(docs: DataFrame, id_col: str, text: Column | str, size: int = CHUNK_CHARS) -> DataFrame:
     """One row per piece: id, position, piece."""
     return docs.select(id_col, F.posexplode(chunk_text(text, size)).alias("pos", "chunk"))
 
 
+def rejoined(text: Column | str, size: int = CHUNK_CHARS) -> Column:
+    """The pieces of a text put together again in its own row; NULL without any piece."""
+    pieces = chunk_text(text, size)
+    return F.when(F.size(pieces) > 0, F.array_join(pieces, ""))
+
+
 def rejoin_chunks(chunks: DataFrame, id_col: str) -> DataFrame:
-    """Put the pieces of each text back together, in order and without separator.
+    """Put pieces that come as rows back together, in order and without separator.
 
     A group holds the pieces of one text, which was one value before it was cut.
     """
@@ -136,45 +121,67 @@ def rejoin_chunks(chunks: DataFrame, id_col: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=1)
+def _named_entities() -> str:
+    """Every named character reference that ends with a semicolon, as a JSON object."""
+    return json.dumps({name: text for name, text in html5.items() if name.endswith(";")})
+
+
 def unescape_entities(text: Column | str) -> Column:
-    """Decode numeric character references and the entities named above."""
-    # Each part but the first began with "&#": decode its number, keep what follows the semicolon.
-    parts = F.split(text, "&#")
+    """Decode character references by number or name, once each, from left to right.
+
+    What a decoded reference gives is not decoded again; unknown ones stay as they are.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    # Each part but the first followed an ampersand: decode what it begins with, keep the rest.
+    parts = F.split(text, "&")
+    names = F.from_json(F.lit(_named_entities()), "map<string,string>")
 
     def decode(part: Column) -> Column:
-        digits = F.regexp_extract(part, r"^([0-9]{1,7});", 1)
-        hexits = F.regexp_extract(part, r"^[xX]([0-9a-fA-F]{1,6});", 1)
+        name = F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]*;)", 1)
+        digits = F.regexp_extract(part, r"^#0*([0-9]+);", 1)
+        hexits = F.regexp_extract(part, r"^#[xX]0*([0-9a-fA-F]+);", 1)
         code = F.when(digits != "", digits.try_cast("int")).when(
-            hexits != "", F.conv(hexits, 16, 10).try_cast("int")
+            (hexits != "") & (F.length(hexits) <= 6), F.conv(hexits, 16, 10).try_cast("int")
         )
         known = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
         character = F.decode(F.unhex(F.lpad(F.hex(code.cast("long")), 8, "0")), "UTF-32")
-        rest = F.regexp_replace(part, r"^[xX]?[0-9a-fA-F]+;", "")
-        return F.when(known, F.concat(character, rest)).otherwise(F.concat(F.lit("&#"), part))
+        decoded = F.when(known, character).when(name != "", F.try_element_at(names, name))
+        rest = F.substring(part, F.locate(";", part) + 1, F.length(part))
+        return F.coalesce(F.concat(decoded, rest), F.concat(F.lit("&"), part))
 
-    numbered = F.transform(F.slice(parts, F.lit(2), F.size(parts)), decode)
-    decoded = F.array_join(F.concat(F.slice(parts, 1, 1), numbered), "")
-    for entity, character in NAMED_ENTITIES.items():
-        decoded = F.replace(decoded, F.lit(entity), F.lit(character))
-    return decoded
+    decoded = F.transform(F.slice(parts, F.lit(2), F.size(parts)), decode)
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.concat(F.slice(parts, 1, 1), decoded), "")).otherwise(text)
 
 
-def any_of(terms: Iterable[str]) -> str:
-    """A regular expression for whole words or phrases in any letter case, as spelled in the text.
+def any_of(terms: Iterable[str], exact: Iterable[str] = ()) -> str:
+    """A regular expression for whole words or phrases, as spelled in the text.
+
+    ``terms`` match in any letter case; those in ``exact``, which are also words of the language, only
+    as they are written.
 
     Where several terms begin at one place the longest one matches. Most places of a text are ruled
     out by the first character alone; the others are compared with the terms of one letter only.
     """
-    groups: dict[str, list[str]] = {}
-    for term in terms:
-        groups.setdefault(term[0].lower(), []).append(term)
+    strict = set(exact)
+    groups: dict[str, list[tuple[str, bool]]] = {}
+    for term in {*terms} | strict:
+        groups.setdefault(term[0].lower(), []).append((term, term in strict))
     alternatives = []
-    for first, members in groups.items():
-        rests = sorted((m[1:] for m in set(members)), key=lambda r: (-len(r), r))
-        alternatives.append(_quote(first) + "(?:" + "|".join(_quote(r) for r in rests) + ")")
-    firsts = "".join(_quote(c) for first in groups for c in sorted({first, first.upper()}))
+    for first, members in sorted(groups.items()):
+        ordered = sorted(members, key=lambda m: (-len(m[0]), m[0]))
+        spelled = "|".join(_spelled(term, only) for term, only in ordered)
+        alternatives.append(f"(?=[{_quote(first)}{_quote(first.upper())}])(?:{spelled})")
+    firsts = "".join(_quote(c) for first in sorted(groups) for c in sorted({first, first.upper()}))
     word = r"[\p{L}\p{N}_]"
-    return f"(?=[{firsts}])(?<!{word})(?i:{'|'.join(alternatives)})(?!{word})"
+    return f"(?=[{firsts}])(?<!{word})(?:{'|'.join(alternatives)})(?!{word})"
+
+
+def _spelled(term: str, exact: bool) -> str:
+    """One term; a single letter is none next to an ampersand, as in R&D."""
+    if not exact:
+        return f"(?i:{_quote(term)})"
+    return _quote(term) if len(term) > 1 else f"(?<!&){_quote(term)}(?!&)"
 
 
 def _quote(literal: str) -> str:

@@ -11,7 +11,14 @@ from hirelake import schemas
 from hirelake.functions.dates import parse_posted_date, truncate_minute
 from hirelake.functions.text import null_to_none, squeeze_whitespace
 from hirelake.operators.keyed import first_wins, rank_by_id
-from hirelake.sources.pages import ADVERT_HEADER, element_html, extract_fields, visible_text
+from hirelake.sources.pages import (
+    ADVERT_HEADER,
+    BODY_ELEMENT,
+    HEADER_ELEMENT,
+    element_html,
+    extract_fields,
+    visible_text,
+)
 
 
 def raw_jobs(
@@ -19,25 +26,33 @@ def raw_jobs(
     fetched_at: Column,
     source: str,
     patterns: Mapping[str, str] = ADVERT_HEADER,
-    container: str | None = None,
+    header: tuple[str, str | None] | None = HEADER_ELEMENT,
+    body: tuple[str, str | None] | None = BODY_ELEMENT,
 ) -> DataFrame:
     """Raw adverts of pages (page_id, url, html) that hold one advert each.
 
-    Texts that are missing become 'None', posting dates are counted back from ``fetched_at``, and
-    the first page of a title, company and location wins. ``container`` names the element that
-    holds the description; without one it is the whole page.
+    The fields stand in the header element (tag, beginning of its class), the description is the text of
+    the body element; None takes the whole page for either. Texts that are missing or blank become
+    'None', posting dates are counted back from ``fetched_at``, and the first page of a title, company
+    and location wins.
     """
-    body = element_html("html", container) if container else F.col("html")
-    fields = pages.select(
-        F.col("page_id"),
-        *extract_fields("html", patterns),
-        F.nullif(visible_text(body), F.lit("")).alias("job_description"),
+    within = pages.select(
+        "page_id",
+        "url",
+        (element_html("html", *header) if header else F.col("html")).alias("_header"),
+        (element_html("html", *body) if body else F.col("html")).alias("_body"),
+    )
+    fields = within.select(
+        "page_id",
+        *extract_fields("_header", patterns),
+        visible_text("_body").alias("job_description"),
         F.col("url").alias("metadata_application_link"),
     )
+    fields = fields.withColumns({n: F.lit(None).cast("string") for n in ADVERT_HEADER if n not in patterns})
     texts = ("title", "company", "location", "employment_type", "job_description", "metadata_application_link")
     cleaned = fields.withColumns(
         {
-            **{name: null_to_none(squeeze_whitespace(name)) for name in texts},
+            **{name: null_to_none(F.nullif(squeeze_whitespace(name), F.lit(""))) for name in texts},
             "date_posted": parse_posted_date("date_posted", fetched_at),
             "metadata_lastupdated": truncate_minute(fetched_at),
             "metadata_source": F.lit(source),

@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.functions.text import squeeze_whitespace
-from hirelake.operators.joins import lookup_join
 from hirelake.sources.pages import extract_fields
-from hirelake.sources.tables import read_table, spread
+from hirelake.sources.tables import read_table
 
 # Role rules for the titles of these views: pattern in the lower-case title, role.
 SEGMENT_ROLES = (
@@ -43,16 +42,24 @@ LANGUAGE_MARKERS = {
 }
 
 PAGE_FIELDS = {"title": r"<h1>([^<]*)</h1>"}
+# Where the stored pages have something like an advert's fields, inside their article.
+PAGE_ADVERT = {
+    "title": r"(?is)<h1\b[^>]*>([^<]*)",
+    "company": r"(?is)<a\b[^>]*>([^<]+)",
+    "location": r"(?is)<p\b[^>]*>([^<]+)",
+    "date_posted": r"(?is)<time\b[^>]*>([^<]+)",
+}
 
 
-def postings(spark: SparkSession, folder: str, descriptions: bool = False) -> DataFrame:
+def postings(
+    spark: SparkSession, folder: str, descriptions: bool = False, orders: DataFrame | None = None
+) -> DataFrame:
     """Adverts: one per order, posted by its customer from the customer's nation.
 
     With ``descriptions`` the document of the same number is the description, where there is one.
+    ``orders`` may be a stream of that table.
     """
-    orders = read_table(spark, folder, "orders")
-    if descriptions:
-        orders = spread(orders, "o_orderkey")
+    orders = read_table(spark, folder, "orders") if orders is None else orders
     customer = read_table(spark, folder, "customer")
     nation = read_table(spark, folder, "nation")
     region = read_table(spark, folder, "region")
@@ -60,14 +67,7 @@ def postings(spark: SparkSession, folder: str, descriptions: bool = False) -> Da
     # one company may have posted a third of all adverts.
     places = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
     companies = customer.join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))
-    adverts = lookup_join(
-        orders,
-        companies.withColumnRenamed("c_custkey", "o_custkey"),
-        "o_custkey",
-        spread_by=["o_orderkey"],
-        how="inner",
-        counted=customer.select(F.col("c_custkey").alias("o_custkey")),
-    )
+    adverts = orders.join(companies.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey")
     description = F.lit(None).cast("string")
     if descriptions:
         texts = read_table(spark, folder, "documents").select("doc_id", "text")
@@ -97,11 +97,11 @@ def gazetteer(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(read_table(spark, folder, "pages"), "page_id")
+    return read_table(spark, folder, "pages")
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(read_table(spark, folder, "documents"), "doc_id")
+    return read_table(spark, folder, "documents")
 
 
 def page_postings(spark: SparkSession, folder: str) -> DataFrame:

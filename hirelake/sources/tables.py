@@ -25,15 +25,6 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(GIVEN_TABLES[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """The rows of a scan over all cores before costly work on texts, if it has fewer splits.
-
-    Only a small table has: one with more splits than cores is left as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def jdbc_options(
     url: str,
     table: str,

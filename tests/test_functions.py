@@ -36,6 +36,20 @@ def anchor():
         ("Posted 02/28/2024", "2024-02-28"),
         ("Posted 2024-02-31", "9999-12-30"),
         ("Posted soon", "9999-12-30"),
+        ("Posted last week", "2024-03-24"),
+        ("Posted 2 hrs ago", "2024-03-30"),
+        ("Posted 3 days, 2 hours ago", "2024-03-27"),
+        ("Posted about 1 year and 2 months ago", "2023-01-31"),
+        ("Posted 05.01.2024", "2024-01-05"),
+        ("Posted 2024-01-05T10:00:00", "2024-01-05"),
+        ("Posted 5 Jan", "2024-01-05"),
+        ("Posted 25 December", "2023-12-25"),
+        ("Posted Jan 5th, 2024", "2024-01-05"),
+        ("Posted on 5 January 2024", "2024-01-05"),
+        ("Posted 0000000003 days ago", "2024-03-28"),
+        ("Posted 99999999999 days ago", "9999-12-30"),
+        ("Posted 1000000 months ago", "9999-12-30"),
+        ("Posted 3 apples ago", "9999-12-30"),
         ("", "9999-12-30"),
         (None, "9999-12-30"),
     ],
@@ -63,6 +77,11 @@ def test_entities(value):
     assert value(text.unescape_entities("x"), "x string", page) == (
         'a < b &lt; éé "©" &#1F600; 😀 &#; &unknown; R&D'
     )
+    page = "M&uuml;nchen caf&eacute; &#38;lt;b&#38;gt; &#00000000065; &#x000000041; &#99999999999; &#xD800; &;"
+    assert value(text.unescape_entities("x"), "x string", page) == (
+        "München café &lt;b&gt; A A &#99999999999; &#xD800; &;"
+    )
+    assert value(text.unescape_entities("x"), "x string", None) is None
 
 
 def test_first_nonempty_and_none(value):
@@ -76,7 +95,6 @@ def test_first_nonempty_and_none(value):
 def test_surrogate_key(value):
     assert value(keys.surrogate_key("x", 5), "x string", "abc") == "90015"
     assert value(keys.surrogate_key("x", 5), "x string", None) is None
-    assert keys.key_space(3) == 4096
 
 
 TEXTS = st.lists(
