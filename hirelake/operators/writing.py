@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.operators.keyed import rank_by_id
-from hirelake.session import path_exists
+from hirelake.session import delete_path, path_exists, rename_path
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -18,11 +18,16 @@ def reload_table(
 ) -> None:
     """Empty the table and load it anew. Its serial ids go on counting where the last load ended.
 
-    Rows are numbered by ``order``; without it they bring the numbers 1, 2, 3 … as their id.
+    Rows are numbered by ``order``; without it they bring the numbers 1, 2, 3 … as their id. The last id
+    given is kept next to the table, so that an empty load doesn't start the numbers again.
     """
+    counter = f"{path.rstrip('/')}_last_id"
     last_id = 0
-    if path_exists(spark, path):
-        last_id = spark.read.parquet(path).agg(F.max(id_col)).first()[0] or 0
+    for known in (counter, path):
+        if path_exists(spark, known):
+            last_id = max(last_id, spark.read.parquet(known).agg(F.max(id_col)).first()[0] or 0)
+    # Written first: a load that fails afterwards leaves a gap in the numbers, never a number given twice.
+    spark.createDataFrame([(last_id,)], f"{id_col} long").write.mode("overwrite").parquet(counter)
     number = id_col
     if order is not None:
         df, number = rank_by_id(df, order, name="_serial"), "_serial"
@@ -35,38 +40,42 @@ def write_merged(
     path: str,
     incoming: DataFrame,
     merge: Merge,
-    batch_id: str,
     partition: str | None = None,
 ) -> None:
     """Merge a batch into a table. With ``partition`` only the partitions it touches are rewritten.
 
-    The merged rows are written next to the table first, because a table cannot be read and
-    overwritten in one plan. If the job is lost while they replace the old ones, running the same
-    batch again finds them complete and only repeats the replacement. Afterwards they are removed.
+    The merged rows are staged next to the table first, because a table cannot be read and overwritten
+    in one plan. While they replace the old ones the stage is the only complete copy, so every call
+    begins by finishing a stage that an earlier batch, whichever it was, has left. What was staged is
+    removed when the table is complete.
     """
-    stage = f"{path.rstrip('/')}_stage"
-    staged_batch = f"{stage}/batch_id={batch_id}"
     layout = [partition] if partition else []
-    complete = path_exists(spark, f"{stage}/_SUCCESS") and path_exists(spark, staged_batch)
-    if not complete:
-        # The merge reads the batch several times; written down it is computed once.
-        arrived = f"{path.rstrip('/')}_incoming"
-        incoming.write.mode("overwrite").parquet(arrived)
-        incoming = spark.read.schema(incoming.schema).parquet(arrived)
-        merged = merge(stored_rows(spark, path, incoming, partition), incoming)
-        if partition:
-            # Splits the files of a partition that holds most rows, joins those of small ones.
-            merged = merged.hint("rebalance", partition)
-        staged = merged.withColumn("batch_id", F.lit(batch_id))
-        staged.write.mode("overwrite").partitionBy("batch_id", *layout).parquet(stage)
-        if not path_exists(spark, staged_batch):
-            return  # no rows came, and none are stored
-    writer = spark.read.schema(incoming.schema).parquet(staged_batch).write.mode("overwrite")
+    _finish_replacement(spark, path, incoming, layout)
+    arrived, staging = f"{path.rstrip('/')}_incoming", f"{path.rstrip('/')}_staging"
+    # The merge reads the batch several times; written down it is computed once.
+    incoming.write.mode("overwrite").parquet(arrived)
+    incoming = spark.read.schema(incoming.schema).parquet(arrived)
+    merged = merge(stored_rows(spark, path, incoming, partition), incoming)
     if partition:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition)
+        # Splits the files of a partition that holds most rows, joins those of small ones.
+        merged = merged.hint("rebalance", partition)
+    merged.write.mode("overwrite").parquet(staging)
+    # Only a complete stage gets this name.
+    rename_path(spark, staging, f"{path.rstrip('/')}_stage")
+    _finish_replacement(spark, path, incoming, layout)
+    delete_path(spark, arrived)
+
+
+def _finish_replacement(spark: SparkSession, path: str, like: DataFrame, layout: list[str]) -> None:
+    """Puts staged rows in place of the old ones, again and again if need be; then removes the stage."""
+    stage = f"{path.rstrip('/')}_stage"
+    if not path_exists(spark, stage):
+        return
+    writer = spark.read.schema(like.schema).parquet(stage).write.mode("overwrite")
+    if layout:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*layout)
     writer.parquet(path)
-    nothing = spark.createDataFrame([], incoming.schema).withColumn("batch_id", F.lit(batch_id))
-    nothing.write.mode("overwrite").partitionBy("batch_id", *layout).parquet(stage)
+    delete_path(spark, stage)
 
 
 def stored_rows(

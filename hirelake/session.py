@@ -58,3 +58,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def is_folder(spark: SparkSession, path: str) -> bool:
     fs, hadoop_path = _file_system(spark, path)
     return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory()
+
+
+def rename_path(spark: SparkSession, path: str, to: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
+    if not fs.rename(hadoop_path, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Removes a folder this library wrote, if it is there."""
+    fs, hadoop_path = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders inside a folder; none if it isn't there."""
+    fs, hadoop_path = _file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(f.getPath().getName() for f in fs.listStatus(hadoop_path) if f.isDirectory())

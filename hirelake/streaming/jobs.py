@@ -1,20 +1,20 @@
 """Structured Streaming versions of the ingest, the upsert and the daily count.
 
 Each job runs with ``trigger(availableNow=True)``: it takes what has arrived since its last run, in
-micro-batches, and stops. Progress and state live under the checkpoint path.
+micro-batches, and stops. Progress and state live under the checkpoint path; tables are folders of deltas.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hirelake.operators.keyed import keep_newest, one_per_key
-from hirelake.operators.writing import write_merged
-from hirelake.session import is_folder, path_exists
+from hirelake.operators.keyed import first_wins, one_per_key
+from hirelake.session import delete_path, folders_in, is_folder
 
 
 def arriving_files(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
@@ -31,63 +31,92 @@ def arriving_files(spark: SparkSession, path: str, schema, files_per_batch: int
 
 def written_rows(spark: SparkSession, path: str, schema) -> DataFrame:
     """What a stream has written; nothing if nothing has arrived yet."""
-    if not path_exists(spark, path):
+    if not folders_in(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    rows = spark.read.schema(schema).parquet(path)
+    return rows.drop("delta")  # the name of the folder
 
 
-def ingest_once(
-    stream: DataFrame, keys: Sequence[str], event_time: str, delay: str, out: str, checkpoint: str
-) -> StreamingQuery:
-    """Append each key once, however often it arrives within the delay.
+def write_delta(batch: DataFrame, out: str, batch_id: int) -> None:
+    """One folder per batch; a replayed batch replaces its own."""
+    batch.write.mode("overwrite").parquet(f"{out}/delta=batch-{batch_id}")
+
 
-    The state holds the keys of the last ``delay`` only.
+def compact(spark: SparkSession, out: str, schema, reduced: Callable[[DataFrame], DataFrame]) -> None:
+    """Puts all deltas of a table into one. To be run now and then, between runs of the stream.
+
+    ``reduced`` gives the rows that count, and gives them again from themselves and any rows they come
+    from. So a job that is lost after it wrote the new delta, and before it removed the old ones, does
+    no harm, nor does a batch that is replayed later.
     """
-    stamped = stream.withColumn("_event_time", F.col(event_time).cast("timestamp"))
-    once = stamped.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(list(keys))
+    old = folders_in(spark, out)
+    if len(old) > 1:
+        rows = spark.read.schema(schema).parquet(*[f"{out}/{name}" for name in old])
+        reduced(rows).write.parquet(f"{out}/delta=compact-{uuid.uuid4().hex}")
+        for name in old:
+            delete_path(spark, f"{out}/{name}")
+
+
+def _run(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> StreamingQuery:
     return (
-        once.drop("_event_time")
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", out)
+        stream.writeStream.foreachBatch(write)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def ingest_once(stream: DataFrame, keys: Sequence[str], arrival: str, out: str, checkpoint: str) -> StreamingQuery:
+    """Append the first arrival of each key, for all time: what is stored refuses later ones.
+
+    The query itself keeps no state. A batch looks for its own keys among the stored ones only; the
+    stored rows are not rewritten, and below the broadcast threshold not shuffled either. Rows with a
+    NULL in their key are refused, as a primary key would.
+    """
+    spark, keys, schema = stream.sparkSession, list(keys), stream.schema
+
+    def append_new(batch: DataFrame, batch_id: int) -> None:
+        incoming = first_wins(batch, keys, arrival).persist()
+        earlier = [f"{out}/{name}" for name in folders_in(spark, out) if name != f"delta=batch-{batch_id}"]
+        stored = spark.read.schema(schema).parquet(*earlier) if earlier else spark.createDataFrame([], schema)
+        known = stored.select(*keys).join(incoming.select(*keys), keys, "left_semi")
+        write_delta(incoming.join(known, keys, "left_anti").select(*batch.columns), out, batch_id)
+        incoming.unpersist()
+
+    return _run(stream, append_new, checkpoint)
+
+
 def upsert_newest(
-    stream: DataFrame, keys: Sequence[str], newest: Sequence[str], buckets: int, out: str, checkpoint: str
+    stream: DataFrame, keys: Sequence[str], newest: Sequence[str], out: str, checkpoint: str
 ) -> StreamingQuery:
-    """Keep the newest row per key in a table, by the columns ``newest`` (descending).
+    """Keep the newest row per key, by the columns ``newest`` (descending).
 
-    The query itself keeps no state; the table does, in hash buckets of its key. A replayed batch
-    finds its own rows and changes nothing.
+    A batch appends the newest of its rows as a delta and reads nothing that is stored; ``newest_rows``
+    reads the table, ``compact`` with the same order keeps the number of deltas small.
     """
-    spark = stream.sparkSession
-    keys, order = list(keys), [F.desc(name) for name in newest]
+    order = [F.desc(name) for name in newest]
+    return _run(stream, lambda batch, n: write_delta(one_per_key(batch, list(keys), order), out, n), checkpoint)
 
-    def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        incoming = one_per_key(batch, keys, order).withColumn(
-            "bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-        )
-        write_merged(
-            spark, out, incoming, lambda old, new: keep_newest(old, new, keys, order), str(batch_id), "bucket"
-        )
 
-    return (
-        stream.writeStream.foreachBatch(merge_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def newest_rows(spark: SparkSession, out: str, schema, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
+    """The rows of a table that ``upsert_newest`` writes."""
+    return one_per_key(written_rows(spark, out, schema), list(keys), [F.desc(name) for name in newest])
+
+
+def compact_newest(spark: SparkSession, out: str, schema, keys: Sequence[str], newest: Sequence[str]) -> None:
+    compact(spark, out, schema, lambda rows: one_per_key(rows, list(keys), [F.desc(name) for name in newest]))
+
+
+COUNTS = "day DATE, n_events BIGINT, batch BIGINT"
 
 
 def count_per_day(stream: DataFrame, event_time: str, delay: str, out: str, checkpoint: str) -> StreamingQuery:
     """Arrivals per day, kept current while days are still open.
 
-    Every batch writes the days it changed under its own number, so a replay replaces its own
-    output. Rows later than the delay no longer count. ``current_counts`` reads the table.
+    Every batch writes the days it changed, with its own number, so a replay replaces its own output.
+    Rows later than the delay no longer count. ``current_counts`` reads the table, ``compact_counts``
+    keeps its number of folders small.
     """
     days = (
         stream.select(F.col(event_time).cast("timestamp").alias("event_time"))
@@ -96,20 +125,18 @@ def count_per_day(stream: DataFrame, event_time: str, delay: str, out: str, chec
         .agg(F.count(F.lit(1)).alias("n_events"))
         .select(F.col("window.start").cast("date").alias("day"), "n_events")
     )
+    write = lambda batch, n: write_delta(batch.withColumn("batch", F.lit(n).cast("long")), out, n)
+    return _run(days, write, checkpoint, "update")
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    return (
-        days.writeStream.foreachBatch(write_batch)
-        .outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def _latest_counts(written: DataFrame) -> DataFrame:
+    return one_per_key(written, ["day"], [F.desc("batch")])
 
 
 def current_counts(spark: SparkSession, out: str) -> DataFrame:
     """The latest count of each day."""
-    written = written_rows(spark, out, "day DATE, n_events BIGINT, batch_id BIGINT")
-    return one_per_key(written, ["day"], [F.desc("batch_id")]).select("day", "n_events")
+    return _latest_counts(written_rows(spark, out, COUNTS)).select("day", "n_events")
+
+
+def compact_counts(spark: SparkSession, out: str) -> None:
+    compact(spark, out, COUNTS, _latest_counts)
