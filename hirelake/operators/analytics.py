@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from hirelake.functions.keys import KEY_LENGTHS, KeyLengths
-from hirelake.operators.joins import dimension_join
 
 GRAINS = ("day", "week", "month")
 
@@ -33,20 +31,34 @@ def trend_by_role(
 
 
 def top_skills(adverts: DataFrame, role: str, toolset: str, k: int) -> DataFrame:
-    """The k most named tools per role; equal counts go by name."""
+    """The k most named tools per role; equal counts go by name.
+
+    Spellings that differ in letter case are one tool, shown as the smallest of them by code point.
+    """
     skill = F.explode(F.split(F.nullif(F.col(toolset), F.lit("")), ", "))
-    counted = (
+    spelled = (
         adverts.select(F.col(role).alias("role"), skill.alias("skill"))
         .groupBy("role", "skill")
-        .agg(F.count(F.lit(1)).alias("n_mentions"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    names = spelled.groupBy(F.lower("skill").alias("folded")).agg(F.min("skill").alias("skill"))
+    counted = (
+        spelled.groupBy("role", F.lower("skill").alias("folded"))
+        .agg(F.sum("n").alias("n_mentions"))
+        .join(names, "folded")
+        .select("role", "skill", "n_mentions")
     )
     order = W.partitionBy("role").orderBy(F.desc("n_mentions"), "skill")
     return counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
 
 
-def postings_by_location(adverts: DataFrame) -> DataFrame:
-    """Adverts per country and city, per country, and in all; ``level`` is 2, 1 and 0."""
-    cities = adverts.groupBy("country", "city").agg(F.count(F.lit(1)).alias("n"))
+def postings_by_location(adverts: DataFrame, counted: str | None = None) -> DataFrame:
+    """Adverts per country and city, per country, and in all; ``level`` is 2, 1 and 0.
+
+    ``counted`` names the column with the number of adverts, where rows are counts already.
+    """
+    n = F.count(F.lit(1)) if counted is None else F.sum(counted)
+    cities = adverts.groupBy("country", "city").agg(n.alias("n"))
     level = F.lit(2) - F.grouping("city").cast("int") - F.grouping("country").cast("int")
     return cities.rollup("country", "city").agg(
         level.alias("level"), F.sum("n").alias("n_ads")
@@ -69,25 +81,18 @@ def star_rollup(
     roles: DataFrame,
     companies: DataFrame,
     locations: DataFrame,
-    lengths: KeyLengths = KEY_LENGTHS,
 ) -> DataFrame:
     """Adverts and employers per role, country and month, over the star schema.
 
-    The dimensions are bounded by their short keys and the calendar by its months, so all joins are
-    lookups in the facts' own tasks; what is shuffled are partial counts.
+    Facts of days that the calendar doesn't have don't count. The calendar is broadcast: it has one row
+    per day, whatever the number of facts. The other sides are, below the session's threshold.
     """
-    months = calendar.select(
-        F.trunc("date_iso_format_pk", "month").alias("month"), "num_year", "num_month_in_year", "name_month_en"
-    ).distinct()
-    joined = fact.join(F.broadcast(months), F.trunc("date_posted_fk", "month") == F.col("month"))
-    for dim, name, length, labels in (
-        (roles, "role", lengths.role, ["role"]),
-        (locations, "location", lengths.location, ["country"]),
-        (companies, "company", lengths.company, []),
-    ):
-        pk = f"{name}_pk"
-        spread_by = ["date_posted_fk", "role_fk", "company_fk", "location_fk"]
-        joined = dimension_join(joined, dim.select(pk, *labels), pk, f"{name}_fk", length, spread_by)
+    days = calendar.select(
+        F.col("date_iso_format_pk").alias("date_posted_fk"), "num_year", "num_month_in_year", "name_month_en"
+    )
+    joined = fact.join(F.broadcast(days), "date_posted_fk")
+    for dim, name, labels in ((roles, "role", ["role"]), (locations, "location", ["country"]), (companies, "company", [])):
+        joined = joined.join(dim.select(F.col(f"{name}_pk").alias(f"{name}_fk"), *labels), f"{name}_fk")
     return joined.groupBy("role", "country", "num_year", "num_month_in_year", "name_month_en").agg(
         F.count(F.lit(1)).alias("n_ads"), F.count_distinct("company_fk").alias("n_companies")
     )

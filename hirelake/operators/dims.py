@@ -9,17 +9,28 @@ from pyspark.sql import functions as F
 
 from hirelake import schemas
 from hirelake.functions.dates import calendar_columns
+from hirelake.operators.keyed import one_per_key
 
 
 def dimension(clean: DataFrame, key: str, pk: str, labels: Sequence[str]) -> DataFrame:
     """One row per key. Where short keys collide the smallest label stays; NULL keys have no row.
 
     The distinct pairs come first: that step aggregates by hash before its shuffle, so a label that
-    holds a third of all rows arrives as one row per partition. What is left is small.
+    holds a third of all rows arrives as one row per partition. Of what is left one row per key stays;
+    the sort for that sees distinct pairs only.
     """
-    pairs = clean.select(key, *labels).where(F.col(key).isNotNull()).distinct()
-    winner = F.min(F.struct(*labels)).alias("winner")
-    return pairs.groupBy(F.col(key).alias(pk)).agg(winner).select(pk, "winner.*")
+    pairs = clean.select(F.col(key).alias(pk), *labels).where(F.col(pk).isNotNull()).distinct()
+    return one_per_key(pairs, [pk], [F.asc(label) for label in labels])
+
+
+def merged_dimension(stored: DataFrame, incoming: DataFrame, pk: str) -> DataFrame:
+    """Both dimensions in one: where they give a key different labels the smallest stays.
+
+    So the result doesn't depend on how adverts were split into batches.
+    """
+    labels = [c for c in stored.columns if c != pk]
+    both = stored.unionByName(incoming.select(*stored.columns)).distinct()
+    return one_per_key(both, [pk], [F.asc(label) for label in labels])
 
 
 def role_dim(clean: DataFrame) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hirelake import schemas
-from hirelake.functions.keys import KEY_LENGTHS, KeyLengths, surrogate_key
+from hirelake.functions.keys import WHOLE_KEYS, KeyLengths, surrogate_key
 from hirelake.functions.text import MISSING_TEXT, any_of, fold_accents
-from hirelake.operators.joins import lookup_join
+from hirelake.session import scratch_path
 from hirelake.sources.iso import iso_names, iso_pattern, iso_table
 
 # The roles, in label order.
@@ -31,21 +32,22 @@ TITLE_RULES = (
     (r"analyst|analytics|business intelligence|\bbi\b", "Data Analyst"),
 )
 
-# Tool names looked for in descriptions unless a job passes its own list.
+# Tool names looked for in descriptions, in any letter case, unless a job passes its own list.
 DEFAULT_TOOLS = (
     "Airflow", "AWS", "Azure", "BigQuery", "C++", "C#", "Cassandra", "Databricks", "dbt", "Docker",
-    "Elasticsearch", "Excel", "GCP", "Git", "Go", "Google Cloud", "Hadoop", "Hive", "Java",
-    "JavaScript", "Jenkins", "Jupyter", "Kafka", "Keras", "Kubernetes", "Linux", "Looker", "Matplotlib",
-    "MongoDB", "MySQL", "NumPy", "Oracle", "Pandas", "PostgreSQL", "Power BI", "PySpark", "Python",
-    "PyTorch", "R", "Redshift", "SAS", "Scala", "scikit-learn", "Snowflake", "Spark", "SQL", "SQL Server",
-    "Tableau", "TensorFlow", "Terraform",
+    "Elasticsearch", "GCP", "Git", "Google Cloud", "Hadoop", "Java", "JavaScript", "Jenkins", "Jupyter",
+    "Kafka", "Keras", "Kubernetes", "Linux", "Looker", "Matplotlib", "MongoDB", "MySQL", "NumPy",
+    "Pandas", "PostgreSQL", "Power BI", "PySpark", "Python", "PyTorch", "Redshift", "Scala",
+    "scikit-learn", "Snowflake", "SQL", "SQL Server", "Tableau", "TensorFlow", "Terraform",
 )
+# Tool names that are words or letters too: looked for as they are spelled here.
+EXACT_TOOLS = ("Excel", "Go", "Hive", "Oracle", "R", "SAS", "Spark")
 
 # What stands for a place that was not found.
 NOT_DEFINED = "Not Defined"
 
 WORD = r"[\p{L}\p{N}_+#]+"
-_LONGEST_PHRASE = 3
+_PLACE_WORD = r"[\p{L}\p{N}_'.\-]+"
 
 
 def role_from_title(title: Column | str, rules: Sequence[tuple[str, str]] = TITLE_RULES) -> Column:
@@ -57,18 +59,25 @@ def role_from_title(title: Column | str, rules: Sequence[tuple[str, str]] = TITL
     return role.otherwise(F.lit(OTHER_ROLE))
 
 
-def tools_in(text: Column | str, tools: Sequence[str] = DEFAULT_TOOLS) -> Column:
+def tools_in(
+    text: Column | str, tools: Sequence[str] = DEFAULT_TOOLS, exact: Sequence[str] | None = None
+) -> Column:
     """The tools a text names, in order, repeats kept, as they are spelled there.
 
     Where several tools begin at one place the longest wins. One regular expression does all of it
-    inside the scan's stage: no row is added and nothing is shuffled.
+    inside the scan's stage: no row is added and nothing is shuffled. Tools in ``exact`` have to be
+    spelled as they are there; without it these are EXACT_TOOLS next to the default list, else none.
     """
-    return F.regexp_extract_all(text, F.lit(any_of(tools)), F.lit(0))
+    if exact is None:
+        exact = EXACT_TOOLS if tools is DEFAULT_TOOLS else ()
+    return F.regexp_extract_all(text, F.lit(any_of(tools, exact)), F.lit(0))
 
 
-def list_of_tools(text: Column | str, tools: Sequence[str] = DEFAULT_TOOLS) -> Column:
+def list_of_tools(
+    text: Column | str, tools: Sequence[str] = DEFAULT_TOOLS, exact: Sequence[str] | None = None
+) -> Column:
     """The tools as one text; empty when there are none, NULL without a text."""
-    return F.array_join(tools_in(text, tools), ", ")
+    return F.array_join(tools_in(text, tools, exact), ", ")
 
 
 def tool_spans(docs: DataFrame, id_col: str, text: Column | str, lexicon: DataFrame) -> DataFrame:
@@ -77,52 +86,75 @@ def tool_spans(docs: DataFrame, id_col: str, text: Column | str, lexicon: DataFr
     For a lexicon table (column ``term``) of any size: words are looked up among the first words of
     the terms, and only hits go on. Where hits overlap the earlier wins, then the longer one.
     """
-    terms = _phrases(lexicon.select("term"))
-    words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
-    rest = F.size("_words")
-    ahead = F.arrays_zip(F.col("_words"), *[F.slice("_words", n, rest) for n in range(2, _LONGEST_PHRASE + 1)])
-    begun = (
-        docs.select(id_col, words.alias("_words"))
-        .select(id_col, F.posexplode(ahead).alias("start", "ahead"))
-        .select(
-            id_col,
-            "start",
-            F.col("ahead._words").alias("first"),
-            *[F.col(f"ahead.`{n}`").alias(f"w{n}") for n in range(1, _LONGEST_PHRASE)],
-        )
-    )
-    phrase = F.when(F.col("n_words") == 1, F.col("first"))
-    for n in range(2, _LONGEST_PHRASE + 1):
-        phrase = phrase.when(
-            F.col("n_words") == n, F.concat_ws(" ", "first", *[f"w{i}" for i in range(1, n)])
-        )
-    hits = lookup_join(begun, terms, "first", spread_by=["start"], how="inner").where(phrase == F.col("term"))
-    # A group holds the hits of one text, which was one value before.
-    ordered = F.sort_array(
-        F.collect_list(F.struct("start", (-F.col("n_words")).alias("shorter"), "n_words", "term"))
-    )
+    terms = _phrases(lexicon, "term", WORD)
+    begun = _phrase_starts(docs, [id_col], F.lower(text), WORD, terms)
+    hits = begun.join(terms, "first").where(F.array_join(F.slice("ahead", F.lit(1), F.col("n_words")), " ") == F.col("phrase"))
+    hits = hits.select(id_col, "start", "n_words", F.col("phrase").alias("term"))
+    # Hits that touch no earlier one begin a new group: what overlaps is decided within groups only.
+    before = W.partitionBy(id_col).orderBy("start", F.desc("n_words"), "term")
+    reached = F.max(F.col("start") + F.col("n_words")).over(before.rowsBetween(W.unboundedPreceding, -1))
+    apart = F.coalesce((F.col("start") >= reached).cast("int"), F.lit(1))
+    grouped = hits.withColumn("_apart", apart).withColumn("_group", F.sum("_apart").over(before))
+    ordered = F.sort_array(F.collect_list(F.struct("start", (-F.col("n_words")).alias("shorter"), "n_words", "term")))
     return (
-        hits.groupBy(id_col)
+        grouped.groupBy(id_col, "_group")
         .agg(ordered.alias("hits"))
         .select(id_col, F.explode(_without_overlaps(F.col("hits"))).alias("hit"))
         .select(id_col, F.col("hit.start").alias("start"), F.col("hit.n_words").alias("n_words"), F.col("hit.term").alias("term"))
     )
 
 
-def _phrases(terms: DataFrame) -> DataFrame:
-    words = F.regexp_extract_all(F.lower("term"), F.lit(WORD), F.lit(0))
+def tagged_spans(
+    docs: DataFrame, id_col: str, text: str, tools: Sequence[str] = DEFAULT_TOOLS, exact: Sequence[str] | None = None
+) -> DataFrame:
+    """The tools that ``tools_in`` finds, as spans like those of ``tool_spans``.
+
+    The text before a hit tells how many words come before it: the text is cut at the hits, which keep
+    their order, and the words of the pieces are counted.
+    """
+    if exact is None:
+        exact = EXACT_TOOLS if tools is DEFAULT_TOOLS else ()
+    pattern = F.lit(any_of(tools, exact))
+    words = lambda part: F.regexp_count(part, F.lit(WORD))
+    cut = docs.select(
+        id_col, F.regexp_extract_all(text, pattern, F.lit(0)).alias("_hits"), F.split(text, any_of(tools, exact)).alias("_between")
+    )
+    pieces = F.transform("_hits", lambda hit, i: F.struct(words(F.col("_between")[i]).alias("gap"), words(hit).alias("n_words"), F.lower(hit).alias("term"), i.alias("place")))
+    each = cut.select(id_col, F.inline(pieces))
+    before = W.partitionBy(id_col).orderBy("place").rowsBetween(W.unboundedPreceding, -1)
+    start = F.col("gap") + F.coalesce(F.sum(F.col("gap") + F.col("n_words")).over(before), F.lit(0))
+    return each.select(id_col, start.cast("int").alias("start"), F.col("n_words").cast("int").alias("n_words"), "term")
+
+
+def _phrases(terms: DataFrame, column: str, word: str) -> DataFrame:
+    """Distinct phrases of a lexicon: first word, number of words, all words joined by blanks."""
+    words = F.regexp_extract_all(F.lower(column), F.lit(word), F.lit(0))
     return (
         terms.select(words.alias("words"))
+        .where(F.size("words") > 0)
         .select(
             F.get("words", F.lit(0)).alias("first"),
             F.size("words").alias("n_words"),
-            F.array_join("words", " ").alias("term"),
+            F.array_join("words", " ").alias("phrase"),
         )
-        .where(F.col("n_words").between(1, _LONGEST_PHRASE))
         .distinct()
     )
 
 
+def _phrase_starts(rows: DataFrame, keep: Sequence[str], text: Column, word: str, phrases: DataFrame) -> DataFrame:
+    """One row per word of a text: its place, itself (``first``) and as many words as a phrase may have.
+
+    How many that are is asked of the phrases, which are few next to the texts.
+    """
+    longest = phrases.agg(F.max("n_words")).first()[0] or 1
+    words = F.regexp_extract_all(text, F.lit(word), F.lit(0))
+    each = F.transform(
+        "_words",
+        lambda w, i: F.struct(i.alias("start"), w.alias("first"), F.slice("_words", i + 1, F.lit(longest)).alias("ahead")),
+    )
+    return rows.select(*keep, words.alias("_words")).select(*keep, F.inline(each))
+
+
 def _without_overlaps(hits: Column) -> Column:
     """Of hits sorted by start, those that begin after the last kept one ended."""
     none = F.filter(hits, lambda _: F.lit(False))
@@ -145,8 +177,9 @@ def distinct_locations(df: DataFrame) -> DataFrame:
 def resolve_locations(locations: DataFrame, gazetteer: DataFrame | None = None) -> DataFrame:
     """Country and city of each distinct location text: location, geo(country, city).
 
-    First the gazetteer (country, city): the earliest and longest city named, preferring one whose
-    country is named too. Then the first upper-case ISO country code. Else 'Not Defined'.
+    First the gazetteer (country, city and, where it has one, a rank): the earliest and longest city
+    named, preferring one whose country is named too; of cities with one name the lowest rank, then the
+    first country. Then the first upper-case ISO country code. Else 'Not Defined'.
     Texts repeat a lot, so only distinct ones are looked up.
     """
     spark = locations.sparkSession
@@ -172,45 +205,45 @@ def _gazetteer_hits(distinct: DataFrame, gazetteer: DataFrame) -> DataFrame:
     def normal(text: Column | str) -> Column:
         return F.lower(fold_accents(text))
 
-    words = F.regexp_extract_all("_text", F.lit(r"[\p{L}\p{N}_'.\-]+"), F.lit(0))
-    counted = distinct.withColumn("_text", normal("location")).withColumn("_words", words)
-    starts = F.transform("_words", lambda _, i: i)
-
-    def of_length(n: int) -> Column:
-        whole = F.filter(starts, lambda i: i + n <= F.size("_words"))
-        return F.transform(
-            whole,
-            lambda i: F.struct(
-                i.alias("start"), F.lit(-n).alias("shorter"), F.array_join(F.slice("_words", i + 1, n), " ").alias("phrase")
-            ),
-        )
-
-    phrases = F.flatten(F.array(*[of_length(n) for n in range(1, _LONGEST_PHRASE + 1)]))
-    places = gazetteer.select("country", "city", normal("city").alias("phrase"), normal("country").alias("_country"))
-    hit = F.when(
-        F.col("city").isNotNull(),
-        F.struct(
-            (~F.contains(F.col("_text"), F.col("_country"))).alias("elsewhere"),
-            "start",
-            "shorter",
-            "country",
-            "city",
-        ),
+    rank = F.col("rank").cast("double") if "rank" in gazetteer.columns else F.lit(0.0)
+    cities = gazetteer.select("country", "city", normal("city").alias("_name"), normal("country").alias("_country"), rank.alias("_rank"))
+    names = F.regexp_extract_all("_name", F.lit(_PLACE_WORD), F.lit(0))
+    places = cities.withColumn("_words", names).where(F.size("_words") > 0).select(
+        "country", "city", "_country", "_rank", F.col("_words")[0].alias("first"), F.size("_words").alias("n_words"),
+        F.array_join("_words", " ").alias("phrase"),
+    )
+    texts = distinct.withColumn("_text", normal("location"))
+    begun = _phrase_starts(texts, ["location", "_text"], F.col("_text"), _PLACE_WORD, places)
+    named = begun.join(places, "first").where(
+        F.array_join(F.slice("ahead", F.lit(1), F.col("n_words")), " ") == F.col("phrase")
+    )
+    hit = F.struct(
+        (~F.contains(F.col("_text"), F.col("_country"))).alias("elsewhere"),
+        "start",
+        (-F.col("n_words")).alias("shorter"),
+        F.coalesce("_rank", F.lit(float("inf"))).alias("rank"),
+        "country",
+        "city",
     )
-    named = counted.select("location", "_text", F.inline_outer(phrases))
-    placed = lookup_join(named, places, "phrase", spread_by=["location"])
-    return placed.groupBy("location").agg(F.min(hit).alias("hit"))
+    best = named.groupBy("location").agg(F.min(hit).alias("hit"))
+    return distinct.join(best, "location", "left")
 
 
 def with_geo(df: DataFrame, gazetteer: DataFrame | None = None) -> DataFrame:
-    """Rows (with a unique ``id``) and the struct column ``geo``; NULL without a location."""
-    return lookup_join(
-        df, resolve_locations(df, gazetteer), "location", spread_by=["id"], counted=distinct_locations(df)
-    )
+    """Rows and the struct column ``geo``; NULL without a location.
+
+    Only distinct locations are looked up; their places are stored first, so that the size of the files
+    tells whether they may be broadcast. Then the rows are not shuffled; beyond the session's threshold
+    they are, and a location that holds a third of them is split by AQE.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "places")
+    places = resolve_locations(df, gazetteer)
+    places.write.parquet(path)
+    return df.join(spark.read.schema(places.schema).parquet(path), "location", "left")
 
 
 def keyed_locations(
-    df: DataFrame, gazetteer: DataFrame | None = None, lengths: KeyLengths = KEY_LENGTHS
+    df: DataFrame, gazetteer: DataFrame | None = None, lengths: KeyLengths = WHOLE_KEYS
 ) -> DataFrame:
     """The distinct locations with key, country and city: all that the location dimension needs."""
     return resolve_locations(df, gazetteer).select(
@@ -218,7 +251,7 @@ def keyed_locations(
     )
 
 
-def with_keys(df: DataFrame, lengths: KeyLengths = KEY_LENGTHS) -> DataFrame:
+def with_keys(df: DataFrame, lengths: KeyLengths = WHOLE_KEYS) -> DataFrame:
     """Rows with the surrogate keys of role, company, location and employment type."""
     return df.withColumns(
         {
@@ -230,22 +263,28 @@ def with_keys(df: DataFrame, lengths: KeyLengths = KEY_LENGTHS) -> DataFrame:
     )
 
 
+def roles_of(raw: DataFrame, model) -> DataFrame:
+    """Rows with the role a fitted classifier gives their title (see ``text_ml.NaiveBayes``).
+
+    Only distinct titles are classified. 'None' without a title, 'Other' where no word is known.
+    """
+    predicted = model.predict(raw.select("title").where("title IS NOT NULL").distinct(), "title", "title", "_role")
+    joined = raw.join(predicted.select("title", "_role"), "title", "left")
+    missing = F.isnull("title") | (F.trim("title") == "")
+    role = F.when(missing, F.lit(MISSING_TEXT)).otherwise(F.coalesce("_role", F.lit(OTHER_ROLE)))
+    return joined.select(*raw.columns, role.alias("role"))
+
+
 def keyed_postings(
     raw: DataFrame,
     rules: Sequence[tuple[str, str]] = TITLE_RULES,
     tools: Sequence[str] = DEFAULT_TOOLS,
-    lengths: KeyLengths = KEY_LENGTHS,
+    lengths: KeyLengths = WHOLE_KEYS,
+    role_model=None,
 ) -> DataFrame:
-    """Raw adverts with role, tools and keys. Every row is handled by itself; nothing is shuffled."""
-    return with_keys(
-        raw.withColumns(
-            {
-                "role": role_from_title("title", rules),
-                "toolset_list": list_of_tools("job_description", tools),
-            }
-        ),
-        lengths,
-    )
+    """Raw adverts with role, tools and keys. With rules every row is handled by itself; nothing is shuffled."""
+    named = raw.withColumn("role", role_from_title("title", rules)) if role_model is None else roles_of(raw, role_model)
+    return with_keys(named.withColumn("toolset_list", list_of_tools("job_description", tools)), lengths)
 
 
 def clean_postings(
@@ -253,10 +292,14 @@ def clean_postings(
     gazetteer: DataFrame | None = None,
     rules: Sequence[tuple[str, str]] = TITLE_RULES,
     tools: Sequence[str] = DEFAULT_TOOLS,
-    lengths: KeyLengths = KEY_LENGTHS,
+    lengths: KeyLengths = WHOLE_KEYS,
+    role_model=None,
 ) -> DataFrame:
-    """Raw adverts with role, tools, place and keys, as columns of the clean table."""
-    placed = with_geo(keyed_postings(raw, rules, tools, lengths), gazetteer)
+    """Raw adverts with role, tools, place and keys, as columns of the clean table.
+
+    Roles come from rules on the title, or from a fitted classifier where one is given.
+    """
+    placed = with_geo(keyed_postings(raw, rules, tools, lengths, role_model), gazetteer)
     return schemas.conform(
         placed.withColumns({"country": F.col("geo.country"), "city": F.col("geo.city")}), schemas.CLEAN_JOBS
     )

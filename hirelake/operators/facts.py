@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelake import schemas
-from hirelake.functions.keys import KEY_LENGTHS, KeyLengths
-from hirelake.operators.joins import dimension_join
 from hirelake.operators.keyed import one_per_key, with_whole_key
 
 
@@ -24,32 +22,31 @@ def fact_candidates(
     companies: DataFrame,
     types: DataFrame,
     locations: DataFrame,
-    lengths: KeyLengths = KEY_LENGTHS,
 ) -> DataFrame:
     """Adverts whose four keys all stand in their dimension, with their id.
 
-    Only the keys of the dimensions are joined. A key of n hex digits has at most 16**n values, so
-    these sides stay bounded however many adverts there are, and the adverts are not shuffled.
+    Only the keys of the dimensions are joined. Sides below the session's broadcast threshold, known
+    from their files or measured while the query runs, don't shuffle the adverts; a key that holds a
+    third of all adverts is split where they are.
     """
     joined = adverts
-    for dim, name, length in (
-        (roles, "role", lengths.role),
-        (companies, "company", lengths.company),
-        (types, "employment_type", lengths.employment_type),
-        (locations, "location", lengths.location),
+    for dim, name in (
+        (roles, "role"),
+        (companies, "company"),
+        (types, "employment_type"),
+        (locations, "location"),
     ):
-        pk = f"{name}_pk"
-        joined = dimension_join(joined, dim.select(pk), pk, f"{name}_key", length, spread_by=["id"])
+        joined = joined.join(dim.select(F.col(f"{name}_pk").alias(f"{name}_key")), f"{name}_key")
     return batch_candidates(joined)
 
 
 def batch_candidates(adverts: DataFrame) -> DataFrame:
-    """Adverts with keys in the columns of the fact, with their id.
+    """Adverts with keys in the columns of the fact, with their id and the days between post and update.
 
     This is all that is left of the four joins for adverts whose dimensions are loaded from these
     same adverts: a key then stands in its dimension unless it is NULL, and ``fact_rows`` drops NULLs.
     """
-    return adverts.select(
+    keyed = adverts.select(
         "id",
         F.col("date_posted").alias("date_posted_fk"),
         F.col("role_key").alias("role_fk"),
@@ -59,6 +56,7 @@ def batch_candidates(adverts: DataFrame) -> DataFrame:
         "toolset_list",
         F.col("metadata_lastupdated").alias("last_updated"),
     )
+    return with_days_opened(keyed, "date_posted_fk", "last_updated")
 
 
 def fact_rows(candidates: DataFrame) -> DataFrame:
@@ -84,17 +82,19 @@ def snapshot_history(fact: DataFrame) -> DataFrame:
 
 
 def with_days_opened(adverts: DataFrame, first: str, last: str) -> DataFrame:
-    """Days between the posting date and the last update."""
+    """Days between the posting date and the last update; NULL without one of them."""
     return adverts.withColumn("days_opened", F.date_diff(F.col(last).cast("date"), F.col(first).cast("date")))
 
 
 def lookup_update(target: DataFrame, column: str, dim: DataFrame, pk: str, label: str) -> DataFrame:
     """Set ``column`` to the key the dimension has for the row's label; keep it without one.
 
-    A label with several keys takes the smallest, so no row is doubled.
+    A label with several keys takes the smallest, so no row is doubled. For dimensions of a few labels,
+    such as the roles, of which there are as many as rules: they are broadcast, and the rows stay where
+    they are.
     """
     keys = dim.groupBy(label).agg(F.min(pk).alias("_found"))
-    return target.join(keys, label, "left").select(
+    return target.join(F.broadcast(keys), label, "left").select(
         *[
             F.coalesce("_found", column).alias(column) if name == column else F.col(name)
             for name in target.columns

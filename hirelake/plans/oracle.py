@@ -48,9 +48,9 @@ roled AS (
   FROM postings
 ),
 clean AS (
-  SELECT id, title, left(md5(role), 3) AS role_key, role, left(md5(company), 5) AS company_key, company,
-         left(md5(location), 5) AS location_key, location, r_name AS country, n_name AS city,
-         left(md5(employment_type), 3) AS employment_type_key, employment_type, date_posted,
+  SELECT id, title, md5(role) AS role_key, role, md5(company) AS company_key, company,
+         md5(location) AS location_key, location, r_name AS country, n_name AS city,
+         md5(employment_type) AS employment_type_key, employment_type, date_posted,
          {squeezed("text")} AS job_description,
          array_to_string({tools(squeezed("text"))}, ', ') AS toolset_list,
          metadata_lastupdated, metadata_application_link, metadata_source
@@ -61,7 +61,8 @@ CANDIDATES = f"""{CLEAN},
 candidates AS (
   SELECT id, date_posted AS date_posted_fk, role_key AS role_fk, company_key AS company_fk,
          employment_type_key AS employment_type_fk, location_key AS location_fk, toolset_list,
-         metadata_lastupdated AS last_updated
+         metadata_lastupdated AS last_updated,
+         CAST(date_diff('day', date_posted, CAST(metadata_lastupdated AS DATE)) AS INTEGER) AS days_opened
   FROM clean
 )"""
 
@@ -69,7 +70,7 @@ FACT_KEYS = "date_posted_fk, role_fk, company_fk, employment_type_fk, location_f
 
 FACT = f"""{CANDIDATES},
 fact AS (
-  SELECT {FACT_KEYS}, toolset_list, last_updated FROM candidates
+  SELECT {FACT_KEYS}, toolset_list, days_opened, last_updated FROM candidates
   QUALIFY row_number() OVER (PARTITION BY {FACT_KEYS} ORDER BY last_updated DESC, id DESC) = 1
 )"""
 
@@ -274,7 +275,9 @@ ORACLE_SQL: dict[str, str] = {
     "incremental_index": f"""WITH {POSTINGS}
         SELECT id, title, company, row_number() OVER (ORDER BY id) AS row_index FROM postings""",
     "surrogate_keys": f"""WITH {CLEAN_BARE}
-        SELECT id, role_key, company_key, location_key, employment_type_key FROM clean""",
+        SELECT id, left(role_key, 3) AS role_key, left(company_key, 5) AS company_key,
+               left(location_key, 5) AS location_key, left(employment_type_key, 3) AS employment_type_key
+        FROM clean""",
     "squeeze_whitespace": f"SELECT doc_id, {squeezed('text')} AS squeezed FROM documents",
     "fold_accents": "SELECT doc_id, replace(strip_accents(text), 'ß', 'ss') AS folded FROM documents",
     "parse_posted_date": f"""
@@ -312,7 +315,7 @@ ORACLE_SQL: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY location_key ORDER BY country, city) = 1""",
     "fact_load": f"WITH {FACT} SELECT * FROM fact",
     "scd1_upsert": f"""WITH {CANDIDATES_BARE}
-        SELECT {FACT_KEYS}, toolset_list, last_updated FROM candidates
+        SELECT {FACT_KEYS}, toolset_list, days_opened, last_updated FROM candidates
         QUALIFY row_number() OVER (PARTITION BY {FACT_KEYS} ORDER BY id % 2 DESC, last_updated DESC, id DESC) = 1""",
     "lookup_update": f"WITH {CLEAN_BARE} SELECT id, role, role_key FROM clean",
     "daily_snapshot": f"""WITH {FACT_BARE}
@@ -322,21 +325,24 @@ ORACLE_SQL: dict[str, str] = {
     "days_opened": """
         SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS date_posted, max(l_shipdate) AS last_updated,
                CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(max(l_shipdate) AS DATE)) AS INTEGER) AS days_opened
-        FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderdate""",
+        FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderdate""",
     "star_rollup": f"""WITH {FACT_BARE}
-        SELECT role, country, CAST(year(date_posted_fk) AS INTEGER) AS num_year,
-               CAST(month(date_posted_fk) AS INTEGER) AS num_month_in_year, monthname(date_posted_fk) AS name_month_en,
+        SELECT role, country, num_year, num_month_in_year, name_month_en,
                count(*) AS n_ads, count(DISTINCT company_fk) AS n_companies
         FROM fact
+        JOIN ({CALENDAR_OF_ORDERS}) ON date_posted_fk = date_iso_format_pk
         JOIN (SELECT DISTINCT role_key, role FROM clean) ON role_fk = role_key
         JOIN (SELECT DISTINCT location_key, country FROM clean) ON location_fk = location_key
         GROUP BY ALL""",
     "trend_by_role_month": f"""WITH {CLEAN_BARE}
         SELECT grain, CAST(date_trunc(grain, date_posted) AS DATE) AS period_start, role, count(*) AS n_ads
         FROM clean, (VALUES ('day'), ('week'), ('month')) AS g(grain) GROUP BY ALL""",
-    "top_skills_per_role": f"""WITH {DESCRIPTIONS},
-        named AS (SELECT source AS role, unnest({tools("job_description")}) AS skill FROM descriptions),
-        counted AS (SELECT role, lower(skill) AS skill, count(*) AS n_mentions FROM named GROUP BY ALL)
+    "top_skills_per_role": f"""WITH {CLEAN},
+        named AS (SELECT role, unnest({tools("job_description")}) AS spelled FROM clean),
+        spellings AS (SELECT lower(spelled) AS folded, min(encode(spelled)) AS skill FROM named GROUP BY ALL),
+        counted AS (
+          SELECT role, decode(skill) AS skill, count(*) AS n_mentions
+          FROM named JOIN spellings ON lower(spelled) = folded GROUP BY ALL)
         SELECT role, skill, n_mentions,
                CAST(row_number() OVER (PARTITION BY role ORDER BY n_mentions DESC, skill) AS INTEGER) AS place
         FROM counted QUALIFY place <= 5""",
@@ -353,8 +359,8 @@ ORACLE_SQL: dict[str, str] = {
         SELECT 'company_dim' AS table_name, company AS label, count(DISTINCT company_key) AS n_keys
         FROM clean GROUP BY company HAVING count(DISTINCT company_key) > 1
         UNION ALL
-        SELECT 'location_dim', country || ' | ' || city, count(DISTINCT left(md5(location), 5))
-        FROM page_places GROUP BY country, city HAVING count(DISTINCT left(md5(location), 5)) > 1""",
+        SELECT 'location_dim', country || ' | ' || city, count(DISTINCT md5(location))
+        FROM page_places GROUP BY country, city HAVING count(DISTINCT md5(location)) > 1""",
     "dq_fk_orphans": f"""WITH {FACT_BARE}
         {orphans("date_posted_fk", f"SELECT date_iso_format_pk FROM ({CALENDAR_OF_THE_REPORT})")}
         UNION ALL {orphans("company_fk", f"SELECT company_key FROM clean WHERE date_posted <= DATE '{DIMENSION_LOADED_UNTIL}'")}
@@ -392,7 +398,7 @@ ORACLE_SQL: dict[str, str] = {
     "eval_entity_prf": rf"""WITH {DESCRIPTIONS},
         worded AS (SELECT id, regexp_extract_all(lower(job_description), '[\p{{L}}\p{{N}}_+#]+') AS words FROM descriptions),
         places AS (SELECT id, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS start FROM worded),
-        {spans("gold", PROSE_TOOLS)}, {spans("predicted", PROSE_TOOLS[:5])},
+        {spans("gold", PROSE_TOOLS)}, {spans("predicted", PROSE_TOOLS)},
         marked AS (
           SELECT coalesce(g.term, p.term) AS term, g.id IS NOT NULL AS in_gold, p.id IS NOT NULL AS in_predicted
           FROM gold g FULL JOIN predicted p
@@ -403,10 +409,58 @@ ORACLE_SQL: dict[str, str] = {
                  count(*) FILTER (NOT in_predicted) AS fn
           FROM marked GROUP BY ROLLUP (marked.term))
         SELECT *, {PRF} FROM counted""",
-    "stream_landing_dedup": "SELECT * FROM events",
+    "train_text_classifier": rf"""WITH {DESCRIPTIONS},
+        worded AS (
+          SELECT id, lang, regexp_extract_all(lower(job_description), '[\p{{L}}\p{{N}}_]+') AS words,
+                 CAST('0x' || left(md5(CAST(id AS VARCHAR)), 8) AS BIGINT) % 5 = 0 AS dev FROM descriptions),
+        train AS (SELECT lang AS label, unnest(words) AS word FROM worded WHERE NOT dev),
+        counts AS (SELECT label, word, ln(count(*) + 1) AS weight FROM train GROUP BY ALL),
+        documents AS (
+          SELECT lang AS label, ln((count(*) + 1) / (sum(count(*)) OVER () + count(*) OVER ())) AS prior
+          FROM worded WHERE NOT dev GROUP BY lang),
+        labels AS (
+          SELECT d.label, prior, ln(count(word) + (SELECT count(DISTINCT word) FROM train)) AS cost
+          FROM documents d LEFT JOIN train t ON d.label = t.label GROUP BY ALL),
+        known AS (
+          SELECT id, word, count(*) AS n FROM (SELECT id, unnest(words) AS word FROM worded WHERE dev)
+          WHERE word IN (SELECT word FROM train) GROUP BY ALL),
+        sums AS (SELECT id, label, sum(n * weight) AS weight FROM known JOIN counts USING (word) GROUP BY ALL),
+        sizes AS (SELECT id, sum(n) AS n FROM known GROUP BY id)
+        SELECT id, lang, label AS predicted
+        FROM worded CROSS JOIN labels LEFT JOIN sums USING (id, label) LEFT JOIN sizes USING (id)
+        WHERE dev
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY
+          round(prior - coalesce(sizes.n, 0) * cost + coalesce(sums.weight, 0), 6) DESC, label) = 1""",
+    "landing_raw_jobs": f"""
+        WITH articles AS (
+          SELECT page_id, url, split_part(split_part(html, '<article>', 2), '</article>', 1) AS article FROM pages),
+        parts AS (
+          SELECT *, split_part(split_part(article, '<h1>', 2), '<', 1) AS heading,
+                 CASE WHEN contains(article, '<a ')
+                      THEN split_part(substr(split_part(article, '<a ', 2), strpos(split_part(article, '<a ', 2), '>') + 1), '<', 1)
+                      ELSE '' END AS link,
+                 coalesce(split_part(list_filter(string_split(article, '<p>')[2:], lambda p: p <> '' AND p[1] <> '<')[1], '<', 1), '') AS lead
+          FROM articles),
+        named AS (
+          SELECT page_id, url, {", ".join(
+              f"coalesce(nullif({squeezed(unescaped(part))}, ''), 'None') AS {name}"
+              for part, name in (("heading", "title"), ("link", "company"), ("lead", "location")))},
+                 coalesce(nullif({page_text("article")}, ''), 'None') AS job_description
+          FROM parts)
+        SELECT row_number() OVER (ORDER BY page_id) AS id, title, company, location, 'None' AS employment_type,
+               DATE '9999-12-30' AS date_posted, job_description,
+               date_trunc('minute', TIMESTAMP '{POSTED_ANCHOR}') AS metadata_lastupdated,
+               url AS metadata_application_link, 'pages' AS metadata_source
+        FROM (SELECT * FROM named QUALIFY row_number() OVER (PARTITION BY title, company, location ORDER BY page_id) = 1)""",
+    "stream_landing_dedup": f"""WITH {POSTINGS} SELECT {RAW_COLUMNS} FROM postings
+        QUALIFY row_number() OVER (PARTITION BY title, company, location ORDER BY id) = 1""",
     "stream_scd1_upsert": """
         SELECT * FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
     "stream_daily_count": """
         SELECT CAST(ts AS DATE) AS day, count(*) AS n_events FROM events GROUP BY ALL""",
 }
+ORACLE_SQL["eval_training_score"] = f"""
+    SELECT round(0.5 * e.f1 + 0.5 * m.f1, 6) AS score
+    FROM ({ORACLE_SQL["eval_entity_prf"]}) e, ({ORACLE_SQL["eval_macro_f1"]}) m
+    WHERE e.term = 'ALL' AND m.label = 'macro'"""

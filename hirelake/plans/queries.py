@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from hirelake import schemas
 from hirelake.functions import dates, scoring, text
-from hirelake.functions.keys import KEY_LENGTHS
-from hirelake.operators import analytics, dims, enrich, facts, keyed, quality, text_ml, writing
+from hirelake.functions.keys import SHORT_KEYS
+from hirelake.operators import analytics, dims, enrich, facts, keyed, landing, quality, text_ml, writing
 from hirelake.session import scratch_path
 from hirelake.sources import fixtures
 from hirelake.sources.pages import element_html, visible_text
@@ -25,11 +25,13 @@ POSTED_ANCHOR = "2024-02-01 00:30:00"
 # The calendar and the company dimension that the quality reports check the facts against end early.
 CALENDAR_OF_REPORT = ("1995-01-01", "2000-12-31")
 DIMENSION_LOADED_UNTIL = "1996-06-30"
-# What the dimensions and the fact are built from.
-STORED = (
-    "id", "date_posted", "role_key", "role", "company_key", "company", "location_key", "employment_type_key",
-    "employment_type", "toolset_list", "metadata_lastupdated",
-)
+# What the dimensions and the fact are built from: the clean table without its texts and places.
+STORED = [
+    name
+    for name in schemas.CLEAN_JOBS.column_names
+    if name not in ("title", "location", "country", "city", "job_description")
+    and (name == "metadata_lastupdated" or not name.startswith("metadata"))
+]
 
 
 def query(fn: Query) -> Query:
@@ -98,6 +100,22 @@ def extract_page_text(spark, folder):
     )
 
 
+@query
+def landing_raw_jobs(spark, folder):
+    """Raw adverts of the stored pages: their heading, and a link and an article as company and text.
+
+    The heading and the text stand in the article; the links of the menu before it are no company.
+    """
+    return landing.raw_jobs(
+        fixtures.pages(spark, folder),
+        F.lit(POSTED_ANCHOR).cast("timestamp_ntz"),
+        "pages",
+        fixtures.PAGE_ADVERT,
+        header=("article", None),
+        body=("article", None),
+    )
+
+
 @query
 def every_second_row(spark, folder):
     pages = fixtures.page_postings(spark, folder).select("id", "company", "metadata_application_link")
@@ -161,7 +179,7 @@ def surrogate_keys(spark, folder):
     adverts = fixtures.postings(spark, folder).withColumn(
         "role", enrich.role_from_title("title", fixtures.SEGMENT_ROLES)
     )
-    return enrich.with_keys(adverts).select(
+    return enrich.with_keys(adverts, SHORT_KEYS).select(
         "id", "role_key", "company_key", "location_key", "employment_type_key"
     )
 
@@ -206,18 +224,17 @@ def chunk_text(spark, folder):
 
 @query
 def rejoin_chunks(spark, folder):
-    chunks = text.explode_chunks(fixtures.descriptions(spark, folder), "id", "job_description")
-    return text.rejoin_chunks(chunks, "id")
+    docs = fixtures.descriptions(spark, folder).select("id", text.rejoined("job_description").alias("text"))
+    return docs.where("text IS NOT NULL")
 
 
 def _language_scores(spark, folder):
     docs = fixtures.descriptions(spark, folder)
-    words = F.regexp_extract_all(F.lower("job_description"), F.lit(r"\p{L}+"), F.lit(0))
     scores = {
-        lang: scoring.marker_count(F.col("words"), markers)
+        lang: scoring.marker_count(F.lower("job_description"), markers)
         for lang, markers in fixtures.LANGUAGE_MARKERS.items()
     }
-    scored = docs.select("id", "lang", words.alias("words")).withColumn("scores", scoring.score_map(scores))
+    scored = docs.select("id", "lang", scoring.score_map(scores).alias("scores"))
     category = scoring.argmax_category(F.col("scores"), list(fixtures.LANGUAGE_MARKERS))
     return scored.withColumn("category", category)
 
@@ -336,7 +353,7 @@ def snapshot_history(spark, folder):
 
 @query
 def days_opened(spark, folder):
-    """Days from the posting of an order to the last shipment of one of its items."""
+    """Days from the posting of an order to the last shipment of one of its items; NULL without items."""
     last = (
         read_table(spark, folder, "lineitem")
         .groupBy(F.col("l_orderkey").alias("id"))
@@ -345,7 +362,7 @@ def days_opened(spark, folder):
     adverts = read_table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("date").alias("date_posted")
     )
-    return facts.with_days_opened(adverts.join(last, "id"), "date_posted", "last_updated")
+    return facts.with_days_opened(adverts.join(last, "id", "left"), "date_posted", "last_updated")
 
 
 # --- analytics --------------------------------------------------------------------------------
@@ -370,14 +387,15 @@ def trend_by_role_month(spark, folder):
 
 @query
 def top_skills_per_role(spark, folder):
-    docs = fixtures.descriptions(spark, folder)
-    found = enrich.list_of_tools("job_description", fixtures.PROSE_TOOLS)
-    return analytics.top_skills(docs.withColumn("toolset_list", F.lower(found)), "source", "toolset_list", 5)
+    adverts = keyed_adverts(spark, folder, descriptions=True)
+    return analytics.top_skills(adverts, "role", "toolset_list", 5)
 
 
 @query
 def postings_by_location(spark, folder):
-    return analytics.postings_by_location(clean(spark, folder))
+    counted = fixtures.postings(spark, folder).groupBy("location").agg(F.count(F.lit(1)).alias("n"))
+    placed = enrich.with_geo(counted, fixtures.gazetteer(spark, folder)).select("n", "geo.country", "geo.city")
+    return analytics.postings_by_location(placed, "n")
 
 
 @query
@@ -438,8 +456,8 @@ def dq_not_null(spark, folder):
 def dq_key_collisions(spark, folder):
     """Companies with equal keys, at the key length in use and at the shorter one."""
     adverts = fixtures.postings(spark, folder)
-    return quality.key_collisions(adverts, "company", "company", KEY_LENGTHS.company).unionByName(
-        quality.key_collisions(adverts, "company", "company", KEY_LENGTHS.role)
+    return quality.key_collisions(adverts, "company", "company", SHORT_KEYS.company).unionByName(
+        quality.key_collisions(adverts, "company", "company", SHORT_KEYS.role)
     )
 
 
@@ -461,8 +479,8 @@ def hash_split(spark, folder):
 def train_text_classifier(spark, folder):
     """Train on four fifths of the documents, classify the others."""
     docs = text_ml.hash_split(fixtures.descriptions(spark, folder), "id")
-    model = text_ml.train_text_classifier(docs.where("split = 'train'"), "job_description", "lang")
-    return model.transform(docs.where("split = 'dev'")).select("id", "lang", "predicted")
+    model = text_ml.fit_naive_bayes(docs.where("split = 'train'"), "job_description", "lang")
+    return model.predict(docs.where("split = 'dev'"), "id", "job_description").select("id", "lang", "predicted")
 
 
 @query
@@ -472,16 +490,23 @@ def eval_macro_f1(spark, folder):
     )
 
 
+def _entity_scores(spark, folder):
+    docs = fixtures.descriptions(spark, folder)
+    lexicon = spark.createDataFrame([(t,) for t in fixtures.PROSE_TOOLS], "term string")
+    gold = enrich.tool_spans(docs, "id", "job_description", lexicon)
+    return text_ml.entity_prf(gold, enrich.tagged_spans(docs, "id", "job_description", fixtures.PROSE_TOOLS), "id")
+
+
 @query
 def eval_entity_prf(spark, folder):
-    """The whole tool list as gold, its first five words as prediction."""
-    docs = fixtures.descriptions(spark, folder)
+    """The tools found word by word as gold, those of the regular expression of the load as prediction."""
+    return _entity_scores(spark, folder)
 
-    def spans(terms):
-        lexicon = spark.createDataFrame([(t,) for t in terms], "term string")
-        return enrich.tool_spans(docs, "id", "job_description", lexicon)
 
-    return text_ml.entity_prf(spans(fixtures.PROSE_TOOLS), spans(fixtures.PROSE_TOOLS[:5]), "id")
+@query
+def eval_training_score(spark, folder):
+    """Both scores in one number."""
+    return text_ml.training_score(_entity_scores(spark, folder), QUERIES["eval_macro_f1"](spark, folder))
 
 
 # --- streams ----------------------------------------------------------------------------------
@@ -494,12 +519,16 @@ def _event_stream(spark, folder):
 
 @query
 def stream_landing_dedup(spark, folder):
-    """Every event arrives twice; each is kept once."""
-    stream = _event_stream(spark, folder)
+    """Every advert arrives twice; the first of each title, company and location is kept."""
+    orders = read_table(spark, folder, "orders")
+    arriving = jobs.arriving_files(spark, f"{folder.rstrip('/')}/orders.parquet", orders.schema)
+    adverts = schemas.conform(fixtures.postings(spark, folder, orders=arriving), schemas.RAW_JOBS)
     out, checkpoint = scratch_path(spark, "ingest"), scratch_path(spark, "checkpoint")
-    twice = stream.unionByName(_event_stream(spark, folder))
-    jobs.ingest_once(twice, ["event_id"], "ts", "1 hour", out, checkpoint).awaitTermination()
-    return jobs.written_rows(spark, out, stream.schema)
+    for _ in range(2):
+        # The second run starts over: what is stored refuses all it brings.
+        jobs.ingest_once(adverts, schemas.RAW_JOBS.key, "id", out, checkpoint).awaitTermination()
+        checkpoint = scratch_path(spark, "checkpoint")
+    return jobs.written_rows(spark, out, adverts.schema)
 
 
 @query
@@ -507,10 +536,9 @@ def stream_scd1_upsert(spark, folder):
     """The latest event of each user and type."""
     stream = _event_stream(spark, folder)
     out, checkpoint = scratch_path(spark, "newest"), scratch_path(spark, "checkpoint")
-    jobs.upsert_newest(
-        stream, ["user_id", "event_type"], ["ts", "event_id"], 16, out, checkpoint
-    ).awaitTermination()
-    return jobs.written_rows(spark, out, stream.schema).select(*stream.columns)
+    keys, newest = ["user_id", "event_type"], ["ts", "event_id"]
+    jobs.upsert_newest(stream, keys, newest, out, checkpoint).awaitTermination()
+    return jobs.newest_rows(spark, out, stream.schema, keys, newest)
 
 
 @query

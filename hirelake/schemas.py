@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hirelake.session import path_exists
+
 LANDING, PRESENTATION = "landing", "presentation"
 
 
@@ -37,7 +39,8 @@ class Table:
         return list(self.column_types)
 
 
-# Names, order, types and limits of the columns are the interface of the warehouse.
+# Names, order, types and limits of the columns are the interface of the warehouse. Keys may
+# be as long as whole ones.
 RAW_JOBS = Table(
     LANDING,
     "raw_jobs",
@@ -65,15 +68,15 @@ CLEAN_JOBS = Table(
     key=("id",),
     limits={
         "title": 100,
-        "role_key": 3,
+        "role_key": 32,
         "role": 50,
-        "company_key": 5,
+        "company_key": 32,
         "company": 100,
-        "location_key": 5,
+        "location_key": 32,
         "location": 100,
         "country": 50,
         "city": 50,
-        "employment_type_key": 3,
+        "employment_type_key": 32,
         "employment_type": 100,
         "toolset_list": 500,
         "metadata_application_link": 255,
@@ -86,7 +89,7 @@ ROLE_DIM = Table(
     "role_pk STRING, role STRING",
     key=("role_pk",),
     unique=("role",),
-    limits={"role_pk": 3, "role": 30},
+    limits={"role_pk": 32, "role": 30},
 )
 EMPLOYMENT_TYPE_DIM = Table(
     PRESENTATION,
@@ -94,14 +97,14 @@ EMPLOYMENT_TYPE_DIM = Table(
     "employment_type_pk STRING, employment_type STRING",
     key=("employment_type_pk",),
     unique=("employment_type",),
-    limits={"employment_type_pk": 3, "employment_type": 30},
+    limits={"employment_type_pk": 32, "employment_type": 30},
 )
 LOCATION_DIM = Table(
     PRESENTATION,
     "location_dim",
     "location_pk STRING, country STRING, city STRING",
     key=("location_pk",),
-    limits={"location_pk": 5, "country": 30, "city": 30},
+    limits={"location_pk": 32, "country": 30, "city": 30},
 )
 COMPANY_DIM = Table(
     PRESENTATION,
@@ -109,7 +112,7 @@ COMPANY_DIM = Table(
     "company_pk STRING, company STRING",
     key=("company_pk",),
     unique=("company",),
-    limits={"company_pk": 5, "company": 50},
+    limits={"company_pk": 32, "company": 50},
 )
 SENIORITY_DIM = Table(
     PRESENTATION,
@@ -117,7 +120,7 @@ SENIORITY_DIM = Table(
     "seniority_pk STRING, seniority STRING",
     key=("seniority_pk",),
     unique=("seniority",),
-    limits={"seniority_pk": 3},
+    limits={"seniority_pk": 32},
 )
 DATE_DIM = Table(
     PRESENTATION,
@@ -138,13 +141,13 @@ FACT = Table(
     PRESENTATION,
     "fact_less_table",
     "date_posted_fk DATE, role_fk STRING, company_fk STRING, employment_type_fk STRING, "
-    "location_fk STRING, toolset_list STRING, last_updated TIMESTAMP_NTZ",
+    "location_fk STRING, toolset_list STRING, days_opened INT, last_updated TIMESTAMP_NTZ",
     key=("date_posted_fk", "role_fk", "company_fk", "employment_type_fk", "location_fk"),
     limits={
-        "role_fk": 3,
-        "company_fk": 5,
-        "employment_type_fk": 3,
-        "location_fk": 5,
+        "role_fk": 32,
+        "company_fk": 32,
+        "employment_type_fk": 32,
+        "location_fk": 32,
         "toolset_list": 500,
     },
     partition_by=("posted_month",),
@@ -194,3 +197,13 @@ def create_tables(spark: SparkSession, root: str) -> None:
             f"CREATE TABLE IF NOT EXISTS {table.zone}.{table.name} ({table.columns}{extra}) "
             f"USING parquet {layout}LOCATION '{table_path(root, table)}'"
         )
+
+
+def refresh_tables(spark: SparkSession, root: str) -> None:
+    """Let the tables of this session's catalog show what has been written to their folders."""
+    for table in TABLES:
+        name = f"{table.zone}.{table.name}"
+        if spark.catalog.tableExists(name) and path_exists(spark, table_path(root, table)):
+            if table.partition_by:
+                spark.catalog.recoverPartitions(name)
+            spark.catalog.refreshTable(name)

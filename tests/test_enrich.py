@@ -3,8 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from hirelake.operators import enrich
-from hirelake.operators.joins import lookup_join
+from hirelake.operators import enrich, text_ml
 from hirelake.sources.iso import ISO_SHORT_NAMES, iso_names
 
 
@@ -124,16 +123,46 @@ def test_iso_names(spark):
     assert set(ISO_SHORT_NAMES) <= set(names)
 
 
-def test_salted_lookup_equals_broadcast_lookup(spark):
-    # Key 0 holds a third of all rows, key 99 has no row in the lookup table.
-    many = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 100).alias("k"))
-    few = spark.range(99).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    for how in ("left", "inner"):
-        small = lookup_join(many, few, "k", spread_by=["id"], how=how)
-        large = lookup_join(many, few, "k", spread_by=["id"], how=how, max_rows=10)
-        plan = large._jdf.queryExecution().toString()
-        assert "_salt" in plan
-        assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, large.collect()), key=str)
+def test_long_terms_and_places_are_found(spark, rows):
+    docs = rows("id long, t string", (1, "we run Amazon Web Services Cloud Formation daily"))
+    lexicon = rows("term string", ("amazon web services cloud formation",), ("cloud",))
+    assert [r["term"] for r in enrich.tool_spans(docs, "id", "t", lexicon).collect()] == ["amazon web services cloud formation"]
+    adverts = rows("id long, location string", (1, "Santa Cruz de Tenerife, Spain"), (2, "London"), (3, None))
+    table = rows(
+        "country string, city string, rank int",
+        ("Bolivia", "Santa Cruz", 1), ("Spain", "Santa Cruz de Tenerife", 9), ("Canada", "London", 2), ("United Kingdom", "London", 1),
+    )
+    found = {r["id"]: r["geo"] and tuple(r["geo"]) for r in enrich.with_geo(adverts, table).collect()}
+    assert found == {1: ("Spain", "Santa Cruz de Tenerife"), 2: ("United Kingdom", "London"), 3: None}
+
+
+def test_tools_that_are_words_are_looked_for_as_spelled(value):
+    tools = enrich.list_of_tools("x")
+    assert value(tools, "x string", "We excel at teamwork, go live fast, R&D, spark joy") == ""
+    assert value(tools, "x string", "Excel, Go and R; Google Cloud, spark? Spark!") == "Excel, Go, R, Google Cloud, Spark"
+
+
+def test_tagged_spans_equal_spans_by_words(rows):
+    docs = rows("id long, t string", (1, "a, b; c a b"), (2, "x"), (3, None), (4, "b"))
+    terms = ["a b", "b", "c"]
+    spans = enrich.tool_spans(docs, "id", "t", rows("term string", *[(t,) for t in terms]))
+    tagged = enrich.tagged_spans(docs, "id", "t", terms)
+    assert tagged.columns == spans.columns
+    # Words next to each other make a phrase for the one, a single blank between them for the other.
+    assert sorted(map(tuple, tagged.collect())) == [(1, 1, 1, "b"), (1, 2, 1, "c"), (1, 3, 2, "a b"), (4, 0, 1, "b")]
+    assert sorted(map(tuple, spans.collect())) == [(1, 0, 2, "a b"), (1, 2, 1, "c"), (1, 3, 2, "a b"), (4, 0, 1, "b")]
+
+
+def test_a_fitted_classifier_names_the_roles(rows):
+    known = rows("title string, role string", ("data engineer", "Data Engineer"), ("etl engineer", "Data Engineer"),
+                 ("data analyst", "Data Analyst"), ("bi analyst", "Data Analyst"), ("x", None))
+    model = text_ml.fit_naive_bayes(known, "title", "role")
+    assert (model.labels, model.weights.count()) == (["Data Analyst", "Data Engineer"], 5)
+    raw = rows("id long, title string, company string, location string, employment_type string, job_description string",
+               (1, "Senior Engineer", "c", "l", "t", None), (2, "Analyst, BI", "c", "l", "t", None),
+               (3, None, "c", "l", "t", None), (4, " ", "c", "l", "t", None))
+    found = {r["id"]: r["role"] for r in enrich.keyed_postings(raw, role_model=model).collect()}
+    assert found == {1: "Data Engineer", 2: "Data Analyst", 3: "None", 4: "None"}
 
 
 def test_clean_postings_computes_each_column_once_and_keeps_rows(spark, rows):
@@ -146,6 +175,6 @@ def test_clean_postings_computes_each_column_once_and_keeps_rows(spark, rows):
     )
     first, second = enrich.clean_postings(raw).orderBy("id").collect()
     assert (first["role"], first["country"], first["toolset_list"]) == ("Data Engineer", "Germany", "Spark, SQL")
-    assert len(first["role_key"]) == 3 and len(first["company_key"]) == 5
+    assert len(first["role_key"]) == 32 and len(first["company_key"]) == 32
     assert second["role"] == "None" and second["role_key"] is not None
     assert [second[c] for c in ("company_key", "location_key", "country", "toolset_list")] == [None] * 4

@@ -18,7 +18,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in queries.QUERIES if n != "train_text_classifier"])
+@pytest.mark.parametrize("name", list(queries.QUERIES))
 def test_no_query_crosses_rows_or_runs_python(spark, name):
     text = plan(queries.QUERIES[name](spark, FOLDER))
     for step in ("CartesianProduct", "NestedLoop", "EvalPython", "MapInPandas", "PythonUDF"):
@@ -78,3 +78,18 @@ def test_small_batch_leaves_the_stored_table_unshuffled(spark):
     target.limit(10).write.parquet(batch_path)
     text = plan(keyed.upsert(target, spark.read.parquet(batch_path), schemas.FACT.key))
     assert "LeftAnti, BuildRight" in text and "hashpartitioning" not in text
+
+
+def test_dimensions_reduce_by_hash_before_they_shuffle(spark):
+    text = plan(dims.company_dim(spark.read.parquet(stored_clean(spark))))
+    assert "SortAggregate" not in text
+    below = text[text.index("Exchange hashpartitioning") :]
+    assert "HashAggregate" in text and "HashAggregate" in below
+
+
+def test_lookup_update_and_rejoined_pieces_move_no_row(spark):
+    adverts = spark.read.parquet(stored_clean(spark))
+    blank = adverts.select("id", "role", F.lit(None).cast("string").alias("role_key"))
+    text = plan(facts.lookup_update(blank, "role_key", dims.role_dim(adverts), "role_pk", "role"))
+    assert "BroadcastHashJoin" in text and "Exchange" not in text.split("BroadcastExchange")[0]
+    assert "Exchange" not in plan(queries.QUERIES["rejoin_chunks"](spark, FOLDER))

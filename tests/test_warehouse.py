@@ -7,12 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from hirelake import schemas
-from hirelake.functions.keys import KeyLengths
+from hirelake.functions.keys import SHORT_KEYS, KeyLengths
 from hirelake.operators import analytics, dims, enrich, facts, keyed, landing, quality, text_ml, writing
 from hirelake.plans import load, queries
-from hirelake.session import scratch_path
+from hirelake.session import delete_path, path_exists, scratch_path
 from hirelake.sources import fixtures
-from hirelake.sources.pages import ADVERT_HEADER, extract_fields, visible_text
+from hirelake.sources.pages import ADVERT_HEADER, element_html, extract_fields, visible_text
 from hirelake.sources.tables import jdbc_options
 
 FOLDER = "/root/testdata/sf0.001"
@@ -62,17 +62,17 @@ def test_joined_facts_equal_facts_of_the_batch(spark):
     assert as_set(facts.fact_rows(joined)) == as_set(facts.fact_rows(facts.batch_candidates(adverts)))
 
 
-def test_longer_keys_give_the_same_facts(spark):
-    lengths = KeyLengths(role=8, employment_type=8, company=16, location=16)
+@pytest.mark.parametrize("lengths", [SHORT_KEYS, KeyLengths(role=8, employment_type=8, company=16, location=16)])
+def test_other_key_lengths_give_the_same_rollup(spark, lengths):
     raw = fixtures.postings(spark, FOLDER)
     adverts = enrich.keyed_postings(raw, fixtures.SEGMENT_ROLES, fixtures.PROSE_TOOLS, lengths)
     locations = dims.location_dim(enrich.keyed_locations(raw, fixtures.gazetteer(spark, FOLDER), lengths))
     roles, companies, types = dims.role_dim(adverts), dims.company_dim(adverts), dims.employment_type_dim(adverts)
-    assert companies.where("length(company_pk) = 16").count() == adverts.select("company").distinct().count()
-    fact = facts.fact_rows(facts.fact_candidates(adverts, roles, companies, types, locations, lengths))
+    assert {len(r[0]) for r in companies.select("company_pk").collect()} == {lengths.company}
+    fact = facts.fact_rows(facts.fact_candidates(adverts, roles, companies, types, locations))
     assert as_set(fact) == as_set(facts.fact_rows(facts.batch_candidates(adverts)))
     calendar = queries.calendar_of(adverts)
-    found = analytics.star_rollup(fact, calendar, roles, companies, locations, lengths)
+    found = analytics.star_rollup(fact, calendar, roles, companies, locations)
     assert as_set(found) == as_set(queries.QUERIES["star_rollup"](spark, FOLDER))
 
 
@@ -138,7 +138,7 @@ def test_quality_reports_find_injected_rows(spark, rows):
     }
     assert as_set(quality.unique_violations(dim, "role_dim", ["role"], "role_pk")) == {("role_dim", "y", 2)}
     assert as_set(quality.varchar_overflow(dim, schemas.ROLE_DIM)) == {
-        ("role_dim", "role_pk", 3, 0, 1),
+        ("role_dim", "role_pk", 32, 0, 1),
         ("role_dim", "role", 30, 1, 31),
     }
     assert as_set(quality.null_counts(dim, "role_dim", ["role_pk", "role"])) == {
@@ -164,6 +164,8 @@ def test_analytics_on_literal_rows(rows):
         ("s", "B", "b", None, dt.date(2024, 2, 1)),
     )
     assert as_set(analytics.top_skills(adverts, "role", "toolset_list", 1)) == {("r", "SQL", 2, 1)}
+    spelled = rows("role string, t string", ("r", "python, Python, Spark"), ("s", "python"))
+    assert as_set(analytics.top_skills(spelled, "role", "t", 1)) == {("r", "Python", 2, 1), ("s", "Python", 1, 1)}
     trend = analytics.trend_by_role(adverts).where("role = 'r' AND grain <> 'day'")
     assert as_set(trend) == {
         ("week", dt.date(2024, 1, 1), "r", 2),
@@ -197,22 +199,36 @@ def test_scores(rows):
     assert found == {"x": (1, 0, 0), "y": (0, 1, 0), "y z": (0, 0, 1), "ALL": (1, 1, 1)}
 
 
-HEADER = """<div><a class="l" href="/c">Acme &amp; Co</a><h2 class="t"><span>x</span> <strong>Data
+HEADER = """<nav><a href="/">Home</a></nav><h2>Welcome</h2><strong>this first</strong>
+<div class="x jobOverview--1"><div><a class="l" href="/c">Acme &amp; Co</a><h2 class="t"><span>x</span> <strong>Data
  Engineer</strong></h2><span data-ui="overview-location">Berlin, DE</span>
- <span class="q" data-ui="overview-date-posted">Posted 2 days ago</span></div>
-<script>if (a < b) { "</div>" }</script><p>Use&nbsp;<b>Spa</b>rk<br>daily<!-- no --></p>"""
+ <span class="q" data-ui="overview-date-posted">Posted 2 days ago</span></div></div>
+<div class="jobBreakdown_2"><script>if (a < b) { "" }</script><p>Use&nbsp;<b>Spa</b>rk<br>daily<!-- no --></p></div>
+<footer>foot</footer>"""
 
 
 def test_advert_header(rows):
     page = rows("html string", (HEADER,))
-    found = page.select(*extract_fields("html", ADVERT_HEADER)).first()
+    found = page.select(*extract_fields(element_html("html", "div", "jobOverview"), ADVERT_HEADER)).first()
     assert (found["company"], found["location"]) == ("Acme & Co", "Berlin, DE")
     assert found["title"] == "Data\n Engineer" and found["employment_type"] is None
     assert page.select(visible_text("html").alias("t")).first()["t"] == (
-        "Acme & Co x Data Engineer Berlin, DE Posted 2 days ago Use Spark daily"
+        "Home Welcome this first Acme & Co x Data Engineer Berlin, DE Posted 2 days ago Use Spark daily foot"
     )
 
 
+def test_elements_are_balanced(value):
+    def inner(html, tag, css_class=None):
+        return value(element_html("x", tag, css_class), "x string", html)
+
+    assert inner("<article>ad one</article><article>two</article>", "article") == "ad one"
+    assert inner('<p><div class="a"><div>in</div>x</div>y</p>', "div", "a") == "<div>in</div>x"
+    assert inner('<div class="aa b"><divider></divider>1</div><div class="b">2</div>', "div", "b") == "<divider></divider>1"
+    assert inner('<div class="nob">1</div>', "div", "b") is None
+    assert inner("<div>open <b>end", "div") == "open <b>end"
+    assert inner("no element", "div") is None and inner(None, "div") is None
+
+
 def test_raw_jobs_from_pages(rows):
     other = HEADER.replace("Berlin", "Bonn")
     pages = rows("page_id long, url string, html string", (7, "u7", HEADER), (8, "u8", HEADER), (9, None, other))
@@ -223,6 +239,7 @@ def test_raw_jobs_from_pages(rows):
         (2, "Bonn, DE", "None"),
     ]
     assert found[0]["title"] == "Data Engineer" and found[0]["employment_type"] == "None"
+    assert (found[0]["company"], found[0]["job_description"]) == ("Acme & Co", "Use Spark daily")
     assert found[0]["date_posted"] == dt.date(2024, 1, 30)
     assert found[0]["metadata_lastupdated"] == dt.datetime(2024, 2, 1, 10, 11)
 
@@ -244,6 +261,8 @@ def test_reload_goes_on_counting(spark, rows):
     path = scratch_path(spark, "reload")
     writing.reload_table(spark, rows("id long, v string", (10, "a"), (20, "b")), path, "id", "id")
     assert as_set(spark.read.parquet(path)) == {(1, "a"), (2, "b")}
+    writing.reload_table(spark, rows("id long, v string"), path, "id", "id")
+    assert spark.read.parquet(path).count() == 0
     writing.reload_table(spark, rows("id long, v string", (5, "c")), path, "id", "id")
     assert as_set(spark.read.parquet(path)) == {(3, "c")}
 
@@ -255,10 +274,10 @@ def test_merge_rewrites_touched_partitions_only_and_can_be_repeated(spark, rows)
         return keyed.upsert(old, new, ["k"])
 
     schema = "k int, v string, m string"
-    writing.write_merged(spark, path, rows(schema, (1, "a", "x"), (2, "b", "y"), (3, "c", "y")), merge, "1", "m")
+    writing.write_merged(spark, path, rows(schema, (1, "a", "x"), (2, "b", "y"), (3, "c", "y")), merge, "m")
     untouched = {f for f in spark.read.parquet(path).inputFiles() if "m=x" in f}
     for _ in range(2):
-        writing.write_merged(spark, path, rows(schema, (3, "d", "y"), (4, "e", "z")), merge, "2", "m")
+        writing.write_merged(spark, path, rows(schema, (3, "d", "y"), (4, "e", "z")), merge, "m")
         assert as_set(spark.read.parquet(path), "k", "v", "m") == {
             (1, "a", "x"),
             (2, "b", "y"),
@@ -267,7 +286,7 @@ def test_merge_rewrites_touched_partitions_only_and_can_be_repeated(spark, rows)
         }
     assert untouched <= set(spark.read.parquet(path).inputFiles())
     # The same batch with other rows is merged anew.
-    writing.write_merged(spark, path, rows(schema, (4, "f", "z")), merge, "2", "m")
+    writing.write_merged(spark, path, rows(schema, (4, "f", "z")), merge, "m")
     assert as_set(spark.read.parquet(path).where("m = 'z'"), "k", "v") == {(4, "f")}
     touched = writing.stored_rows(spark, path, rows(schema, (9, "g", "y")), "m")
     pruned = re.search(r"PartitionFilters: \[.*m#\d+ = y", touched._jdf.queryExecution().executedPlan().toString())
@@ -275,21 +294,26 @@ def test_merge_rewrites_touched_partitions_only_and_can_be_repeated(spark, rows)
     assert {f.split("m=")[1][0] for f in touched.inputFiles()} >= {"y"}
 
 
-def test_a_merge_that_was_lost_is_finished_from_its_stage(spark, rows):
+def test_a_merge_that_was_lost_is_finished_by_the_next_batch(spark, rows):
     path = scratch_path(spark, "lost")
 
     def merge(old, new):
         return keyed.upsert(old, new, ["k"])
 
-    writing.write_merged(spark, path, rows("k int, v string", (1, "a")), merge, "1")
-    # The state after a crash: everything is staged, the table is gone.
-    staged = rows("k int, v string, batch_id string", (1, "a", "2"), (2, "b", "2"))
-    staged.write.mode("overwrite").partitionBy("batch_id").parquet(f"{path}_stage")
-    rows("k int, v string").write.mode("overwrite").parquet(path)
-    writing.write_merged(spark, path, rows("k int, v string", (2, "b")), merge, "2")
-    assert as_set(spark.read.parquet(path)) == {(1, "a"), (2, "b")}
-    # An unfinished stage is not trusted.
-    assert not spark.read.schema("k int").parquet(f"{path}_stage").count()
+    writing.write_merged(spark, path, rows("k int, v string", (1, "a")), merge)
+    # The state after a crash: everything is staged, the table is gone, and half a stage lies about.
+    rows("k int, v string", (1, "a"), (2, "b")).write.mode("overwrite").parquet(f"{path}_stage")
+    rows("k int, v string", (9, "z")).write.mode("overwrite").parquet(f"{path}_staging")
+    delete_path(spark, path)
+    writing.write_merged(spark, path, rows("k int, v string", (3, "c")), merge)
+    assert as_set(spark.read.parquet(path)) == {(1, "a"), (2, "b"), (3, "c")}
+    assert not any(path_exists(spark, f"{path}_{name}") for name in ("stage", "staging", "incoming"))
+
+
+def test_dimensions_do_not_depend_on_batches(rows):
+    first, second = rows("k string, v string", ("a", "Beta")), rows("k string, v string", ("a", "Alpha"), ("b", "x"))
+    assert as_set(dims.merged_dimension(first, second, "k")) == {("a", "Alpha"), ("b", "x")}
+    assert as_set(dims.merged_dimension(second, first, "k")) == {("a", "Alpha"), ("b", "x")}
 
 
 def test_batch_load_twice_and_in_two_batches(spark):
@@ -299,17 +323,17 @@ def test_batch_load_twice_and_in_two_batches(spark):
     schemas.create_tables(spark, root)
     load.load_calendar(spark, root, "1995-01-01", "2001-08-01")
 
-    def run(rows, batch):
+    def run(rows):
         load.load_batch(
-            spark, rows, root, batch, queries.SNAPSHOT_DAY, places, fixtures.SEGMENT_ROLES, fixtures.PROSE_TOOLS
+            spark, rows, root, queries.SNAPSHOT_DAY, places, fixtures.SEGMENT_ROLES, fixtures.PROSE_TOOLS
         )
 
     def table(t):
         return spark.read.parquet(schemas.table_path(root, t))
 
-    run(raw.where("id % 2 = 0"), "even")
-    run(raw.where("id % 2 = 0"), "even")
-    run(raw.where("id % 2 = 1"), "odd")
+    run(raw.where("id % 2 = 0"))
+    run(raw.where("id % 2 = 0"))
+    run(raw.where("id % 2 = 1"))
     candidates = facts.batch_candidates(enrich.keyed_postings(raw, fixtures.SEGMENT_ROLES, fixtures.PROSE_TOOLS))
     order = [F.desc(F.col("id") % 2), *facts.newest_first()]
     expected = schemas.conform(keyed.one_per_key(candidates, schemas.FACT.key, order), schemas.FACT)
@@ -326,8 +350,12 @@ def test_batch_load_twice_and_in_two_batches(spark):
     day = dt.date.fromisoformat(queries.SNAPSHOT_DAY)
     on_day = expected.where(F.col("last_updated").cast("date") == F.lit(day)).count()
     assert as_set(table(schemas.DAILY_SNAPSHOT)) == {(day, on_day)}
-    spark.catalog.recoverPartitions("presentation.fact_less_table")
     assert spark.table("presentation.fact_less_table").count() == expected.count()
+    assert spark.table("presentation.company_dim").count() == table(schemas.COMPANY_DIM).count() > 0
+    load.load_calendar(spark, root)
+    days = expected.agg(F.min("date_posted_fk"), F.max("date_posted_fk")).first()
+    found = spark.table("presentation.date_dim").agg(F.min("date_iso_format_pk"), F.max("date_iso_format_pk")).first()
+    assert tuple(found) == tuple(days)
     assert spark.table("presentation.seniority_dim").count() == 0
 
 
