@@ -31,7 +31,7 @@ def test_stages_follow_their_operators(spark, given):
         assert kept.columns == columns and not as_rows(kept) - as_rows(docs)
     stages = dict(corpus_pipeline.STAGES)
     deduped = stages["simhash_near_dedup"](spark, docs, FOLDER)
-    groups = simhash.near_duplicate_groups(docs)
+    groups = simhash.similar_groups(docs)
     assert sorted(r["doc_id"] for r in deduped.collect()) == sorted({r["component_id"] for r in groups.collect()})
     mixed = stages["mixing"](spark, docs, FOLDER)
     taken = {r["doc_id"]: r for r in mixing.mix(docs).collect()}

@@ -142,17 +142,60 @@ def test_groups_of_odd_documents(odd):
 
 
 def test_one_document_of_each_group_stays(odd):
-    found = simhash.near_duplicate_groups(odd)
+    found = simhash.similar_groups(odd)
     kept = simhash.deduplicated(odd)
     assert kept.columns == odd.columns
     assert kept.count() == found.where("kept").count()
     numbers = [r["component_id"] or 0 for r in found.where("kept").collect()]
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == sorted(numbers)
+    # Equal texts, the near copy of them, and texts without words; whatever else is alike stays apart.
+    groups = {r["doc_id"]: r["component_id"] for r in found.where("doc_id <> 8").collect()}
+    assert groups == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 4, 7: 7, 9: 9}
+
+
+def jaccard(a, b, width=5):
+    a, b = ({tuple(t.split()[i : i + width]) for i in range(len(t.split()) - width + 1)} for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_similar_texts_are_found_and_others_left(spark, rows):
+    random = np.random.default_rng(11)
+    words = [f"w{k}" for k in range(3000)]
+    texts = [list(random.choice(words, 300)) for _ in range(40)]
+    copies = []
+    for text in texts[:20]:
+        copy = list(text)
+        for at in random.choice(300, 4, replace=False):
+            copy[at] = "changed"
+        copies.append(copy)
+    docs = [" ".join(t) for t in [*texts, *copies]]
+    assert min(jaccard(docs[k], docs[40 + k]) for k in range(20)) > 0.8
+    table = rows(DOCUMENTS, *[(k, t, "en", "a", 1) for k, t in enumerate(docs)])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for most in ("10000", "3"):  # runs of keys go over many batches
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", most)
+        found = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(table).collect()}
+        assert sum(found[40 + k] == k for k in range(20)) >= 19
+        assert all(found[k] == k for k in range(40))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_large_group_of_near_copies(rows):
+    random = np.random.default_rng(12)
+    text = list(random.choice([f"w{k}" for k in range(3000)], 400))
+    docs = []
+    for k in range(300):
+        copy = list(text)
+        copy[int(random.integers(400))] = f"changed{k}"
+        docs.append((k, " ".join(copy), "en", "a", 1))
+    found = simhash.similar_groups(rows(DOCUMENTS, *docs)).collect()
+    assert {r["component_id"] for r in found} == {0} and sum(r["kept"] for r in found) == 1
 
 
 def test_empty_and_clashing(none, clashing):
     assert simhash.near_duplicate_groups(none).collect() == []
     assert simhash.deduplicated(none).collect() == []
+    assert simhash.similar_groups(clashing).count() == clashing.count()
     assert simhash.near_duplicate_groups(clashing).count() == clashing.count()
     assert simhash.deduplicated(clashing).columns == clashing.columns
 
