@@ -155,7 +155,8 @@ def chosen_buckets(sample: DataFrame, prior: float) -> np.ndarray:
 def train_pu(
     rows: int, text: np.ndarray, feature: np.ndarray, positive: np.ndarray, prior: float, width: int, seed: int
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the non-negative risk with logistic loss, by Adam on all rows."""
+    """Weights that minimise the non-negative risk with logistic loss, by Adam on all rows, and the bias
+    at which the unlabelled rows' mean probability is the prior."""
     random = np.random.default_rng(seed)
     weights, bias = random.normal(0, 0.01, width), np.log(prior / (1 - prior))
     moments = [np.zeros(width + 1), np.zeros(width + 1)]
@@ -175,6 +176,13 @@ def train_pu(
         moments[1] = 0.999 * moments[1] + 0.001 * gradient**2
         change = RATE * (moments[0] / (1 - 0.9**step)) / (np.sqrt(moments[1] / (1 - 0.999**step)) + 1e-10)
         weights, bias = weights - change[:-1], bias - change[-1]
+    # The unlabelled texts are toxic at the rate of the prior: the bias is moved until they seem so.
+    logits = np.bincount(text, weights[feature], rows)[u]
+    low, high = -30.0, 30.0
+    for _ in range(60 if len(logits) else 0):
+        bias = (low + high) / 2
+        mean = (1 / (1 + np.exp(-np.clip(logits + bias, -30, 30)))).mean()
+        low, high = (bias, high) if mean < prior else (low, bias)
     return weights, float(bias)
 
 
