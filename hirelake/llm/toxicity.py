@@ -24,7 +24,7 @@ BUCKETS = 1 << 40  # hashes of features; so many that a clash with a chosen one
 STEMS = (3, 4, 5, 6)  # first letters of a word that are features as well as the word
 MOST_POSITIVE, MOST_UNLABELLED = 10_000, 20_000  # texts that are trained on: those with the smallest hashes
 FEATURES, LEAST_POSITIVE, LEAST_PRECISION, LEAST_Z = 4096, 4, 0.55, 5.0
-CLASSIFIERS, STEPS, RATE, DECAY, SLACK = 3, 400, 0.05, 2e-4, 0.0
+CLASSIFIERS, STEPS, RATE, DECAY, SLACK = 3, 1000, 0.05, 1e-6, 0.0
 SIGNATURES = 3
 TEXT_BYTES_AT_ONCE = 1 << 22
 
