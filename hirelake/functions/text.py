@@ -133,11 +133,10 @@ def unescape_entities(text: Column | str) -> Column:
     What a decoded reference gives is not decoded again; unknown ones stay as they are.
     """
     text = F.col(text) if isinstance(text, str) else text
-    # Each part but the first followed an ampersand: decode what it begins with, keep the rest.
-    parts = F.split(text, "&")
     names = F.from_json(F.lit(_named_entities()), "map<string,string>")
 
     def decode(part: Column) -> Column:
+        """Decode what a part begins with, for it followed an ampersand; keep the rest."""
         name = F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]*;)", 1)
         digits = F.regexp_extract(part, r"^#0*([0-9]+);", 1)
         hexits = F.regexp_extract(part, r"^#[xX]0*([0-9a-fA-F]+);", 1)
@@ -150,8 +149,16 @@ def unescape_entities(text: Column | str) -> Column:
         rest = F.substring(part, F.locate(";", part) + 1, F.length(part))
         return F.coalesce(F.concat(decoded, rest), F.concat(F.lit("&"), part))
 
-    decoded = F.transform(F.slice(parts, F.lit(2), F.size(parts)), decode)
-    return F.when(F.contains(text, F.lit("&")), F.array_join(F.concat(F.slice(parts, 1, 1), decoded), "")).otherwise(text)
+    def joined(parts: Column) -> Column:
+        following = F.transform(F.slice(parts, F.lit(2), F.size(parts)), decode)
+        return F.array_join(F.concat(F.slice(parts, 1, 1), following), "")
+
+    def whole(value: Column) -> Column:
+        decoded = F.get(F.transform(F.array(F.split(value, "&")), joined), F.lit(0))
+        return F.when(F.contains(value, F.lit("&")), decoded).otherwise(value)
+
+    # Inside a lambda a value is computed once, however often it is used; ``text`` may be costly.
+    return F.get(F.transform(F.array(text), whole), F.lit(0))
 
 
 def any_of(terms: Iterable[str], exact: Iterable[str] = ()) -> str:
