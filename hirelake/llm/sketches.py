@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from hirelake.llm.common import stored
 
+# Digests that one task turns into cells: what it holds of them fits into memory without spilling.
+DIGESTS_PER_TASK = 400_000
 ROWS = 3  # of cells: a digest has one cell in each
 LEAST_CELLS, LARGER = 8, 4  # cells of a row in the published sketch; how much larger every retry is
 # Turns over the rows of cells; a sketch that is large enough is empty after a few of them.
@@ -112,6 +114,12 @@ def peel(cells: DataFrame, keys: list[str]) -> DataFrame:
     return state.groupBy(*keys, "cells").agg(F.sum("found").alias("found"), F.sum(full).alias("left"))
 
 
+def _tasks(rows: DataFrame, digests: Column) -> int:
+    """In how many parts rows with that many digests are worked on; 0 without rows."""
+    found = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum(digests).alias("digests")).first()
+    return 0 if not found["rows"] else 1 + int(found["digests"] or 0) // DIGESTS_PER_TASK
+
+
 def differences(versions: DataFrame) -> DataFrame:
     """(row, pair, found): how many digests differ, for rows (row, pair, first, second) of digest lists.
 
@@ -119,20 +127,19 @@ def differences(versions: DataFrame) -> DataFrame:
     the row of cells is longer than both lists together, which hardly ever fails and is then made larger
     still. Each try is stored, and the next one reads only what is left.
     """
-    left = stored(versions.repartition("row"), "versions")
-    cells, results = LEAST_CELLS, None
-    while left.limit(1).count():
+    left, cells, results = stored(versions, "versions"), LEAST_CELLS, None
+    while tasks := _tasks(left, F.size("first") + F.size("second")):
         sides = left.select(
             "row", "pair", F.explode(F.array(
                 F.struct(F.lit(1).cast("long").alias("sign"), F.col("first").alias("digests")),
                 F.struct(F.lit(-1).cast("long").alias("sign"), F.col("second").alias("digests")),
             )).alias("s"),
-        ).repartition("row").select("row", "pair", "s.*").withColumn("cells", F.lit(cells).cast("long"))
+        ).repartition(tasks, "row").select("row", "pair", "s.*").withColumn("cells", F.lit(cells).cast("long"))
         parts = elements(sides, ["row", "pair", "sign", "cells"])
         sketched = sketch(parts, ["row", "pair", "sign"])
         subtracted = _summed(sketched.withColumn("n", F.col("n") * F.col("sign")), ["row", "pair"])
         peeled = peel(subtracted, ["row", "pair"])
-        tried = left.select("row", "pair").repartition("row").join(peeled, ["row", "pair"], "left")
+        tried = left.select("row", "pair").repartition(tasks, "row").join(peeled, ["row", "pair"], "left")
         tried = stored(tried.select("row", "pair", F.coalesce("found", F.lit(0)).alias("found"), F.coalesce("left", F.lit(0)).alias("left")), "tried")
         done = tried.where("left = 0").select("row", "pair", "found")
         results = done if results is None else results.unionByName(done)
@@ -149,7 +156,8 @@ def published(versions: DataFrame, lists: list[str]) -> DataFrame:
     lower half of its check hashes. A text without paragraphs has the empty string.
     """
     each = F.array(*[F.struct(F.lit(k).alias("which"), F.col(c).alias("digests")) for k, c in enumerate(lists)])
-    sides = versions.repartition("row").select("row", F.explode(each).alias("s")).select("row", "s.*")
+    tasks = max(1, _tasks(versions, sum(F.size(c) for c in lists)))
+    sides = versions.repartition(tasks, "row").select("row", F.explode(each).alias("s")).select("row", "s.*")
     sides = sides.withColumn("cells", F.lit(LEAST_CELLS).cast("long"))
     cells = sketch(elements(sides, ["row", "which", "cells"]), ["row", "which"])
     digits = lambda value, width: F.right(F.lpad(F.hex(value), 16, "0"), F.lit(width))
@@ -157,13 +165,17 @@ def published(versions: DataFrame, lists: list[str]) -> DataFrame:
     listed = cells.groupBy("row", "which").agg(F.array_join(F.array_sort(F.collect_list(cell)), "").alias("sketch"))
     wanted = [F.max(F.when(F.col("which") == k, F.col("sketch"))) for k in range(len(lists))]
     found = listed.groupBy("row").agg(*[w.alias(c) for w, c in zip(wanted, lists)])
-    everyone = versions.repartition("row").select("row").join(found, "row", "left")
+    everyone = versions.repartition(tasks, "row").select("row").join(found, "row", "left")
     return everyone.select("row", *[F.coalesce(c, F.lit("")).alias(c) for c in lists])
 
 
 def _place(doc_id: str) -> Column:
     """A document's number as a decimal; without a number it comes below all others."""
-    return F.coalesce(F.col(doc_id).cast("long").cast("decimal(20,0)"), F.lit("-10000000000000000000").cast("decimal(20,0)"))
+    return F.coalesce(F.col(doc_id).cast("long").cast("decimal(20,0)"), _nowhere())
+
+
+def _nowhere() -> Column:
+    return F.lit("-10000000000000000000").cast("decimal(20,0)")
 
 
 def next_places(places: DataFrame) -> DataFrame:
@@ -191,21 +203,22 @@ def edited_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     number the smallest text stands for it as the next document, and each is edited with what follows
     that number. A NULL text is empty, a missing number is the last. Stored.
     """
-    base = docs.select(
-        F.col(doc_id).alias("doc_id"), _place(doc_id).alias("place"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    ).withColumn("n_chars", F.length("text").cast("long"))
-    third = F.floor(F.col("n_chars") / 3).cast("int")
+    # The texts are shuffled once: both joins below read the same exchange, for it has the same columns.
+    base = docs.select(_place(doc_id).alias("place"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    n_chars = F.length("text").cast("long")
+    third = F.floor(n_chars / 3).cast("int")
     places = base.groupBy("place").agg(F.max(third).alias("wanted"))
     following = next_places(places).select(F.col("next_place").alias("place"), F.col("place").alias("for_place"), "wanted")
     head = F.struct(F.substring("text", F.lit(1), F.col("wanted")).alias("head"), paragraphs(F.col("text")).alias("digests"))
-    heads = base.select("place", "text").join(following, "place").select("for_place", head.alias("next"))
+    heads = base.join(following, "place").select("for_place", head.alias("next"))
     heads = heads.groupBy(F.col("for_place").alias("place")).agg(F.min("next").alias("next"))
-    kept = F.substring("text", F.lit(1), (F.col("n_chars") - third).cast("int"))
+    kept = F.substring("text", F.lit(1), (n_chars - third).cast("int"))
     edited = F.concat(kept, F.substring("next.head", F.lit(1), third))
+    number = F.when(F.col("place") > _nowhere(), F.col("place").cast("long"))
     versions = base.join(heads, "place").withColumn("edited", edited).select(
         F.monotonically_increasing_id().alias("row"),
-        "doc_id",
-        "n_chars",
+        number.cast(docs.schema[doc_id].dataType).alias("doc_id"),
+        n_chars.alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         paragraphs(F.col("text")).alias("digests"),
         paragraphs(F.col("edited")).alias("edited_digests"),
