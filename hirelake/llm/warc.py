@@ -88,22 +88,23 @@ def derive(records: DataFrame) -> DataFrame:
     kind = F.lower(F.trim(F.substring_index(_field(F.col("lines"), "Content-Type"), ";", 1)))
     html = F.coalesce(kind.isin("text/html", "application/xhtml+xml"), F.lit(False))
     text = html | F.coalesce(kind.startswith("text/"), F.lit(False))
+    page = F.col("payload")
+    title = squeeze_whitespace(F.regexp_extract(page, r"(?is)<title[^>]*>(.*?)</title>", 1))
+    language = F.regexp_extract(page, r"""(?is)<html[^>]*\slang=["']?([A-Za-z-]+)""", 1)
+    links = F.regexp_extract_all(page, F.lit(r"""(?is)<a\s[^>]*?href=["']([^"']*)["']"""), F.lit(1))
+    # Columns first: what is used several times below is computed once.
     known = parts.select(
-        "refers_to", "target_uri", "date", "payload",
+        "refers_to", "target_uri", "date", "payload", title.alias("title"), language.alias("language"), links.alias("links"),
         status.alias("source_status"),
         F.slice("lines", F.lit(2), F.size("lines")).alias("source_headers"),
         html.alias("html"),
         (text & F.coalesce(status.between(200, 299), F.lit(False))).alias("text"),
     )
-    page = F.col("payload")
-    title = squeeze_whitespace(F.regexp_extract(page, r"(?is)<title[^>]*>(.*?)</title>", 1))
-    language = F.regexp_extract(page, r"""(?is)<html[^>]*\slang=["']?([A-Za-z-]+)""", 1)
-    links = F.regexp_extract_all(page, F.lit(r"""(?is)<a\s[^>]*?href=["']([^"']*)["']"""), F.lit(1))
     fields = F.concat(
         F.transform("source_headers", lambda line: F.concat(F.lit("source-header: "), line)),
-        F.when(F.col("html") & (title != ""), F.array(F.concat(F.lit("title: "), title))).otherwise(F.array()),
-        F.when(F.col("html") & (language != ""), F.array(F.concat(F.lit("language: "), language))).otherwise(F.array()),
-        F.when(F.col("html"), F.transform(links, lambda link: F.concat(F.lit("outlink: "), link))).otherwise(F.array()),
+        F.when(F.col("html") & (F.col("title") != ""), F.array(F.concat(F.lit("title: "), F.col("title")))).otherwise(F.array()),
+        F.when(F.col("html") & (F.col("language") != ""), F.array(F.concat(F.lit("language: "), F.col("language")))).otherwise(F.array()),
+        F.when(F.col("html"), F.transform("links", lambda link: F.concat(F.lit("outlink: "), link))).otherwise(F.array()),
     )
     lines = F.array_join(F.transform(fields, lambda line: F.concat(line, F.lit(CRLF))), "")
     converted = F.when(F.col("html"), visible_text("payload")).otherwise(page)
