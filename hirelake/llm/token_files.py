@@ -102,13 +102,14 @@ def read_tokens(spark: SparkSession, path: str, first: int | None = None, last:
 
 def _with_start(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     files = spark.read.schema(SCHEMA).parquet(path)
-    # One row per file: the tokens of the parts before. A window over as many rows as there are files.
+    # One row per file: the tokens of the parts before. There are no more files than the shuffle that
+    # wrote them had partitions, so this table is small at any size of input and may be broadcast.
     sums = files.groupBy("part").agg(F.sum("n_tokens").alias("tokens"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("part", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("before"))
     start = (F.col("before") + F.col("part_start")).alias("start")
     at = [F.col("doc_id"), start, *[F.col(c) for c in columns if c != "doc_id"]]
-    return files.join(starts, "part").select(*at)
+    return files.join(F.broadcast(starts), "part").select(*at)
 
 
 def with_checksums(tokens: DataFrame, name: str = "ids_crc32") -> DataFrame:

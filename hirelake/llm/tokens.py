@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterable
+from array import array
+from collections.abc import Iterable
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 
@@ -23,6 +25,26 @@ _BLANK_RUN = re.compile(r" \s")
 _SPACE_RUN = re.compile(r"\s\s")
 # A comma or full stop in a run of signs, or where an apostrophe could belong to letters.
 _SIGN_RUN = re.compile(r"[,.](?:[^\w\s]|_)|(?:[^\w\s]|_)[,.]")
+# The same for texts in ASCII, which are most: every character becomes its kind first.
+_KINDS = bytes(
+    ord(" ") if chr(c) in " \t\n\r\v\f" else ord(",") if chr(c) in ",." else ord("a") if chr(c).isalnum() else ord("!")
+    for c in range(128)
+) + b"a" * 128
+
+
+# Byte-level tokenizers show every byte as a character: printable ones as themselves, others from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SYMBOLS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_BLANK_SYMBOL = chr(_SYMBOLS[32])
+_UINT32 = "I"
+
+
+def _runs(text: str) -> tuple[bool, bool]:
+    """Whether white space follows white space, and whether commas or full stops touch other signs."""
+    if not text.isascii():
+        return bool(_SPACE_RUN.search(text)), bool(_SIGN_RUN.search(text))
+    kinds = text.encode("ascii").translate(_KINDS)
+    return b"  " in kinds, b",," in kinds or b",!" in kinds or b"!," in kinds
 
 
 def vocabulary(name: str) -> str:
@@ -61,6 +83,12 @@ class Encoder:
         self.lowers = self.drops and self._ids("AZ") == self._ids("az")
         if not self.drops and self._ids("a\nb c") != self._ids("a") + self._ids("\n") + self._ids("b") + self._ids(" c"):
             raise ValueError("this tokenizer does not cut at white space")
+        # Words of letters go to the model itself, if that is all the tokenizer would do with them.
+        self.model = self.tokenizer.model
+        self.sees_symbols = all(
+            [token.id for token in self.model.tokenize(self._symbols(piece))] == self._ids(piece)
+            for piece in (["été", "word"] if self.drops else [" été", "Été", " Word", "word"])
+        )
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -74,51 +102,62 @@ class Encoder:
             raw = text.encode("utf-8", "replace")
             raw = raw.lower() if self.lowers else raw
             # Signs are cut off words, so that a word with and without a comma is one piece.
-            if not _SIGN_RUN.search(text):
+            if not _runs(text)[1]:
                 raw = raw.replace(b",", b" ,").replace(b".", b" .")
             return raw.split()
-        if _BLANK_RUN.search(text) or "\0" in text:
+        spaces, signs = _runs(text)
+        if "\0" in text or (spaces and _BLANK_RUN.search(text)):
             return None
         marked = text.replace(" ", "\0 ")
-        if not _SPACE_RUN.search(text):
+        if not spaces:
             marked = marked.replace("\n", "\0\n\0")
-        if not _SIGN_RUN.search(text):
+        if not signs:
             marked = marked.replace(",", "\0,").replace(".", "\0.")
         return marked.split("\0")
 
+    def _symbols(self, piece: str) -> str | None:
+        """What the model sees of a piece that is one word of letters; None of other pieces."""
+        word = piece[1:] if piece[:1] == " " and not self.drops else piece
+        if not word.isalpha() or (self.drops and not (word.islower() and is_normalized("NFC", word))):
+            return None
+        return piece.replace(" ", _BLANK_SYMBOL) if word.isascii() else piece.encode().decode("latin-1").translate(_SYMBOLS)
+
     def _learn(self, pieces: list) -> dict:
         """The ids of pieces; those of usual length are kept."""
         if len(self.kept) + len(pieces) > KEPT_PIECES:
             self.kept.clear()
-        learnt = {}
-        for at in range(0, len(pieces), ENCODED_AT_ONCE):
-            some = pieces[at : at + ENCODED_AT_ONCE]
-            words = [p.decode("utf-8") if self.drops else p for p in some]
-            encoded = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(encoded.ids, "<u4")
-            owners = np.array(encoded.word_ids, np.int64)
-            bounds = np.searchsorted(owners, np.arange(len(some) + 1))
-            raw = ids.tobytes()
-            bounds = (bounds * 4).tolist()
-            for k, piece in enumerate(some):
+        learnt, others = {}, []
+        for piece in pieces:
+            word = piece.decode("utf-8") if self.drops else piece
+            symbols = self._symbols(word) if self.sees_symbols else None
+            if symbols is None:
+                others.append((piece, word))
+            else:
+                learnt[piece] = array(_UINT32, [token.id for token in self.model.tokenize(symbols)]).tobytes()
+        for at in range(0, len(others), ENCODED_AT_ONCE):
+            some = others[at : at + ENCODED_AT_ONCE]
+            encoded = self.tokenizer.encode([w for _, w in some], is_pretokenized=True, add_special_tokens=False)
+            raw = np.array(encoded.ids, "<u4").tobytes()
+            bounds = (np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(some) + 1)) * 4).tolist()
+            for k, (piece, _) in enumerate(some):
                 learnt[piece] = raw[bounds[k] : bounds[k + 1]]
         self.kept.update((p, i) for p, i in learnt.items() if len(p) <= LONGEST_KEPT)
         return learnt
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [self.pieces(t or "") for t in texts]
-        wanted = set().union(*[c for c in cut if c is not None])
-        new = [p for p in wanted if p not in self.kept]
-        if len(self.kept) + len(new) > KEPT_PIECES:
-            new = list(wanted)
-        found = self._learn(new) if new else {}
-        look = self.kept.__getitem__
-        if any(len(p) > LONGEST_KEPT for p in found) or len(found) > KEPT_PIECES:
-            look = {**self.kept, **found}.__getitem__ if len(found) < KEPT_PIECES else found.__getitem__
-        return [
-            b"".join(map(look, c)) if c is not None else self._bytes(self._ids(t or ""))
-            for c, t in zip(cut, texts)
-        ]
+        found = [None if c is None else list(map(self.kept.get, c)) for c in cut]
+        missing = {p for c, f in zip(cut, found) if f and None in f for p, ids in zip(c, f) if ids is None}
+        learnt = self._learn(list(missing)) if missing else {}
+        encoded = []
+        for text, c, f in zip(texts, cut, found):
+            if c is None:
+                encoded.append(self._bytes(self._ids(text)))
+            elif None in f:
+                encoded.append(b"".join([learnt[p] if ids is None else ids for p, ids in zip(c, f)]))
+            else:
+                encoded.append(b"".join(f))
+        return encoded
 
 
 @lru_cache(maxsize=2)
@@ -137,6 +176,3 @@ def in_lots(texts: list, most: int = 1 << 21) -> Iterable[tuple[int, int]]:
             start, size = at + 1, 0
     if start < len(texts):
         yield start, len(texts)
-
-
-Encode = Callable[[list], list]
