@@ -313,15 +313,17 @@ def near_duplicate_groups(
 
 # --- texts alike to 0.8 or more ----------------------------------------------------------------
 #
-# Texts of which a fifth of the shingles differ have fingerprints that differ in about 15 of 100 bits:
-# far more than four of 64. They are compared by longer fingerprints, and looked for by segments of
-# fingerprints over two-word shingles, of which a changed word takes two and not five.
+# How alike two texts are is the share of their distinct shingles that both have. Texts of which a fifth
+# of the shingles differ have fingerprints that differ in about 15 of 100 bits, far more than four of 64,
+# and fingerprints alone can't tell 0.8 from 0.75. They only find candidates: texts that share a key and
+# whose longer fingerprints are not too far apart are compared by their shingles.
 
+LEAST_ALIKE = 0.8
 WIDE_WORDS, KEY_WORDS, KEY_WIDTH = 4, 3, 2
 KEY_SEGMENTS = 8  # of 23 bits; they make four pairs, a key is two Golay indices
-# Of 256 bits. A similarity (common by all shingles) of 0.8 gives 39 on average, one of 0.85 33; the
-# standard deviation is 5.7.
-WIDE_APART = 46
+# Of 256 bits. A similarity of 0.8 gives 39 on average, a little more for texts of few words; the standard
+# deviation is about 6. Beyond this bound lies less than one in a million of the pairs at 0.8.
+WIDE_APART = 80
 
 
 def _spread(hashes: np.ndarray, seed: int) -> np.ndarray:
@@ -332,20 +334,24 @@ def _spread(hashes: np.ndarray, seed: int) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(31))
 
 
-def long_simhash(text: str | None, width: int, words_of_64: int) -> bytes:
-    """A SimHash of several times 64 bits; zeros without a word."""
+def shingle_set(text: str | None, width: int) -> np.ndarray:
+    """Sorted hashes of the distinct shingles of one text; none without a word."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return bytes(8 * words_of_64)
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
     if len(words) > width:
-        spans = zip((ends - lengths)[: 1 - width].tolist(), ends[width - 1 :].tolist())
+        spans = zip((ends - lengths)[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())
         shingles = [joined[a:b] for a, b in spans]
     else:
         shingles = [joined]
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, len(shingles))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, len(shingles)))
+
+
+def long_simhash(hashes: np.ndarray, words_of_64: int) -> bytes:
+    """A SimHash of several times 64 bits of hashes of shingles; zeros without any."""
     found = []
     for k in range(words_of_64):
         set_bits = np.zeros(64, np.int64)
@@ -356,126 +362,145 @@ def long_simhash(text: str | None, width: int, words_of_64: int) -> bytes:
     return b"".join(found)
 
 
-def _wide_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, node, print) for every pair of segments of the fingerprints over short shingles."""
-    for whole in batches:
-        for at in range(0, whole.num_rows, 1 << 12):
-            batch = whole.slice(at, 1 << 12)
-            raw = np.frombuffer(b"".join(batch.column("short").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-            bits = np.unpackbits(raw, axis=1, bitorder="little")
-            weights = 1 << np.arange(23)
-            near = [near_indices(bits[:, 23 * k : 23 * k + 23] @ weights) for k in range(KEY_SEGMENTS)]
-            keys, owners = [], []
-            for pair in range(KEY_SEGMENTS // 2):
-                (a, real_a), (b, real_b) = near[2 * pair], near[2 * pair + 1]
-                real = (real_a[:, :, None] & real_b[:, None, :]).reshape(batch.num_rows, -1)
-                key = (pair << 24 | a[:, :, None] << 12 | b[:, None, :]).reshape(batch.num_rows, -1)
-                owner, column = np.nonzero(real)
-                keys.append(key[owner, column])
-                owners.append(owner)
-            owner = pa.array(np.concatenate(owners))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys)), batch.column("node").take(owner), batch.column("wide").take(owner)],
-                ["key", "node", "wide"],
-            )
-
-
-def _wide_spanning(nodes: np.ndarray, prints: np.ndarray, apart: int) -> tuple[list, list]:
-    """Links that connect what links of at most ``apart`` bits connect, fewer than there are nodes."""
-    first, second = [], []
-    left = np.arange(len(nodes))
-    while len(left) > 1:
-        frontier, left = [left[0]], left[1:]
-        while frontier and len(left):
-            at = frontier.pop()
-            close = np.bitwise_count(prints[left] ^ prints[at]).sum(axis=1) <= apart
-            if close.any():
-                found, left = left[close], left[~close]
-                first.append(np.full(len(found), nodes[at]))
-                second.append(nodes[found])
-                frontier.extend(found)
-    return first, second
+def alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    """Whether two sets, sorted, have at least the share ``least`` of their elements in common."""
+    if min(len(a), len(b)) < least * max(len(a), len(b)):
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common >= least * (len(a) + len(b) - common)
 
 
-def _wide_links(apart: int):
-    """Links (u, v) of rows (key, node, wide) sorted by key; one run of equal keys is held at a time."""
+def _wide_keys(shorts: list[bytes]) -> list[np.ndarray]:
+    """Keys for every pair of segments of the fingerprints over short shingles."""
+    raw = np.frombuffer(b"".join(shorts), np.uint8).reshape(len(shorts), -1)
+    bits = np.unpackbits(raw, axis=1, bitorder="little")
+    weights = 1 << np.arange(23)
+    near = [near_indices(bits[:, 23 * k : 23 * k + 23] @ weights) for k in range(KEY_SEGMENTS)]
+    keys, real = [], []
+    for pair in range(KEY_SEGMENTS // 2):
+        (a, real_a), (b, real_b) = near[2 * pair], near[2 * pair + 1]
+        real.append((real_a[:, :, None] & real_b[:, None, :]).reshape(len(shorts), -1))
+        keys.append((pair << 24 | a[:, :, None] << 12 | b[:, None, :]).reshape(len(shorts), -1))
+    keys, real = np.hstack(keys), np.hstack(real)
+    return [k[r] for k, r in zip(keys, real)]
 
-    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in _and_end(batches):
-            if batch is not None and not batch.num_rows:
-                continue
-            table = [b for b in (held, batch) if b is not None]
-            if not table:
-                continue
-            rows = pa.Table.from_batches(table).combine_chunks().to_batches()[0]
-            keys = rows.column(0).to_numpy()
-            # The last run may go on in the next batch.
-            end = len(keys) if batch is None else int(np.searchsorted(keys, keys[-1], "left"))
-            held = rows.slice(end) if end < len(keys) else None
-            if not end:
-                continue
-            nodes = rows.column(1).to_numpy()[:end]
-            prints = np.frombuffer(b"".join(rows.column(2).slice(0, end).to_pylist()), "<u8").reshape(end, -1)
-            starts = np.flatnonzero(np.r_[True, keys[1:end] != keys[: end - 1]])
-            lengths = np.diff(np.r_[starts, end])
-            pairs = starts[lengths == 2]
-            close = np.bitwise_count(prints[pairs] ^ prints[pairs + 1]).sum(axis=1) <= apart
-            us, vs = [nodes[pairs[close]]], [nodes[pairs[close] + 1]]
-            for start, length in zip(starts[lengths > 2].tolist(), lengths[lengths > 2].tolist()):
-                u, v = _wide_spanning(nodes[start : start + length], prints[start : start + length], apart)
-                us.extend(u)
-                vs.extend(v)
-            yield _long_table(u=np.concatenate(us).astype(np.int64), v=np.concatenate(vs).astype(np.int64))
 
-    return links
+def _alike_pairs(pairs: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
+    """Those of the pairs (u, v) whose texts (node, text) are alike to ``least`` or more."""
 
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in some_rows(whole):
+                at = [
+                    k
+                    for k, (a, b) in enumerate(zip(batch.column("a"), batch.column("b")))
+                    if alike(shingle_set(a.as_py(), width), shingle_set(b.as_py(), width), least)
+                ]
+                yield batch.select(["u", "v"]).take(pa.array(at, pa.int64()))
+
+    first = texts.select(F.col("node").alias("u"), F.col("text").alias("a"))
+    second = texts.select(F.col("node").alias("v"), F.col("text").alias("b"))
+    return pairs.join(first, "u").join(second, "v").select("u", "v", "a", "b").mapInArrow(compared, "u long, v long")
 
-def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
-    yield from batches
-    yield None
+
+def _similar_links(classes: DataFrame, texts: DataFrame, width: int, apart: int, least: float) -> DataFrame:
+    """Links (u, v) that connect all nodes that share a key and are alike to ``least`` or more.
+
+    ``classes`` has node, size (of its set of shingles), wide (its long fingerprint, as longs) and keys;
+    ``texts`` has row and text. First every node is compared with one other: the smallest node of most of
+    its keys. What is then connected needs no comparing; of the rest all pairs that share a key are
+    compared. No task holds the nodes of a key: keys are counted and joined, and hot ones split by AQE.
+    """
+    keyed = classes.select(F.explode("keys").alias("key"), "node")
+    hubs = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
+    shared = stored(keyed.join(hubs.where("hub < last").drop("last"), "key"), "shared")
+    needed = shared.select("node").distinct()
+    texts = stored(texts.withColumnRenamed("row", "node").join(needed, "node", "left_semi"), "candidates")
+    prints = stored(classes.select("node", "size", "wide").join(needed, "node", "left_semi"), "prints")
+
+    def candidates(pairs: DataFrame) -> DataFrame:
+        first = prints.select(F.col("node").alias("u"), F.col("size").alias("size_u"), F.col("wide").alias("wide_u"))
+        second = prints.select(F.col("node").alias("v"), F.col("size").alias("size_v"), F.col("wide").alias("wide_v"))
+        bits = sum(F.bit_count(F.col("wide_u")[k].bitwiseXOR(F.col("wide_v")[k])) for k in range(WIDE_WORDS))
+        sizes = F.least("size_u", "size_v") >= least * F.greatest("size_u", "size_v")
+        return pairs.join(first, "u").join(second, "v").where(sizes & (bits <= apart)).select("u", "v")
+
+    chosen = shared.where("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("times"))
+    chosen = chosen.groupBy("node").agg(F.max(F.struct("times", (-F.col("hub")).alias("least"))).alias("best"))
+    chosen = chosen.select(F.col("node").alias("u"), (-F.col("best.least")).alias("v"))
+    stars = stored(_alike_pairs(candidates(chosen), texts, width, least), "stars")
+
+    roots = components(stars)
+    labels = prints.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("label"))
+    labels = stored(labels, "labels")
+    labelled = shared.join(labels, "node")
+    # Of keys that are not connected as a whole: what isn't connected with the smallest node, with all others.
+    split = labelled.join(labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label")), "hub")
+    split = stored(split.select("key", "node", "label", "hub_label"), "labelled")
+    rest = split.where("label <> hub_label").select("key", F.col("node").alias("u"), F.col("label").alias("label_u"))
+    others = split.select("key", F.col("node").alias("v"), F.col("label").alias("label_v"))
+    crossing = rest.join(others, "key").where("label_u <> label_v")
+    crossing = crossing.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    return stars.unionByName(stored(_alike_pairs(candidates(crossing), texts, width, least), "crossing"))
 
 
 def similar_groups(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE, apart: int = WIDE_APART
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    width: int = SHINGLE,
+    apart: int = WIDE_APART,
+    least: float = LEAST_ALIKE,
 ) -> DataFrame:
-    """Adds ``component_id`` and ``kept``: groups of texts whose shingles are alike to about 0.8 or more.
-
-    Texts link whose 256-bit fingerprints over ``width``-word shingles differ in at most ``apart`` bits,
-    if they share a key: two Golay indices of segments of a fingerprint over two-word shingles, of which
-    a text has four pairs. A pair at a similarity of 0.8 shares one with a probability of about 0.96,
-    more similar ones nearly always. Equal fingerprints are one node; texts without words are equal.
-    A task holds the distinct fingerprints of one key, 40 bytes each; they give a spanning forest, not
-    all pairs. For the rest see ``near_duplicate_groups``.
+    """Adds ``component_id`` and ``kept``: groups of texts whose shingles are alike to ``least`` or more.
+
+    Texts link if the share of their distinct ``width``-word shingles that both have is at least ``least``,
+    which is checked exactly; none below it is ever linked. Candidates share a key (two Golay indices of
+    segments of a fingerprint over two-word shingles, of which a text has four pairs) and have 256-bit
+    fingerprints that differ in at most ``apart`` bits. Texts with the same set of shingles are one node;
+    texts without words are equal. A task holds the texts of some pairs, never all of a key or a group.
+    For the rest see ``near_duplicate_groups``.
     """
     base = docs.select(*[c for c in docs.columns if c.lower() not in ("component_id", "kept")])
-    names = [spare([*base.columns, "component_id", "kept"], n) for n in ("wide", "short", "row")]
-    wide_, short_, row = names
-    columns_, given = [*base.columns, wide_, short_], base.columns
-    schema = T.StructType([*base.schema, T.StructField(wide_, T.BinaryType()), T.StructField(short_, T.BinaryType())])
+    added = [spare([*base.columns, "component_id", "kept"], n) for n in ("same", "size", "wide", "keys", "row")]
+    same_, size_, wide_, keys_, row = added
+    columns_, given = [*base.columns, *added[:4]], base.columns
+    types = (T.BinaryType(), T.LongType(), T.ArrayType(T.LongType()), T.ArrayType(T.LongType()))
+    schema = T.StructType([*base.schema, *(T.StructField(n, t) for n, t in zip(added, types))])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in some_rows(whole):
                 texts = batch.column(text).to_pylist()
-                found = [[long_simhash(t, *how) for t in texts] for how in ((width, WIDE_WORDS), (KEY_WIDTH, KEY_WORDS))]
-                columns = [*batch.columns, *(pa.array(f, pa.binary()) for f in found)]
-                yield pa.RecordBatch.from_arrays(columns, columns_)
+                same, sizes, wides, shorts = [], [], [], []
+                for t in texts:
+                    hashes = shingle_set(t, width)
+                    same.append(xxhash.xxh3_128_digest(hashes.tobytes()))
+                    sizes.append(len(hashes))
+                    wides.append(np.frombuffer(long_simhash(hashes, WIDE_WORDS), "<i8"))
+                    shorts.append(long_simhash(shingle_set(t, KEY_WIDTH), KEY_WORDS))
+                keys = _wide_keys(shorts)
+                longs = pa.list_(pa.int64())
+                columns = [
+                    pa.array(same, pa.binary()), pa.array(sizes, pa.int64()), pa.array(wides, longs), pa.array(keys, longs),
+                ]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *columns], columns_)
 
     prints = stored(base.mapInArrow(hashed, schema).withColumn(row, F.monotonically_increasing_id()), "wide")
     first = F.min(F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col(row).alias("row")))
-    classes = prints.groupBy(F.col(wide_).alias("wide")).agg(
-        F.min(row).alias("node"), F.min(short_).alias("short"), first.alias("first")
-    )
+    # The size, the fingerprint and the keys are the same in all rows of a class.
+    classes = prints.groupBy(F.col(same_).alias("same")).agg(
+        F.min(row).alias("node"), F.first(size_).alias("size"), F.first(wide_).alias("wide"),
+        F.first(keys_).alias("keys"), first.alias("first"),
+    )
     classes = stored(classes, "classes")
-    keyed = classes.select("node", "wide", "short").mapInArrow(_wide_keys, "key long, node long, wide binary")
-    runs = keyed.repartition("key").sortWithinPartitions("key", "node")
-    roots = components(runs.mapInArrow(_wide_links(apart), "u long, v long").distinct())
-    rooted = classes.select("wide", "node", "first").join(roots, "node", "left")
-    rooted = stored(rooted.select("wide", "first", F.coalesce("root", "node").alias("root")), "rooted")
-    least = rooted.groupBy("root").agg(F.min("first").alias("first"))
-    named = stored(rooted.select("wide", "root").join(least, "root").select(F.col("wide").alias(wide_), "first"), "named")
-    return prints.join(named, wide_).select(
+    texts = prints.select(F.col(row).alias("row"), F.col(text).alias("text"))
+    roots = components(_similar_links(classes, texts, width, apart, least))
+    rooted = classes.select("same", "node", "first").join(roots, "node", "left")
+    rooted = stored(rooted.select("same", "first", F.coalesce("root", "node").alias("root")), "rooted")
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    named = rooted.select("same", "root").join(smallest, "root").select(F.col("same").alias(same_), "first")
+    return prints.join(stored(named, "named"), same_).select(
         *given, F.col("first.id").alias("component_id"), (F.col("first.row") == F.col(row)).alias("kept")
     )
 

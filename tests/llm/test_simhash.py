@@ -180,6 +180,56 @@ def test_similar_texts_are_found_and_others_left(spark, rows):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
 
+def edited(words, n, how, random, tag):
+    """A copy with ``n`` words appended, cut, replaced in one place, or replaced in many."""
+    new, at = [f"{tag}n{k}" for k in range(n)], int(random.integers(5, len(words) - n - 5))
+    if how == "appended":
+        return [*words, *new]
+    if how == "cut":
+        return [*words[:at], *words[at + n :]]
+    if how == "passage":
+        return [*words[:at], *new, *words[at + n :]]
+    copy = list(words)
+    for place, word in zip(random.choice(len(words), n, replace=False), new):
+        copy[place] = word
+    return copy
+
+
+def linked_groups(texts, least=0.8):
+    """Smallest member of each text's group, by comparing all with all."""
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if common >= least * (len(sets[i]) + len(sets[j]) - common):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(texts))]
+
+
+def test_only_texts_alike_to_the_bound_are_linked(rows):
+    """Copies on both sides of 0.8: what is less alike stays, also where fingerprints are near."""
+    random = np.random.default_rng(21)
+    docs = []
+    for k in range(60):
+        words = list(random.choice([f"w{n}" for n in range(3000)], 300))
+        docs.append(" ".join(words))
+        docs.append(" ".join(edited(words, 40 + k % 3 * 8, "appended", random, f"a{k}")))  # 0.88, 0.86, 0.84
+        docs.append(" ".join(edited(words, 36 + k % 2 * 2, "passage", random, f"b{k}")))  # 0.76, 0.75
+    wanted = linked_groups(docs)
+    assert 120 <= len(set(wanted)) < 180
+    found = simhash.similar_groups(rows(DOCUMENTS, *[(k, t, "en", "a", 1) for k, t in enumerate(docs)])).collect()
+    found = {r["doc_id"]: r["component_id"] for r in found}
+    assert not [k for k in found if wanted[found[k]] != wanted[k]]
+
+
 def test_large_group_of_near_copies(rows):
     random = np.random.default_rng(12)
     text = list(random.choice([f"w{k}" for k in range(3000)], 400))
