@@ -230,6 +230,33 @@ def test_only_texts_alike_to_the_bound_are_linked(rows):
     assert not [k for k in found if wanted[found[k]] != wanted[k]]
 
 
+@pytest.mark.parametrize("how", ["appended", "cut", "passage", "scattered"])
+def test_candidates_do_not_depend_on_how_texts_differ(how):
+    """Pairs just above 0.8 share a key, also if all that differs is in one place."""
+    random, shared = np.random.default_rng(31), 0
+    n = {"appended": 70, "cut": 50, "passage": 28, "scattered": 6}[how]
+    for k in range(400):
+        words = list(random.choice([f"w{m}" for m in range(3000)], 300))
+        texts = [" ".join(words), " ".join(edited(words, n, how, random, f"x{k}"))]
+        assert 0.8 <= jaccard(*texts) < 0.9
+        a, b = (simhash._wide_keys(simhash.shingle_set(t, 5)) for t in texts)
+        shared += bool(set(a) & set(b))
+    assert shared >= 398
+
+
+@pytest.mark.parametrize("how", ["appended", "cut", "passage"])
+def test_contiguous_edits_are_found(rows, how):
+    random, docs = np.random.default_rng(32), []
+    n = {"appended": 70, "cut": 50, "passage": 28}[how]  # similarities of about 0.81
+    for k in range(150):
+        words = list(random.choice([f"w{m}" for m in range(3000)], 300))
+        docs += [" ".join(words), " ".join(edited(words, n, how, random, f"x{k}"))]
+    found = simhash.similar_groups(rows(DOCUMENTS, *[(k, t, "en", "a", 1) for k, t in enumerate(docs)])).collect()
+    found = {r["doc_id"]: r["component_id"] for r in found}
+    assert sum(found[k + 1] == k for k in range(0, 300, 2)) >= 149
+    assert all(found[k] == k for k in range(0, 300, 2))
+
+
 def test_large_group_of_near_copies(rows):
     random = np.random.default_rng(12)
     text = list(random.choice([f"w{k}" for k in range(3000)], 400))
