@@ -96,6 +96,28 @@ def test_recall_on_planted_pairs():
     assert found >= 0.95 and visits < 32
 
 
+def correlated(n, pairs, width, seed):
+    """Unit vectors whose coordinates decay as 1/k, and copies of some at cosines of 0.9 to 0.93."""
+    random, scale = np.random.default_rng(seed), 1 / np.arange(1, width + 1)
+    x = random.normal(size=(n, width)) * scale
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    noise = random.normal(size=(pairs, width)) * scale
+    noise -= (noise * x[:pairs]).sum(axis=1)[:, None] * x[:pairs]
+    noise /= np.linalg.norm(noise, axis=1)[:, None]
+    cosine = random.uniform(0.9, 0.93, pairs)[:, None]
+    return random.permutation(np.vstack([x, cosine * x[:pairs] + np.sqrt(1 - cosine**2) * noise]))
+
+
+@pytest.mark.parametrize("width", [64, 384])
+def test_recall_on_correlated_vectors(width):
+    assert vectors.recall(correlated(3000, 500, width, 8))[0] == 1
+
+
+def test_links_of_correlated_vectors_are_counted_once(rows):
+    given = [(k, [float(np.float32(v)) for v in x]) for k, x in enumerate(correlated(400, 100, 48, 9))]
+    check(vectors.near_duplicate_vectors(rows(ROWS, *[(*r, 0) for r in given])).collect(), given)
+
+
 def test_no_vectors_and_only_bad_ones(rows):
     bad = rows(ROWS, (1, None, 1), (2, [0.0], 1))
     assert vectors.near_duplicate_vectors(bad.where("false")).collect() == []
