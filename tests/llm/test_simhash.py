@@ -269,6 +269,25 @@ def test_large_group_of_near_copies(rows):
     assert {r["component_id"] for r in found} == {0} and sum(r["kept"] for r in found) == 1
 
 
+def test_a_hot_key_is_not_compared_pair_by_pair(rows, monkeypatch):
+    """Near copies that share all keys: about one comparison each, not one for every two."""
+    random, compared, whole = np.random.default_rng(33), [], simhash._alike_pairs
+
+    def counted(pairs, *how):
+        compared.append(pairs.count())
+        return whole(pairs, *how)
+
+    monkeypatch.setattr(simhash, "_alike_pairs", counted)
+    text = list(random.choice([f"w{k}" for k in range(3000)], 400))
+    docs = []
+    for k in range(300):
+        copy = list(text)
+        copy[int(random.integers(400))] = f"changed{k}"
+        docs.append((k, " ".join(copy), "en", "a", 1))
+    found = simhash.similar_groups(rows(DOCUMENTS, *docs)).collect()
+    assert {r["component_id"] for r in found} == {0} and sum(compared) < 300
+
+
 def test_empty_and_clashing(none, clashing):
     assert simhash.near_duplicate_groups(none).collect() == []
     assert simhash.deduplicated(none).collect() == []
