@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import chat, mixing, packing, quality, simhash, sketches, token_files, toxicity, vectors, warc
-from hirelake.llm.common import read_table, remainder
+from hirelake.llm import (
+    bpe, chat, mixing, packing, periodic, quality, simhash, sketches, token_files, toxicity, vectors, warc, whitening,
+)
+from hirelake.llm.common import WORD, read_table, remainder
+from hirelake.llm.tokens import vocabulary
 from hirelake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +110,75 @@ def op9_warc_derivatives(spark, folder):
     """Metadata and conversion records of the responses that all pages were."""
     records = warc.derive(warc.responses(read_table(spark, folder, "pages")))
     return records.withColumn("source_headers", F.array_join("source_headers", "\n"))
+
+
+@query
+def op11_bpe_round_trip(spark, folder):
+    """Token ids of all documents by prefix-wise encoding, and the texts decoded from them."""
+    path = vocabulary("byte_bpe_50k.json")
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    rows = bpe.decoded(bpe.encoded(docs, path, keep_text=False), path)
+    return rows.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op12_embedding_whitening(spark, folder):
+    """All usable vectors along the first sixteen components of their covariance, each of variance 1."""
+    rows, model = whitening.whitened(read_table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    explained = F.array(*[F.lit(float(v) / model.trace) for v in model.values]).cast("array<double>")
+    each = rows.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    return each.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("place")).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
+def with_planted_periods(docs):
+    """Documents whose number's checksum ends in 0 repeat a stretch of their words to their end."""
+    checksum = F.crc32(F.col("doc_id").cast("string"))
+    some = docs.withColumn("g", F.floor(checksum / 10)).withColumn(
+        "words", F.when(checksum % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})")))
+    )
+    n = F.size("words").cast("long")
+    first = F.expr("g % size(words)")
+    period = F.expr("1 + floor((size(words) - g % size(words)) / (3 + g % 8))")
+    placed = some.withColumn("a", F.when(n > 0, first)).withColumn("p", F.when(n > 0, period))
+    repeated = F.expr(
+        "array_join(transform(sequence(0, size(words) - 1),"
+        " i -> words[CAST(IF(i < a, i, a + (i - a) % p) AS INT)]), ' ')"
+    )
+    return placed.withColumn("text", F.when(n > 0, repeated).otherwise(F.col("text"))).drop("g", "words", "a", "p")
+
+
+@query
+def op13_periodic_runs(spark, folder):
+    """Periodic runs of words of all documents, some of which get planted periods."""
+    docs = with_planted_periods(read_table(spark, folder, "documents").select("doc_id", "text"))
+    rows = periodic.with_runs(docs, keep_text=False)
+    # The greatest exact length / period; ties go to the smallest start, then period, the first in the list.
+    best = F.reduce(
+        "runs",
+        F.get("runs", F.lit(0)),
+        lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b),
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return rows.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
