@@ -10,7 +10,7 @@ from hirelake.plans.queries import (
     SNAPSHOT_DAY_WITHOUT_ADS,
 )
 from hirelake.schemas import CLEAN_JOBS
-from hirelake.sources.fixtures import LANGUAGE_MARKERS, PROSE_TOOLS
+from hirelake.sources.fixtures import LANGUAGE_MARKERS, NAMED_TOOLS, PROSE_TOOLS
 
 
 def squeezed(text: str) -> str:
@@ -395,7 +395,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT * FROM scores
         UNION ALL SELECT 'macro', CAST(sum(tp) AS BIGINT), CAST(sum(fp) AS BIGINT), CAST(sum(fn) AS BIGINT),
                          round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6) FROM scores""",
-    "eval_entity_prf": rf"""WITH {DESCRIPTIONS},
+    "tagger_agreement": rf"""WITH {DESCRIPTIONS},
         worded AS (SELECT id, regexp_extract_all(lower(job_description), '[\p{{L}}\p{{N}}_+#]+') AS words FROM descriptions),
         places AS (SELECT id, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS start FROM worded),
         {spans("gold", PROSE_TOOLS)}, {spans("predicted", PROSE_TOOLS)},
@@ -460,7 +460,113 @@ ORACLE_SQL: dict[str, str] = {
     "stream_daily_count": """
         SELECT CAST(ts AS DATE) AS day, count(*) AS n_events FROM events GROUP BY ALL""",
 }
+
+
+def learnt(terms) -> str:
+    """Tags learnt from the documents outside bucket 0 and the best tags of those inside it."""
+    singles, pairs = [t for t in terms if " " not in t], [t for t in terms if " " in t]
+    steps = ", ".join(
+        f"max(w) FILTER (before = '{b}' AND tag = '{t}') AS {b.lower()}{t.lower()}" for b in "SOBI" for t in "OBI"
+    )
+    step = lambda t: f"greatest(p.o + o{t}, p.b + b{t}, p.i + i{t}) + n.e{t}"
+    way = lambda t: (
+        f"CASE WHEN p.o + o{t} >= p.b + b{t} AND p.o + o{t} >= p.i + i{t} THEN p.po"
+        f" WHEN p.b + b{t} >= p.i + i{t} THEN p.pb ELSE p.pi END || '{t.upper()}'"
+    )
+    start = lambda t: f"CASE WHEN n.first THEN s{t} ELSE o{t} END + n.e{t}"
+    return rf"""{DESCRIPTIONS},
+cut AS (
+  SELECT id, regexp_extract_all(job_description, '[\p{{L}}\p{{N}}_+#]+[^\s\p{{L}}\p{{N}}_+#]*') AS raw,
+         CAST('0x' || left(md5(CAST(id AS VARCHAR)), 8) AS BIGINT) % 5 = 0 AS dev FROM descriptions),
+tokens AS (
+  SELECT id, dev, pos, raw[pos + 1] AS sign, regexp_extract(raw[pos + 1], '^[\p{{L}}\p{{N}}_+#]+') AS named,
+         pos = 0 OR regexp_matches(raw[pos], '[.!?]') AS first
+  FROM (SELECT *, unnest(range(len(raw))) AS pos FROM cut)),
+gold_places AS (
+  SELECT *, named IN ({quoted(singles)}) AS one,
+         coalesce(sign || ' ' || lead(named) OVER (PARTITION BY id ORDER BY pos) IN ({quoted(pairs)}), false) AS two,
+         named || ' ' || lead(named) OVER (PARTITION BY id ORDER BY pos) AS pair FROM tokens),
+gold AS (
+  SELECT id, dev, pos AS start, CASE WHEN two THEN 2 ELSE 1 END AS n_words,
+         lower(CASE WHEN two THEN pair ELSE named END) AS term
+  FROM gold_places WHERE two OR one),
+gold_words AS (
+  SELECT id, start + k AS pos, string_split(term, ' ')[k + 1] AS word, CASE k WHEN 0 THEN 'B' ELSE 'I' END AS tag
+  FROM (SELECT *, unnest(range(n_words)) AS k FROM gold WHERE NOT dev)),
+entity AS (SELECT DISTINCT word FROM gold_words),
+seen AS (
+  SELECT t.id, dev, pos, lower(named) AS word, first, coalesce(tag, 'O') AS tag,
+         coalesce(NOT lead(first) OVER (PARTITION BY t.id ORDER BY pos), false) AS goes_on,
+         lower(named) IN (SELECT word FROM entity) AS hit
+  FROM tokens t LEFT JOIN gold_words g USING (id, pos)),
+moves AS (
+  SELECT CASE WHEN first THEN 'S' ELSE lag(tag) OVER (PARTITION BY id ORDER BY pos) END AS before, tag FROM seen WHERE NOT dev),
+grid AS (SELECT * FROM (VALUES ('S'), ('O'), ('B'), ('I')) a(before), (VALUES ('O'), ('B'), ('I')) b(tag)),
+moved AS (SELECT before, tag, count(m.tag) AS n FROM grid LEFT JOIN moves m USING (before, tag) GROUP BY ALL),
+model AS (SELECT {steps} FROM (SELECT *, ln((n + 1) / (sum(n) OVER (PARTITION BY before) + 3)) AS w FROM moved)),
+sizes AS (
+  SELECT count(*) FILTER (tag = 'O') AS n_o, count(*) FILTER (tag = 'B') AS n_b, count(*) FILTER (tag = 'I') AS n_i,
+         (SELECT count(*) FROM entity) AS n FROM seen WHERE NOT dev),
+emissions AS (
+  SELECT word, ln((count(*) FILTER (tag = 'O') + 1) / (any_value(n_o) + any_value(n) + 1)) AS eo,
+         ln((count(*) FILTER (tag = 'B') + 1) / (any_value(n_b) + any_value(n) + 1)) AS eb,
+         ln((count(*) FILTER (tag = 'I') + 1) / (any_value(n_i) + any_value(n) + 1)) AS ei
+  FROM seen, sizes WHERE NOT dev AND hit GROUP BY word),
+places_seen AS (
+  SELECT *, first OR lag(pos) OVER (PARTITION BY id ORDER BY pos) IS DISTINCT FROM pos - 1 AS begins
+  FROM seen JOIN emissions USING (word) WHERE dev),
+parts AS (
+  SELECT *, sum(CASE WHEN begins THEN 1 ELSE 0 END) OVER (PARTITION BY id ORDER BY pos) AS part FROM places_seen),
+numbered AS (
+  SELECT *, row_number() OVER p AS k, lead(pos) OVER p IS NULL AS final FROM parts
+  WINDOW p AS (PARTITION BY id, part ORDER BY pos)),
+ways AS (
+  SELECT id, part, k, {", ".join(f"{start(t)} AS {t}, '{t.upper()}' AS p{t}" for t in "obi")}
+  FROM numbered n, model WHERE k = 1
+  UNION ALL
+  SELECT n.id, n.part, n.k, {", ".join(f"{step(t)}, {way(t)}" for t in "obi")}
+  FROM ways p JOIN numbered n ON n.id = p.id AND n.part = p.part AND n.k = p.k + 1, model),
+closed AS (
+  SELECT w.*, o + CASE WHEN goes_on THEN oo ELSE 0 END AS fo, b + CASE WHEN goes_on THEN bo ELSE 0 END AS fb,
+         i + CASE WHEN goes_on THEN io ELSE 0 END AS fi
+  FROM ways w JOIN numbered n USING (id, part, k), model WHERE final),
+tagged AS (
+  SELECT id, part, CASE WHEN fo >= fb AND fo >= fi THEN po WHEN fb >= fi THEN pb ELSE pi END AS tags FROM closed),
+stretches AS (SELECT id, part, min(pos) AS pos, list(word ORDER BY pos) AS words FROM numbered GROUP BY ALL),
+predicted AS (
+  SELECT id, CAST(pos + j - 1 AS INTEGER) AS start, CAST(len(regexp_extract(tags[j + 1:], '^I*')) + 1 AS INTEGER) AS n_words,
+         array_to_string(words[j : j + len(regexp_extract(tags[j + 1:], '^I*'))], ' ') AS term
+  FROM (SELECT *, unnest(range(1, len(tags) + 1)) AS j FROM tagged JOIN stretches USING (id, part))
+  WHERE tags[j] = 'B' OR (tags[j] = 'I' AND (j = 1 OR tags[j - 1] = 'O')))"""
+
+
+ORACLE_SQL |= {
+    "learned_entities": f"WITH RECURSIVE {learnt(NAMED_TOOLS)} SELECT id, start, n_words, term FROM predicted",
+    "eval_entity_prf": f"""WITH RECURSIVE {learnt(NAMED_TOOLS)},
+        marked AS (
+          SELECT coalesce(g.term, p.term) AS term, g.id IS NOT NULL AS in_gold, p.id IS NOT NULL AS in_predicted
+          FROM (SELECT * FROM gold WHERE dev) g FULL JOIN predicted p
+          ON g.id = p.id AND g.start = p.start AND g.n_words = p.n_words AND g.term = p.term),
+        counted AS (
+          SELECT CASE WHEN grouping(term) = 1 THEN 'ALL' ELSE term END AS term,
+                 count(*) FILTER (in_gold AND in_predicted) AS tp, count(*) FILTER (NOT in_gold) AS fp,
+                 count(*) FILTER (NOT in_predicted) AS fn
+          FROM marked GROUP BY ROLLUP (marked.term))
+        SELECT *, {PRF} FROM counted""",
+    "training_batches": rf"""WITH {DESCRIPTIONS},
+        sized AS (
+          SELECT id, CAST(len(regexp_extract_all(job_description, '[\p{{L}}\p{{N}}_]+')) AS BIGINT) AS n_words,
+                 md5('0:0:' || CAST(id AS VARCHAR)) AS key FROM descriptions),
+        placed AS (
+          SELECT id, n_words, CAST(coalesce(sum(n_words) OVER (
+            ORDER BY key, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS words_before FROM sized),
+        growth AS (SELECT ceil(ln(10.0) / ln(1.001)) AS steps, 100 * (pow(1.001, steps) - 1) / 0.001 AS grown)
+        SELECT id, n_words, words_before, CAST(CASE
+                 WHEN words_before < grown THEN floor(ln(1 + words_before * 0.001 / 100) / ln(1.001) + 1e-9)
+                 ELSE steps + floor((words_before - grown) / 1000 + 1e-9) END AS BIGINT) AS batch
+        FROM placed, growth""",
+}
 ORACLE_SQL["eval_training_score"] = f"""
-    SELECT round(0.5 * e.f1 + 0.5 * m.f1, 6) AS score
+    SELECT CAST(CAST(0.5 * e.f1 AS DECIMAL(18,7)) + CAST(0.5 * m.f1 AS DECIMAL(18,7)) AS DECIMAL(18,7)) AS score
     FROM ({ORACLE_SQL["eval_entity_prf"]}) e, ({ORACLE_SQL["eval_macro_f1"]}) m
     WHERE e.term = 'ALL' AND m.label = 'macro'"""

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from hirelake import schemas
 from hirelake.functions import dates, scoring, text
 from hirelake.functions.keys import SHORT_KEYS
-from hirelake.operators import analytics, dims, enrich, facts, keyed, landing, quality, text_ml, writing
+from hirelake.operators import (
+    analytics, batches, dims, enrich, facts, keyed, landing, quality, tagging, text_ml, writing,
+)
 from hirelake.session import scratch_path
 from hirelake.sources import fixtures
 from hirelake.sources.pages import element_html, visible_text
@@ -490,25 +492,54 @@ def eval_macro_f1(spark, folder):
     )
 
 
+def _taught(spark, folder):
+    """The documents that teach and those that test, the names in all of them, and the learnt tagger."""
+    docs = text_ml.hash_split(fixtures.descriptions(spark, folder), "id")
+    train, dev = docs.where("split = 'train'"), docs.where("split = 'dev'")
+    gold = lambda some: enrich.tagged_spans(some, "id", "job_description", (), fixtures.NAMED_TOOLS)
+    return dev, gold(dev), tagging.fit_tagger(train, gold(train), "id", "job_description")
+
+
 def _entity_scores(spark, folder):
-    docs = fixtures.descriptions(spark, folder)
-    lexicon = spark.createDataFrame([(t,) for t in fixtures.PROSE_TOOLS], "term string")
-    gold = enrich.tool_spans(docs, "id", "job_description", lexicon)
-    return text_ml.entity_prf(gold, enrich.tagged_spans(docs, "id", "job_description", fixtures.PROSE_TOOLS), "id")
+    dev, gold, tagger = _taught(spark, folder)
+    return text_ml.entity_prf(gold, tagger.spans(dev, "id", "job_description"), "id")
 
 
 @query
 def eval_entity_prf(spark, folder):
-    """The tools found word by word as gold, those of the regular expression of the load as prediction."""
+    """Scores of a tagger learnt from four fifths of the documents, on the others."""
     return _entity_scores(spark, folder)
 
 
+@query
+def learned_entities(spark, folder):
+    """The names that the learnt tagger finds in the documents it has not seen."""
+    dev, _, tagger = _taught(spark, folder)
+    return tagger.spans(dev, "id", "job_description")
+
+
+@query
+def tagger_agreement(spark, folder):
+    """The tools found word by word as gold, those of the regular expression of the load as prediction."""
+    docs = fixtures.descriptions(spark, folder)
+    lexicon = spark.createDataFrame([(t,) for t in fixtures.PROSE_TOOLS], "term string")
+    gold = enrich.tool_spans(docs, "id", "job_description", lexicon)
+    return text_ml.entity_prf(gold, enrich.tagged_spans(docs, "id", "job_description", fixtures.PROSE_TOOLS), "id")
+
+
 @query
 def eval_training_score(spark, folder):
     """Both scores in one number."""
     return text_ml.training_score(_entity_scores(spark, folder), QUERIES["eval_macro_f1"](spark, folder))
 
 
+@query
+def training_batches(spark, folder):
+    """All documents in batches that grow from 100 to 1,000 words."""
+    docs = fixtures.descriptions(spark, folder)
+    return batches.training_batches(docs, "id", "job_description")
+
+
 # --- streams ----------------------------------------------------------------------------------
 
 

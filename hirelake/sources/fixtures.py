@@ -33,6 +33,9 @@ PROSE_TOOLS = (
     "thanedble the",
 )
 
+# The same names as they begin with a capital, which a tagger of lower-cased words has to guess.
+NAMED_TOOLS = tuple(t.capitalize() for t in PROSE_TOOLS)
+
 # Marker words per language, in label order.
 LANGUAGE_MARKERS = {
     "en": ("the", "of", "and", "to", "is", "that"),

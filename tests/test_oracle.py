@@ -20,6 +20,7 @@ TYPES = {
     "timestamp_ntz": "TIMESTAMP",
     "double": "DOUBLE",
     "boolean": "BOOLEAN",
+    "decimal(18,7)": "DECIMAL(18,7)",
 }
 
 
