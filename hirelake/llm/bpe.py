@@ -14,7 +14,7 @@ import json
 import os
 import re
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from hirelake.llm.common import some_rows, spare
 
 # Remembered by a worker; it starts anew when there are more, which changes no result.
-KEPT_WORDS, KEPT_PAIRS = 1 << 19, 1 << 19
+KEPT_WORDS, KEPT_PAIRS = 1 << 18, 1 << 18
 LONGEST_KEPT = 64
 NEVER = 1 << 40  # later than any merge
 
@@ -74,8 +74,25 @@ def _is(part: dict | None, **expected) -> bool:
     return part is not None and all(part.get(k) == v for k, v in expected.items())
 
 
-class Codec:
-    """Encodes and decodes as a byte-level tokenizer file says; other kinds raise ValueError.
+def _rules(path: str) -> dict:
+    """What a tokenizer file says, if it is byte-level without anything before it; others raise ValueError."""
+    with open(path, encoding="utf-8") as file:
+        rules = json.load(file)
+    model, added = rules["model"], rules["added_tokens"]
+    plain = all(not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) for t in added)
+    unusual = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix",
+                           "fuse_unk", "byte_fallback", "ignore_merges") if model.get(k)]
+    if not (
+        plain and not unusual and rules["normalizer"] is None and model["type"] == "BPE"
+        and _is(rules["pre_tokenizer"], type="ByteLevel", add_prefix_space=False, use_regex=True)
+        and _is(rules["decoder"], type="ByteLevel")
+    ):
+        raise ValueError(f"{path} is not a plain byte-level tokenizer")
+    return rules
+
+
+class Encoder:
+    """Encodes as a byte-level tokenizer file says; other kinds raise ValueError.
 
     Merges must come in the order in which their parts come into being. Added tokens in a text
     become their own id.
@@ -87,42 +104,30 @@ class Codec:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as file:
-            rules = json.load(file)
-        model, added = rules["model"], rules["added_tokens"]
-        plain = all(not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) for t in added)
-        unusual = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix",
-                               "fuse_unk", "byte_fallback", "ignore_merges") if model.get(k)]
-        if not (
-            plain and not unusual and rules["normalizer"] is None and model["type"] == "BPE"
-            and _is(rules["pre_tokenizer"], type="ByteLevel", add_prefix_space=False, use_regex=True)
-            and _is(rules["decoder"], type="ByteLevel")
-        ):
-            raise ValueError(f"{path} is not a plain byte-level tokenizer")
+        rules = _rules(path)
+        model = rules["model"]
         self.kinds = _Kinds(Tokenizer.from_file(path).pre_tokenizer)
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
         self._build(model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model["merges"]])
-        self.matches = ahocorasick.Automaton()
-        for token in np.flatnonzero(self.born > -2).tolist():
-            self.matches.add_word(self.symbols[token], token)
-        self.matches.make_automaton()
-        self.born = self.born.tolist()
-        self.added = {t["content"]: t["id"] for t in added}
+        self.added = {t["content"]: t["id"] for t in rules["added_tokens"]}
         contents = sorted(self.added, key=len, reverse=True)
         self.marks = re.compile("(" + "|".join(map(re.escape, contents)) + ")") if contents else None
-        self.raw = {i: self._raw(s) for s, i in (model["vocab"] | self.added).items()}
+        self.matches = ahocorasick.Automaton()
+        for symbol, token in model["vocab"].items():
+            if self.born[token] > -2:
+                self.matches.add_word(symbol, token)
+        self.matches.make_automaton()
 
     def _build(self, vocabulary: dict[str, int], merges: list) -> None:
         """When every token comes into being (-1: a byte, -2: never), and from which two."""
         most = max(vocabulary.values(), default=-1) + 1
         self.base = most
-        self.symbols = {i: s for s, i in vocabulary.items()}
         self.length = [0] * most
         for symbol, token in vocabulary.items():
             self.length[token] = len(symbol)
-        self.born = np.full(most, -2, np.int64)
+        self.born = [-2] * most
         for symbol in _BYTE_OF:
             self.born[vocabulary[symbol]] = -1
         self.left, self.right = [-1] * most, [-1] * most
@@ -184,19 +189,19 @@ class Codec:
 
     def _word(self, word: str) -> bytes:
         """The ids of a word with the white space before it, as bytes; those of usual length are kept."""
-        ids, at = [], 0
+        found, at = [], 0
         for kinds in _PIECE.findall(word if word.isascii() else word.translate(self.kinds)):
             piece = word[at : at + len(kinds)]
             at += len(kinds)
             known = self.pieces.get(piece)
             if known is None:
-                known = self.piece_ids(_symbols(piece))
+                known = _packed(self.piece_ids(_symbols(piece)))
                 if len(piece) <= LONGEST_KEPT:
                     if len(self.pieces) >= KEPT_WORDS:
                         self.pieces.clear()
                     self.pieces[piece] = known
-            ids += known
-        raw = _packed(ids)
+            found.append(known)
+        raw = b"".join(found)
         if len(word) <= LONGEST_KEPT:
             if len(self.words) >= KEPT_WORDS:
                 self.words.clear()
@@ -218,7 +223,17 @@ class Codec:
             encoded += found
         return b"".join(encoded)
 
-    def _raw(self, token: str) -> bytes:
+
+class Decoder:
+    """Decodes as a byte-level tokenizer file says; it needs the vocabulary only."""
+
+    def __init__(self, path: str):
+        rules = _rules(path)
+        tokens = rules["model"]["vocab"] | {t["content"]: t["id"] for t in rules["added_tokens"]}
+        self.raw = {i: self._raw(s) for s, i in tokens.items()}
+
+    @staticmethod
+    def _raw(token: str) -> bytes:
         known = [_BYTE_OF.get(s) for s in token]
         return token.encode() if None in known else bytes(known)
 
@@ -233,20 +248,27 @@ class Codec:
 
 
 @lru_cache(maxsize=2)
-def codec(path: str) -> Codec:
-    """One codec per worker and vocabulary file."""
-    return Codec(path)
+def encoder(path: str) -> Encoder:
+    """One encoder per worker and vocabulary file."""
+    return Encoder(path)
+
+
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
 
 
-def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, path: str, method: str, drop: bool) -> DataFrame:
-    """Adds a column computed by one of the codec's methods, batch by batch."""
+def _with_column(
+    df: DataFrame, source: str, name: str, kind: T.DataType, made: Callable[[], Callable], drop: bool
+) -> DataFrame:
+    """Adds a column computed by the function that ``made`` gives in a worker, batch by batch."""
     kept = [c for c in df.columns if c.lower() != name.lower() and not (drop and c == source)]
     inner = spare([*kept, name], "_in")
     schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(name, kind)])
     arrow = pa.binary() if isinstance(kind, T.BinaryType) else pa.string()
 
     def computed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        apply = getattr(codec(path), method)
+        apply = made()
         for whole in batches:
             for batch in some_rows(whole):
                 values: Iterable = (apply(v.as_py()) for v in batch.column(inner))
@@ -264,7 +286,7 @@ def encoded(docs: DataFrame, path: str, text: str = "text", name: str = "ids", k
     as an empty text, which has no ids. Rows keep their other columns, repeats included; a column named
     ``name`` is replaced. Nothing is shuffled, and an empty table gives an empty one.
     """
-    return _with_column(docs, text, name, T.BinaryType(), path, "encode", not keep_text)
+    return _with_column(docs, text, name, T.BinaryType(), lambda: encoder(path).encode, not keep_text)
 
 
 def decoded(tokens: DataFrame, path: str, ids: str = "ids", name: str = "decoded", keep_ids: bool = True) -> DataFrame:
@@ -272,4 +294,4 @@ def decoded(tokens: DataFrame, path: str, ids: str = "ids", name: str = "decoded
 
     Added tokens show as their strings. Rows keep their other columns; one named ``name`` is replaced.
     """
-    return _with_column(tokens, ids, name, T.StringType(), path, "decode", not keep_ids)
+    return _with_column(tokens, ids, name, T.StringType(), lambda: decoder(path).decode, not keep_ids)
