@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hirelake.operators import versions
 from hirelake.operators.keyed import rank_by_id
 from hirelake.session import delete_path, path_exists, rename_path
 
@@ -35,6 +36,27 @@ def reload_table(
     df.select((F.col(number) + last_id).alias(id_col), *rest).write.mode("overwrite").parquet(path)
 
 
+def reload_version(spark: SparkSession, df: DataFrame, path: str, id_col: str, order: str) -> int:
+    """``reload_table`` for a versioned table: readers see the old rows until all new ones are there.
+
+    Ids go on counting after the highest of all versions that are kept; an empty version keeps the count.
+    """
+    last_id, base = 0, versions.current_version(spark, path)
+    for version in versions.versions(spark, path):
+        last_id = max(last_id, versions.read_version(spark, path, version).agg(F.max(id_col)).first()[0] or 0)
+    ranked = rank_by_id(df, order, name="_serial")
+    rest = [name for name in ranked.columns if name not in (id_col, order, "_serial")]
+    rows = ranked.select((F.col("_serial") + last_id).alias(id_col), *rest)
+    return versions.publish(spark, rows, path, base)
+
+
+def merge_version(spark: SparkSession, path: str, incoming: DataFrame, merge: Merge) -> int:
+    """Merges a batch into a versioned table; of two writers that began with one version, one gets Conflict."""
+    base = versions.current_version(spark, path)
+    stored = versions.read_version(spark, path, base) if base else spark.createDataFrame([], incoming.schema)
+    return versions.publish(spark, merge(stored.select(*incoming.columns), incoming), path, base)
+
+
 def write_merged(
     spark: SparkSession,
     path: str,

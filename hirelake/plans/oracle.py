@@ -566,6 +566,29 @@ ORACLE_SQL |= {
                  ELSE steps + floor((words_before - grown) / 1000 + 1e-9) END AS BIGINT) AS batch
         FROM placed, growth""",
 }
+ORACLE_SQL["versioned_reload"] = ORACLE_SQL["landing_reload"]
+ORACLE_SQL["versioned_upsert"] = ORACLE_SQL["scd1_upsert"]
+ORACLE_SQL["stream_change_capture"] = """
+    SELECT event_id, ts, user_id, event_type, value, props FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1 AND event_id % 10 <> 3"""
+UNKNOWN_KEYS = {
+    "date_posted_fk": f"SELECT date_iso_format_pk FROM ({CALENDAR_OF_THE_REPORT})",
+    "role_fk": "SELECT role_key FROM clean WHERE role_key IS NOT NULL",
+    "company_fk": f"SELECT company_key FROM clean WHERE company_key IS NOT NULL AND date_posted <= DATE '{DIMENSION_LOADED_UNTIL}'",
+    "employment_type_fk": "SELECT employment_type_key FROM clean WHERE employment_type_key IS NOT NULL",
+    "location_fk": "SELECT location_key FROM clean WHERE location_key IS NOT NULL",
+}
+ORACLE_SQL["enforced_fact_load"] = f"""WITH {CANDIDATES_BARE},
+    reasoned AS (
+      SELECT [{", ".join(f"CASE WHEN {fk} IS NULL THEN 'null key: {fk}' END" for fk in UNKNOWN_KEYS)},
+              {", ".join(f"CASE WHEN {fk} NOT IN ({keys}) THEN 'no such key: {fk}' END" for fk, keys in UNKNOWN_KEYS.items())},
+              CASE WHEN {" AND ".join(f"{fk} IS NOT NULL" for fk in UNKNOWN_KEYS)}
+                    AND row_number() OVER (PARTITION BY {FACT_KEYS} ORDER BY last_updated DESC, id DESC) > 1
+                   THEN 'duplicate key' END] AS reasons FROM candidates),
+    listed AS (SELECT list_filter(reasons, lambda r: r IS NOT NULL) AS reasons FROM reasoned)
+    SELECT reason, count(*) AS n_rows FROM (SELECT unnest(reasons) AS reason FROM listed) GROUP BY reason
+    UNION ALL SELECT 'incoming', count(*) FROM listed
+    UNION ALL SELECT 'accepted', count(*) FROM listed WHERE len(reasons) = 0"""
 ORACLE_SQL["eval_training_score"] = f"""
     SELECT CAST(CAST(0.5 * e.f1 AS DECIMAL(18,7)) + CAST(0.5 * m.f1 AS DECIMAL(18,7)) AS DECIMAL(18,7)) AS score
     FROM ({ORACLE_SQL["eval_entity_prf"]}) e, ({ORACLE_SQL["eval_macro_f1"]}) m

@@ -11,13 +11,13 @@ from hirelake import schemas
 from hirelake.functions import dates, scoring, text
 from hirelake.functions.keys import SHORT_KEYS
 from hirelake.operators import (
-    analytics, batches, dims, enrich, facts, keyed, landing, quality, tagging, text_ml, writing,
+    analytics, batches, dims, enforce, enrich, facts, keyed, landing, quality, tagging, text_ml, versions, writing,
 )
 from hirelake.session import scratch_path
 from hirelake.sources import fixtures
 from hirelake.sources.pages import element_html, visible_text
 from hirelake.sources.tables import read_table
-from hirelake.streaming import jobs
+from hirelake.streaming import changes, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -153,6 +153,18 @@ def landing_reload(spark, folder):
     return spark.read.parquet(path)
 
 
+@query
+def versioned_reload(spark, folder):
+    """The same into a table whose readers see either load whole, never a table that is being emptied."""
+    path = scratch_path(spark, "raw_jobs")
+    load = fixtures.page_postings(spark, folder).select(
+        "id", "title", "company", "location", "metadata_application_link"
+    )
+    writing.reload_version(spark, load, path, "id", "id")
+    writing.reload_version(spark, load, path, "id", "id")
+    return versions.read_version(spark, path)
+
+
 @query
 def landing_dedup_first_wins(spark, folder):
     raw = schemas.conform(fixtures.postings(spark, folder), schemas.RAW_JOBS)
@@ -332,6 +344,16 @@ def scd1_upsert(spark, folder):
     return keyed.upsert(first, candidates.where("id % 2 = 1"), schemas.FACT.key, facts.newest_first())
 
 
+@query
+def versioned_upsert(spark, folder):
+    """The two batches of ``scd1_upsert``, each published as a version of the fact table."""
+    path, candidates = scratch_path(spark, "facts"), facts.batch_candidates(keyed_adverts(spark, folder))
+    for rest in (0, 1):
+        batch = facts.fact_rows(candidates.where(f"id % 2 = {rest}"))
+        writing.merge_version(spark, path, batch, lambda old, new: keyed.upsert(old, new, schemas.FACT.key))
+    return versions.read_version(spark, path)
+
+
 @query
 def lookup_update(spark, folder):
     """Adverts without role key get it from the role dimension by role name."""
@@ -426,19 +448,36 @@ def dq_unique_label(spark, folder):
     )
 
 
-@query
-def dq_fk_orphans(spark, folder):
-    """Facts against a calendar and a company dimension that were loaded too early."""
-    adverts = stored_adverts(spark, folder)
+def references_of(spark, folder, adverts):
+    """The dimensions of the facts: the calendar and the companies were loaded too early."""
     early = adverts.where(F.col("date_posted") <= F.lit(DIMENSION_LOADED_UNTIL).cast("date"))
-    references = {
+    return {
         "date_posted_fk": (dims.date_dim(spark, *CALENDAR_OF_REPORT), "date_iso_format_pk"),
         "role_fk": (dims.role_dim(adverts), "role_pk"),
         "company_fk": (dims.company_dim(early), "company_pk"),
         "employment_type_fk": (dims.employment_type_dim(adverts), "employment_type_pk"),
         "location_fk": (dims.location_dim(places(spark, folder)), "location_pk"),
     }
-    return quality.fk_orphans(facts.fact_rows(facts.batch_candidates(adverts)), references)
+
+
+@query
+def dq_fk_orphans(spark, folder):
+    """Facts against a calendar and a company dimension that were loaded too early."""
+    adverts = stored_adverts(spark, folder)
+    return quality.fk_orphans(facts.fact_rows(facts.batch_candidates(adverts)), references_of(spark, folder, adverts))
+
+
+@query
+def enforced_fact_load(spark, folder):
+    """Candidates for the fact written under its constraints: how many were refused, for which reason."""
+    path, adverts = scratch_path(spark, "enforced"), stored_adverts(spark, folder)
+    candidates = facts.batch_candidates(adverts)
+    newest = [F.col("last_updated"), F.col("id")]
+    written = enforce.write_enforced(spark, candidates, schemas.FACT, path, references_of(spark, folder, adverts), newest)
+    refused = enforce.quarantined_rows(spark, path).select(F.explode("reasons").alias("reason"))
+    counts = refused.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    totals = [("incoming", written.incoming), ("accepted", enforce.accepted_rows(spark, path).count())]
+    return counts.unionByName(spark.createDataFrame(totals, "reason string, n_rows long"))
 
 
 @query
@@ -572,6 +611,17 @@ def stream_scd1_upsert(spark, folder):
     return jobs.newest_rows(spark, out, stream.schema, keys, newest)
 
 
+@query
+def stream_change_capture(spark, folder):
+    """Events as change records of user and type, a tenth of them deletes, replayed and compacted."""
+    stream = _event_stream(spark, folder).withColumn("op", F.when(F.col("event_id") % 10 == 3, "delete").otherwise("update"))
+    out, keys = scratch_path(spark, "changes"), ["user_id", "event_type"]
+    for _ in range(2):  # the second run starts over and brings every change again
+        changes.apply_changes(stream, keys, "event_id", out, scratch_path(spark, "checkpoint")).awaitTermination()
+    changes.compact_changes(spark, out, stream.schema, keys, "event_id")
+    return changes.current_rows(spark, out, stream.schema, keys, "event_id")
+
+
 @query
 def stream_daily_count(spark, folder):
     stream = _event_stream(spark, folder)

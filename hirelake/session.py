@@ -78,3 +78,30 @@ def folders_in(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hadoop_path):
         return []
     return sorted(f.getPath().getName() for f in fs.listStatus(hadoop_path) if f.isDirectory())
+
+
+def files_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files inside a folder; none if it isn't there."""
+    fs, hadoop_path = _file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(f.getPath().getName() for f in fs.listStatus(hadoop_path) if f.isFile())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file that must not exist."""
+    fs, hadoop_path = _file_system(spark, path)
+    out = fs.create(hadoop_path, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    fs, hadoop_path = _file_system(spark, path)
+    size = fs.getFileStatus(hadoop_path).getLen()
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(stream.readNBytes(size)).decode()
+    finally:
+        stream.close()
