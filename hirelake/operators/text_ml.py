@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, IndexToString, RegexTokenizer, StringIndexer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.functions.scoring import hash_bucket
@@ -65,6 +65,20 @@ class NaiveBayes(NamedTuple):
         )
         return rows.join(scored, id_col, "left").select(*rows.columns, F.array_max(ranked)["label"].alias(name))
 
+    def save(self, path: str) -> None:
+        """Writes the words' weights and, in a row per label, priors and costs, below ``path``."""
+        self.weights.write.parquet(f"{path}/weights")
+        rows = list(zip(range(len(self.labels)), self.labels, self.priors, self.costs))
+        labels = self.weights.sparkSession.createDataFrame(rows, "place int, label string, prior double, cost double")
+        labels.coalesce(1).write.parquet(f"{path}/labels")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> NaiveBayes:
+        """A model that ``save`` has written; it predicts what the saved one does."""
+        rows = spark.read.parquet(f"{path}/labels").orderBy("place").collect()  # a row per label
+        columns = [[r[c] for r in rows] for c in ("label", "prior", "cost")]
+        return NaiveBayes(spark.read.parquet(f"{path}/weights"), *columns)
+
 
 def fit_naive_bayes(train: DataFrame, text: str, label: str) -> NaiveBayes:
     """Counts words per label and labels; every count is one more than it is.

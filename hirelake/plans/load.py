@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from hirelake import schemas
 from hirelake.functions.dates import UNKNOWN_DATE
 from hirelake.functions.keys import WHOLE_KEYS, KeyLengths
-from hirelake.operators import dims, enrich, facts, keyed, landing
+from hirelake.operators import dims, enrich, facts, keyed, landing, text_ml
 from hirelake.operators.writing import reload_table, write_merged
 from hirelake.session import build_session, path_exists
 
@@ -97,6 +97,13 @@ def load_calendar(spark: SparkSession, root: str, first: str | None = None, last
     schemas.refresh_tables(spark, root)
 
 
+def role_model(spark: SparkSession, path: str, examples: str | None = None) -> text_ml.NaiveBayes:
+    """The stored title classifier at ``path``; with ``examples`` it is learnt from them and stored first."""
+    if examples:
+        text_ml.fit_naive_bayes(spark.read.parquet(examples), "title", "role").save(path)
+    return text_ml.NaiveBayes.load(spark, path)
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     given = parser.add_mutually_exclusive_group(required=True)
@@ -109,6 +116,8 @@ def main() -> None:
     parser.add_argument("--gazetteer", required=True, help="table of country, city and perhaps rank (Parquet), or 'none'")
     parser.add_argument("--tools", default=None, help="file with one tool name per line")
     parser.add_argument("--rules", default=None, help="JSON file with a list of [pattern, role]")
+    parser.add_argument("--role-model", default=None, help="folder of a stored title classifier, instead of rules")
+    parser.add_argument("--learn-roles", default=None, help="table of title and role (Parquet) to learn the role model from first")
     parser.add_argument("--calendar-from", default=None, help="first day of the calendar, by default of the facts")
     parser.add_argument("--calendar-to", default=None, help="last day of the calendar, by default of the facts")
     args = parser.parse_args()
@@ -126,6 +135,8 @@ def main() -> None:
     if args.rules:
         with open(args.rules, encoding="utf-8") as rules:
             options["rules"] = [tuple(rule) for rule in json.load(rules)]
+    if args.role_model:
+        options["role_model"] = role_model(spark, args.role_model, args.learn_roles)
     load_batch(spark, raw, args.root, args.as_of or dt.date.today(), gazetteer, **options)
     load_calendar(spark, args.root, args.calendar_from, args.calendar_to)
 

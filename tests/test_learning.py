@@ -5,7 +5,9 @@ import re
 
 import pytest
 
-from hirelake.operators import batches, enrich, tagging
+from hirelake import schemas
+from hirelake.operators import batches, enrich, tagging, text_ml
+from hirelake.plans import load
 
 TOKEN = re.compile(r"[\w+#]+[^\s\w+#]*")
 TOOLS = ("Spark", "Go", "Power BI", "SQL Server", "SQL")
@@ -172,3 +174,24 @@ def test_no_window_sees_all_texts(spark):
     plan = batches.training_batches(table, "id", "text")._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if " Window [" in line]
     assert windows and all("_block" in w or "_span" in w for w in windows)
+
+
+def test_a_stored_role_model_loads_like_the_one_in_memory(spark, tmp_path):
+    examples = [("Data Engineer (Spark)", "Data Engineer"), ("Engineer of data pipelines", "Data Engineer"),
+                ("Data Analyst", "Data Analyst"), ("Analyst, business", "Data Analyst"), ("Cook", "Other")]
+    spark.createDataFrame(examples, "title string, role string").write.parquet(f"{tmp_path}/examples")
+    stored = load.role_model(spark, f"{tmp_path}/model", f"{tmp_path}/examples")
+    fitted = text_ml.fit_naive_bayes(spark.read.parquet(f"{tmp_path}/examples"), "title", "role")
+    assert (stored.labels, stored.priors, stored.costs) == (fitted.labels, fitted.priors, fitted.costs)
+    titles = [(1, "pipelines engineer"), (2, "business analyst"), (3, "cook"), (4, None), (5, "unseen")]
+    raw = spark.createDataFrame(titles, "id long, title string")
+    columns = ("company", "location", "employment_type", "job_description", "metadata_application_link", "metadata_source")
+    raw = raw.selectExpr("*", *[f"'x' AS {c}" for c in columns],
+                         "DATE'2024-01-01' AS date_posted", "TIMESTAMP_NTZ'2024-01-02 00:00:00' AS metadata_lastupdated")
+    found = []
+    for k, model in enumerate((stored, fitted, load.role_model(spark, f"{tmp_path}/model"))):
+        load.load_batch(spark, raw, f"{tmp_path}/{k}", "2024-01-02", role_model=model)
+        clean = spark.read.parquet(schemas.table_path(f"{tmp_path}/{k}", schemas.CLEAN_JOBS))
+        found.append(sorted((r["id"], r["role"]) for r in clean.collect()))
+    assert found[0] == found[1] == found[2]
+    assert found[0][:3] == [(1, "Data Engineer"), (2, "Data Analyst"), (3, "Other")]
