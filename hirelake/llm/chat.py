@@ -45,7 +45,7 @@ def rotated(
     whose messages everybody sees as they are.
 
     Messages go by turn, those without one last, then by speaker, none last, then by a hash of the text.
-    Messages that are equal in all four columns are one message. A NULL text is empty; a message without a speaker is an unnamed
+    A message that is repeated in all four columns is rendered as often as it comes. A NULL text is empty; a message without a speaker is an unnamed
     user's in all perspectives and nobody's own. Rows without a conversation number form one
     conversation. One without participants gives no rows, as no messages do. Other columns are ignored.
     """
@@ -53,20 +53,24 @@ def rotated(
     rows = messages.select(
         key.alias("conversation"), F.col(conversation).alias("number"), F.col(turn).alias("turn"),
         F.col(speaker).alias("speaker"), F.coalesce(F.col(text), F.lit("")).alias("text"),
-    ).distinct()
+    )
+    # Repeats are one row with their number until they have their places.
+    rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("times"))
     rows = stored(rows.withColumn("hash", F.xxhash64("text")), "messages")
     # Where every message begins, found without moving its text; ties go by the text's hash.
     order = [F.coalesce(F.col("turn"), F.lit(0)), F.col("turn").isNull(), F.coalesce("speaker", F.lit("")), F.col("speaker").isNull()]
     slim = rows.select(
         "conversation", order[1].alias("no_turn"), order[0].alias("at_turn"), order[3].alias("no_speaker"),
-        order[2].alias("by"), "hash", (F.length("text") + PER_MESSAGE).alias("chars"),
+        order[2].alias("by"), "hash", (F.col("times") * (F.length("text") + PER_MESSAGE)).alias("chars"),
     )
     names = ["no_turn", "at_turn", "no_speaker", "by", "hash"]
     begun = prefix_sums(slim, "conversation", names, "chars").select("conversation", *names, "before")
     keyed = rows.withColumns(
         {"no_turn": order[1], "at_turn": order[0], "no_speaker": order[3], "by": order[2]}
     )
-    placed = keyed.join(begun, ["conversation", *names]).withColumn("block", F.floor(F.col("before") / block_chars))
+    placed = keyed.join(begun, ["conversation", *names]).withColumn("repeat", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    place = F.col("before") + (F.col("repeat") - 1) * (F.length("text") + PER_MESSAGE)
+    placed = placed.withColumn("before", place).withColumn("block", F.floor(F.col("before") / block_chars))
     is_system = F.coalesce(F.col("speaker").isin(*system), F.lit(False))
     people = rows.where(F.col("speaker").isNotNull() & ~is_system)
     people = people.select("conversation", F.col("speaker").alias("assistant")).distinct()

@@ -54,7 +54,7 @@ JOIN keyed k ON s.source IS NOT DISTINCT FROM k.source AND s.key = k.key
 """,
     "op3_perspective_rotation": """
 WITH messages AS (
-  SELECT DISTINCT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
 people AS (
   SELECT DISTINCT conv_id, role AS assistant FROM messages WHERE role IS NOT NULL AND role <> 'system'),
 seen AS (

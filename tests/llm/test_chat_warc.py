@@ -24,7 +24,7 @@ def rendered(rows):
     found = {}
     for conv in {r[0] for r in rows}:
         own = sorted(
-            {(r[1] is None, r[1] or 0, r[2] or "", r[2], r[3] or "") for r in rows if r[0] == conv},
+            [(r[1] is None, r[1] or 0, r[2] or "", r[2], r[3] or "") for r in rows if r[0] == conv],
             key=lambda r: (r[0], r[1], r[3] is None, r[2]),
         )
         for who in {r[3] for r in own} - {None, "system"}:
@@ -58,6 +58,24 @@ def test_long_conversations_have_blocks(rows):
         assert sum(len(b["spans"]) for b in blocks) == len(wanted[1, who][1])
 
 
+def test_repeats_are_rendered_as_often_as_they_come(rows):
+    talk = [(1, None, "ann", "ok", None)] * 50 + [(1, None, "bob", "ok", None)] * 3 + [(1, 1, "ann", "ok", None)] * 2
+    wanted = rendered(talk)
+    for block_chars in (1 << 18, 1_000):
+        found = chat.rotated(rows(TURNS, *talk), block_chars=block_chars).collect()
+        for who, own in (("ann", 52), ("bob", 3)):
+            blocks = sorted((r for r in found if r["assistant"] == who), key=lambda r: r["block"])
+            assert "".join(b["text"] for b in blocks) == wanted[1, who][0]
+            assert sum(b["n_messages"] for b in blocks) == 55 and sum(len(b["spans"]) for b in blocks) == own
+
+
+def test_other_columns_and_names_of_its_own(rows):
+    names = "before, block, hash, times, repeat, conversation, number, speaker, message, own, header, assistant, spans"
+    wide = TURNS + "".join(f", {n} string" for n in names.split(", "))
+    found = chat.rotated(rows(wide, *[(*t, *["x"] * 13) for t in TALK])).collect()
+    assert {(r["conv_id"], r["assistant"]): r["text"] for r in found} == {k: v[0] for k, v in rendered(TALK).items()}
+
+
 def test_no_conversations(rows):
     assert chat.rotated(rows(TURNS, *TALK).where("false")).collect() == []
 
@@ -76,7 +94,7 @@ def test_query_equals_sql(spark, duck, name):
 @pytest.mark.parametrize("name", ["op3_perspective_rotation", "op9_warc_derivatives"])
 def test_no_python_on_the_way(spark, name):
     plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("Python|Pandas|Arrow", plan)
+    assert not re.search("MapInArrow|MapInPandas|EvalPython|PythonUDF|InPandas", plan)
 
 
 RECORDS = "record_id string, target_uri string, date string, block string, label string"
