@@ -567,6 +567,7 @@ ORACLE_SQL |= {
         FROM placed, growth""",
 }
 ORACLE_SQL["versioned_reload"] = ORACLE_SQL["landing_reload"]
+ORACLE_SQL["incremental_snapshots"] = ORACLE_SQL["snapshot_history"]
 ORACLE_SQL["versioned_upsert"] = ORACLE_SQL["scd1_upsert"]
 ORACLE_SQL["stream_change_capture"] = """
     SELECT event_id, ts, user_id, event_type, value, props FROM events

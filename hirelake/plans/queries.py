@@ -11,7 +11,7 @@ from hirelake import schemas
 from hirelake.functions import dates, scoring, text
 from hirelake.functions.keys import SHORT_KEYS
 from hirelake.operators import (
-    analytics, batches, dims, enforce, enrich, facts, keyed, landing, quality, tagging, text_ml, versions, writing,
+    analytics, batches, dims, enforce, enrich, facts, keyed, landing, quality, snapshots, tagging, text_ml, versions, writing,
 )
 from hirelake.session import scratch_path
 from hirelake.sources import fixtures
@@ -375,6 +375,17 @@ def snapshot_history(spark, folder):
     return facts.snapshot_history(batch_fact(spark, folder))
 
 
+@query
+def incremental_snapshots(spark, folder):
+    """The same history kept by the changes of three upserts, the last batch with the oldest adverts first."""
+    fact, counts = scratch_path(spark, "facts"), scratch_path(spark, "snapshots")
+    candidates = facts.batch_candidates(keyed_adverts(spark, folder))
+    for rest in (2, 0, 1):
+        batch = candidates.where(f"id % 3 = {rest}")
+        snapshots.upsert_counted(spark, fact, counts, batch, schemas.FACT.key, facts.newest_first(), "last_updated")
+    return versions.read_version(spark, counts)
+
+
 @query
 def days_opened(spark, folder):
     """Days from the posting of an order to the last shipment of one of its items; NULL without items."""
