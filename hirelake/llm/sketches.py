@@ -70,11 +70,14 @@ def sketch(parts: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def peel(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Reveals digests row by row: returns (keys, found, left): revealed digests, and cells still full.
+    """Reveals digests row by row: returns (keys, cells, revealed, left).
 
-    A digest has one cell in a row, so it is revealed once, and taken out of its cells in other rows.
+    ``revealed`` lists the digests that were found with their side, 1 for those that only the first
+    version has and -1 for the second; ``left`` is the number of cells that are still full. A digest has
+    one cell in a row, so it is revealed once, and taken out of its cells in other rows.
     """
-    state = cells.withColumn("found", F.lit(0).cast("long"))
+    # Revealed digests stay among the cells, in places of their own below 0, told apart by ``seen``.
+    state = cells.withColumn("seen", F.lit(None).cast("long"))
     for turn in range(TURNS * ROWS):
         row = turn % ROWS
         pure = (
@@ -83,35 +86,27 @@ def peel(cells: DataFrame, keys: list[str]) -> DataFrame:
             & (F.col("check") == _check(F.col("digest")))
             & (F.col("cell") == _cell(F.col("digest"), row, F.col("cells")))
         )
-        entry = lambda cell, n, found: F.struct(
-            cell.alias("cell"), n.alias("n"), "digest", "check", found.alias("found")
+        entry = lambda cell, n, seen: F.struct(
+            cell.alias("cell"), n.alias("n"), "digest", "check", seen.cast("long").alias("seen")
         )
-        none = F.lit(0).cast("long")
         others = [
-            entry(_cell(F.col("digest"), other, F.col("cells")), -F.col("n"), none) for other in range(ROWS) if other != row
+            entry(_cell(F.col("digest"), other, F.col("cells")), -F.col("n"), F.lit(None)) for other in range(ROWS) if other != row
         ]
-        # The revealed cell becomes empty; one entry that carries its count stays for its sketch.
-        found = F.struct(
-            F.lit(-1).cast("long").alias("cell"), none.alias("n"), none.alias("digest"), none.alias("check"),
-            F.lit(1).cast("long").alias("found"),
-        )
-        same = entry(F.col("cell"), F.col("n"), F.col("found"))
+        # The revealed cell becomes empty, and its digest and side an entry that no cell has.
+        found = entry(F.lit(-1).cast("long"), F.col("n"), F.col("digest"))
+        same = entry(F.col("cell"), F.col("n"), F.col("seen"))
         spread = state.select(
             *keys, "cells", F.explode(F.when(pure, F.array(found, *others)).otherwise(F.array(same))).alias("e")
         )
         state = (
             spread.select(*keys, "cells", "e.*")
-            .groupBy(*keys, "cells", "cell")
-            .agg(
-                F.sum("n").alias("n"),
-                F.bit_xor("digest").alias("digest"),
-                F.bit_xor("check").alias("check"),
-                F.sum("found").alias("found"),
-            )
-            .where((F.col("n") != 0) | (F.col("digest") != 0) | (F.col("check") != 0) | (F.col("found") != 0))
+            .groupBy(*keys, "cells", "cell", "seen")
+            .agg(F.sum("n").alias("n"), F.bit_xor("digest").alias("digest"), F.bit_xor("check").alias("check"))
+            .where((F.col("n") != 0) | (F.col("digest") != 0) | (F.col("check") != 0))
         )
+    revealed = F.when(F.col("cell") < 0, F.struct("digest", F.col("n").cast("int").alias("side")))
     full = (F.col("cell") >= 0).cast("long")
-    return state.groupBy(*keys, "cells").agg(F.sum("found").alias("found"), F.sum(full).alias("left"))
+    return state.groupBy(*keys, "cells").agg(F.collect_list(revealed).alias("revealed"), F.sum(full).alias("left"))
 
 
 def _tasks(rows: DataFrame, digests: Column) -> int:
@@ -121,13 +116,16 @@ def _tasks(rows: DataFrame, digests: Column) -> int:
 
 
 def differences(versions: DataFrame) -> DataFrame:
-    """(row, pair, found): how many digests differ, for rows (row, pair, first, second) of digest lists.
+    """(row, pair, revealed): the digests that differ, for rows (row, pair, first, second) of digest lists.
 
-    Sketches start small; pairs whose difference doesn't peel try again with larger ones, up to where
-    the row of cells is longer than both lists together, which hardly ever fails and is then made larger
-    still. Each try is stored, and the next one reads only what is left.
+    A digest stands for a paragraph and how often it is used (see ``elements``); its side is 1 where the
+    first list has it and -1 where the second has. Sketches start small; pairs whose difference doesn't
+    peel try again with larger ones, up to where the row of cells is longer than both lists together,
+    which hardly ever fails and is then made larger still. Each try is stored, and the next one reads only
+    what is left.
     """
     left, cells, results = stored(versions, "versions"), LEAST_CELLS, None
+    nothing = F.array().cast("array<struct<digest:bigint,side:int>>")
     while tasks := _tasks(left, F.size("first") + F.size("second")):
         sides = left.select(
             "row", "pair", F.explode(F.array(
@@ -140,15 +138,23 @@ def differences(versions: DataFrame) -> DataFrame:
         subtracted = _summed(sketched.withColumn("n", F.col("n") * F.col("sign")), ["row", "pair"])
         peeled = peel(subtracted, ["row", "pair"])
         tried = left.select("row", "pair").repartition(tasks, "row").join(peeled, ["row", "pair"], "left")
-        tried = stored(tried.select("row", "pair", F.coalesce("found", F.lit(0)).alias("found"), F.coalesce("left", F.lit(0)).alias("left")), "tried")
-        done = tried.where("left = 0").select("row", "pair", "found")
+        full = F.coalesce("left", F.lit(0))
+        # What a failed try has revealed is found again by the next one.
+        kept = F.when(full == 0, F.coalesce("revealed", nothing)).otherwise(nothing)
+        tried = stored(tried.select("row", "pair", kept.alias("revealed"), full.alias("left")), "tried")
+        done = tried.where("left = 0").select("row", "pair", "revealed")
         results = done if results is None else results.unionByName(done)
         left = stored(left.join(tried.where("left > 0").select("row", "pair"), ["row", "pair"]), "retried")
         cells *= LARGER
-    empty = versions.select("row", "pair", F.lit(0).cast("long").alias("found")).where("false")
+    empty = versions.select("row", "pair", nothing.alias("revealed")).where("false")
     return empty if results is None else results
 
 
+def differing_digests(versions: DataFrame) -> DataFrame:
+    """(row, pair, digest, side): a row for each digest that ``differences`` has recovered."""
+    return differences(versions).select("row", "pair", F.inline("revealed"))
+
+
 def published(versions: DataFrame, lists: list[str]) -> DataFrame:
     """(row, and for each of ``lists`` the smallest sketch as a string) of rows with lists of digests.
 
@@ -248,7 +254,7 @@ def compared_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "
         ]
     )
     found = differences(versions.select("row", F.explode(pairs).alias("p")).select("row", "p.*"))
-    by_pair = [F.max(F.when(F.col("pair") == k, F.col("found"))).alias(f"found{k}") for k in (0, 1)]
+    by_pair = [F.max(F.when(F.col("pair") == k, F.size("revealed"))).alias(f"found{k}") for k in (0, 1)]
     found = found.groupBy("row").agg(*by_pair)
     strings = published(versions, ["digests", "edited_digests"]).select(
         "row", F.col("digests").alias("fingerprint"), F.col("edited_digests").alias("edited_fingerprint")

@@ -67,20 +67,36 @@ def test_empty_clashing_and_alone(none, clashing, odd):
     assert one["near_next"] == 1.0
 
 
+def element_digests(spark, lists):
+    """By plain counting: {name: the digests of (paragraph, uses)} of named lists."""
+    rows = [(name, p, uses) for name, digests in lists.items() for p, uses in Counter(digests).items()]
+    table = spark.createDataFrame(rows, "name string, p long, uses long")
+    found = table.select("name", F.xxhash64("p", "uses").alias("digest")).collect()
+    return {name: {r["digest"] for r in found if r["name"] == name} for name in lists}
+
+
+VERSIONS = "row long, pair int, first array<long>, second array<long>"
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 40, 3000])
-def test_differences_need_larger_sketches(spark, n):
+def test_the_differing_digests_are_recovered(spark, n):
     """Lists of which n digests differ on either side; hundreds are shared."""
     shared = list(range(500))
-    rows = [(1, 0, shared + [10_000 + k for k in range(n)], shared + [90_000 + k for k in range(n)]), (2, 0, [], [])]
-    versions = spark.createDataFrame(rows, "row long, pair int, first array<long>, second array<long>")
-    assert {r["row"]: r["found"] for r in sketches.differences(versions).collect()} == {1: 2 * n, 2: 0}
+    first, second = shared + [10_000 + k for k in range(n)], shared + [90_000 + k for k in range(n)]
+    versions = spark.createDataFrame([(1, 0, first, second), (2, 0, [], [])], VERSIONS)
+    digests = element_digests(spark, {"first": first, "second": second})
+    found = sketches.differing_digests(versions).collect()
+    assert all((r["row"], r["pair"]) == (1, 0) for r in found) and len(found) == 2 * n
+    assert {r["digest"] for r in found if r["side"] == 1} == digests["first"] - digests["second"]
+    assert {r["digest"] for r in found if r["side"] == -1} == digests["second"] - digests["first"]
+    assert {r["row"]: len(r["revealed"]) for r in sketches.differences(versions).collect()} == {1: 2 * n, 2: 0}
 
 
 def test_repeated_paragraphs_count(spark):
-    versions = spark.createDataFrame(
-        [(1, 0, [7, 7, 7, 8], [7, 8, 8])], "row long, pair int, first array<long>, second array<long>"
-    )
-    assert sketches.differences(versions).first()["found"] == 4
+    first, second = [7, 7, 7, 8], [7, 8, 8]
+    found = sketches.differing_digests(spark.createDataFrame([(1, 0, first, second)], VERSIONS)).collect()
+    digests = element_digests(spark, {"first": first, "second": second})
+    assert {(r["digest"], r["side"]) for r in found} == {(d, 1) for d in digests["first"]} | {(d, -1) for d in digests["second"]}
 
 
 def test_next_places_form_a_circle(spark):
@@ -91,4 +107,4 @@ def test_next_places_form_a_circle(spark):
 
 def test_no_python_on_the_way(odd):
     plan = sketches.compared_fingerprints(odd)._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("Python|Pandas|Arrow", plan)
+    assert not re.search("MapInArrow|MapInPandas|EvalPython|PythonUDF|InPandas", plan)
