@@ -75,8 +75,9 @@ def places(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def calendar_of(adverts: DataFrame) -> DataFrame:
-    """The calendar from the first to the last posting date."""
-    bounds = adverts.agg(F.min("date_posted").alias("first"), F.max("date_posted").alias("last"))
+    """The calendar from the first to the last posting date; the one that stands for unreadable dates is none."""
+    dated = adverts.where(F.col("date_posted") != F.lit(dates.UNKNOWN_DATE).cast("date"))
+    bounds = dated.agg(F.min("date_posted").alias("first"), F.max("date_posted").alias("last"))
     return dims.calendar_over(bounds, "first", "last")
 
 
