@@ -45,7 +45,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated, cut or left out so that sources come near their target weights.
 
-    Rows without a source are a source of their own. Texts without words take nothing and stay.
+    Rows without a source are a source of their own. Texts without words stay in every whole epoch.
     """
     return mixing.mixed_documents(docs)
 
