@@ -23,7 +23,7 @@ from hirelake.llm.common import some_rows, spare, stored
 from hirelake.llm.components import components
 from hirelake.llm.golay import near_indices
 
-SHINGLE, BITS_APART = 5, 4
+SHINGLE, BITS_APART = 4, 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit, number of bits
 # Distinct fingerprints of one key that are compared with each other in one task; more take the exact
 # way through midpoints, which never brings many together.
@@ -311,201 +311,15 @@ def near_duplicate_groups(
     )
 
 
-# --- texts alike to 0.8 or more ----------------------------------------------------------------
-#
-# How alike two texts are is the share of their distinct shingles that both have. Texts of which a fifth
-# of the shingles differ have fingerprints that differ in about 15 of 100 bits, far more than four of 64,
-# and fingerprints alone can't tell 0.8 from 0.75. They only find candidates: texts that share a key and
-# whose longer fingerprints are not too far apart are compared by their shingles.
-
-LEAST_ALIKE = 0.8
-WIDE_WORDS = 4
-# Texts share the smallest of their shingles' hashes, under any order, with a probability of their
-# similarity; a key is made of eight. At 0.8 one of 40 keys is shared with a probability of 0.9994, at 0.85
-# of 0.999997, at 0.5 of 0.14, in whatever way the texts differ.
-KEYS, KEY_ROWS = 40, 8
-ORDERS = np.random.default_rng(SEED).integers(0, 1 << 31, KEYS * KEY_ROWS).astype(np.uint32) * np.uint32(2) + np.uint32(1)
-# Of 256 bits. A similarity of 0.8 gives 39 on average, a little more for texts of few words; the standard
-# deviation is about 6. Beyond this bound lies less than one in a million of the pairs at 0.8.
-WIDE_APART = 80
-
-
-def _spread(hashes: np.ndarray, seed: int) -> np.ndarray:
-    """Other 64 bits from the same hashes."""
-    mixed = hashes + np.uint64((seed * 0x9E3779B97F4A7C15) & (1 << 64) - 1)
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
-    return mixed ^ (mixed >> np.uint64(31))
-
-
-def shingle_set(text: str | None, width: int) -> np.ndarray:
-    """Sorted hashes of the distinct shingles of one text; none without a word."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    joined = b" ".join(words)
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    ends = np.cumsum(lengths + 1) - 1
-    if len(words) > width:
-        spans = zip((ends - lengths)[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())
-        shingles = [joined[a:b] for a, b in spans]
-    else:
-        shingles = [joined]
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, len(shingles)))
-
-
-def long_simhash(hashes: np.ndarray, words_of_64: int) -> bytes:
-    """A SimHash of several times 64 bits of hashes of shingles; zeros without any."""
-    found = []
-    for k in range(words_of_64):
-        set_bits = np.zeros(64, np.int64)
-        for at in range(0, len(hashes), 1 << 16):
-            block = _spread(hashes[at : at + (1 << 16)], k + 1).astype("<u8").view(np.uint8).reshape(-1, 8)
-            set_bits += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        found.append(np.packbits(set_bits * 2 > len(hashes), bitorder="little").tobytes())
-    return b"".join(found)
-
-
-def alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
-    """Whether two sets, sorted, have at least the share ``least`` of their elements in common."""
-    if min(len(a), len(b)) < least * max(len(a), len(b)):
-        return False
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return common >= least * (len(a) + len(b) - common)
-
-
-def _wide_keys(hashes: np.ndarray) -> list[int]:
-    """Keys of a set of shingles: one for every ``KEY_ROWS`` of its smallest hashes under many orders."""
-    if not len(hashes):
-        return []
-    short, smallest = (hashes >> np.uint64(32)).astype(np.uint32), np.full(len(ORDERS), (1 << 32) - 1, np.uint32)
-    for at in range(0, len(short), 1 << 12):
-        np.minimum(smallest, (ORDERS[:, None] * short[None, at : at + (1 << 12)]).min(axis=1), out=smallest)
-    bands = smallest.astype("<u4").reshape(KEYS, KEY_ROWS)
-    return [xxhash.xxh64_intdigest(band.tobytes(), k) - (1 << 63) for k, band in enumerate(bands)]
-
-
-def _alike_pairs(pairs: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
-    """Those of the pairs (u, v) whose texts (node, text) are alike to ``least`` or more."""
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in some_rows(whole):
-                at = [
-                    k
-                    for k, (a, b) in enumerate(zip(batch.column("a"), batch.column("b")))
-                    if alike(shingle_set(a.as_py(), width), shingle_set(b.as_py(), width), least)
-                ]
-                yield batch.select(["u", "v"]).take(pa.array(at, pa.int64()))
-
-    first = texts.select(F.col("node").alias("u"), F.col("text").alias("a"))
-    second = texts.select(F.col("node").alias("v"), F.col("text").alias("b"))
-    return pairs.join(first, "u").join(second, "v").select("u", "v", "a", "b").mapInArrow(compared, "u long, v long")
-
-
-def _similar_links(classes: DataFrame, texts: DataFrame, width: int, apart: int, least: float) -> DataFrame:
-    """Links (u, v) that connect all nodes that share a key and are alike to ``least`` or more.
-
-    ``classes`` has node, size (of its set of shingles), wide (its long fingerprint, as longs) and keys;
-    ``texts`` has row and text. First every node is compared with one other: the smallest node of most of
-    its keys. What is then connected needs no comparing; of the rest all pairs that share a key are
-    compared. No task holds the nodes of a key: keys are counted and joined, and hot ones split by AQE.
-    """
-    keyed = classes.select(F.explode("keys").alias("key"), "node")
-    hubs = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-    shared = stored(keyed.join(hubs.where("hub < last").drop("last"), "key"), "shared")
-    needed = shared.select("node").distinct()
-    texts = stored(texts.withColumnRenamed("row", "node").join(needed, "node", "left_semi"), "candidates")
-    prints = stored(classes.select("node", "size", "wide").join(needed, "node", "left_semi"), "prints")
-
-    def candidates(pairs: DataFrame) -> DataFrame:
-        first = prints.select(F.col("node").alias("u"), F.col("size").alias("size_u"), F.col("wide").alias("wide_u"))
-        second = prints.select(F.col("node").alias("v"), F.col("size").alias("size_v"), F.col("wide").alias("wide_v"))
-        bits = sum(F.bit_count(F.col("wide_u")[k].bitwiseXOR(F.col("wide_v")[k])) for k in range(WIDE_WORDS))
-        sizes = F.least("size_u", "size_v") >= least * F.greatest("size_u", "size_v")
-        return pairs.join(first, "u").join(second, "v").where(sizes & (bits <= apart)).select("u", "v")
-
-    chosen = shared.where("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("times"))
-    chosen = chosen.groupBy("node").agg(F.max(F.struct("times", (-F.col("hub")).alias("least"))).alias("best"))
-    chosen = chosen.select(F.col("node").alias("u"), (-F.col("best.least")).alias("v"))
-    stars = stored(_alike_pairs(candidates(chosen), texts, width, least), "stars")
-
-    roots = components(stars)
-    labels = prints.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("label"))
-    labels = stored(labels, "labels")
-    labelled = shared.join(labels, "node")
-    # Of keys that are not connected as a whole: what isn't connected with the smallest node, with all others.
-    split = labelled.join(labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label")), "hub")
-    split = stored(split.select("key", "node", "label", "hub_label"), "labelled")
-    rest = split.where("label <> hub_label").select("key", F.col("node").alias("u"), F.col("label").alias("label_u"))
-    others = split.select("key", F.col("node").alias("v"), F.col("label").alias("label_v"))
-    crossing = rest.join(others, "key").where("label_u <> label_v")
-    crossing = crossing.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    return stars.unionByName(stored(_alike_pairs(candidates(crossing), texts, width, least), "crossing"))
-
-
-def similar_groups(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    width: int = SHINGLE,
-    apart: int = WIDE_APART,
-    least: float = LEAST_ALIKE,
+def deduplicated(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE, apart: int = BITS_APART
 ) -> DataFrame:
-    """Adds ``component_id`` and ``kept``: groups of texts whose shingles are alike to ``least`` or more.
-
-    Texts link if the share of their distinct ``width``-word shingles that both have is at least ``least``,
-    which is checked exactly; none below it is ever linked. Candidates share one of 40 keys (of eight
-    smallest hashes of their shingles each), as 0.9994 of pairs at 0.8 do and nearly all above, and have
-    256-bit fingerprints that differ in at most ``apart`` bits. Texts with the same set of shingles are one
-    node; texts without words are equal. A task holds the texts of some pairs, never all of a key or a group.
-    For the rest see ``near_duplicate_groups``.
-    """
-    base = docs.select(*[c for c in docs.columns if c.lower() not in ("component_id", "kept")])
-    added = [spare([*base.columns, "component_id", "kept"], n) for n in ("same", "size", "wide", "keys", "row")]
-    same_, size_, wide_, keys_, row = added
-    columns_, given = [*base.columns, *added[:4]], base.columns
-    types = (T.BinaryType(), T.LongType(), T.ArrayType(T.LongType()), T.ArrayType(T.LongType()))
-    schema = T.StructType([*base.schema, *(T.StructField(n, t) for n, t in zip(added, types))])
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in some_rows(whole):
-                texts = batch.column(text).to_pylist()
-                same, sizes, wides, keys = [], [], [], []
-                for t in texts:
-                    hashes = shingle_set(t, width)
-                    same.append(xxhash.xxh3_128_digest(hashes.tobytes()))
-                    sizes.append(len(hashes))
-                    wides.append(np.frombuffer(long_simhash(hashes, WIDE_WORDS), "<i8"))
-                    keys.append(_wide_keys(hashes))
-                longs = pa.list_(pa.int64())
-                columns = [
-                    pa.array(same, pa.binary()), pa.array(sizes, pa.int64()), pa.array(wides, longs), pa.array(keys, longs),
-                ]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *columns], columns_)
-
-    prints = stored(base.mapInArrow(hashed, schema).withColumn(row, F.monotonically_increasing_id()), "wide")
-    first = F.min(F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col(row).alias("row")))
-    # The size, the fingerprint and the keys are the same in all rows of a class.
-    classes = prints.groupBy(F.col(same_).alias("same")).agg(
-        F.min(row).alias("node"), F.first(size_).alias("size"), F.first(wide_).alias("wide"),
-        F.first(keys_).alias("keys"), first.alias("first"),
-    )
-    classes = stored(classes, "classes")
-    texts = prints.select(F.col(row).alias("row"), F.col(text).alias("text"))
-    roots = components(_similar_links(classes, texts, width, apart, least))
-    rooted = classes.select("same", "node", "first").join(roots, "node", "left")
-    rooted = stored(rooted.select("same", "first", F.coalesce("root", "node").alias("root")), "rooted")
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("first"))
-    named = rooted.select("same", "root").join(smallest, "root").select(F.col("same").alias(same_), "first")
-    return prints.join(stored(named, "named"), same_).select(
-        *given, F.col("first.id").alias("component_id"), (F.col("first.row") == F.col(row)).alias("kept")
-    )
+    """One document of each group of ``near_duplicate_groups``: the one with the smallest number.
 
-
-def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One document of each group of similar texts: the one with the smallest number; columns as they were."""
+    Columns stay as they were. Of repeated rows one stays, and so it does of all texts without words; a row
+    without a number stays only if nothing it is linked with has one. An empty table stays empty.
+    """
     inner = spare(docs.columns, "doc")
     packed = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.struct("*").alias(inner))
-    return similar_groups(packed, **options).where("kept").select(f"{inner}.*")
+    groups = near_duplicate_groups(packed, width=width, apart=apart, keep_text=False)
+    return groups.where("kept").select(f"{inner}.*")

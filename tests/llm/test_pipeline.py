@@ -12,7 +12,7 @@ from .conftest import FOLDER, LONG, ODD
 
 def test_registration():
     queries = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in queries if q.startswith(f"op{n}_")]) == 1
     assert queries["pipeline"] is corpus_pipeline.run
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality_classifier", "simhash_near_dedup", "mixing", "packing"]
@@ -31,7 +31,7 @@ def test_stages_follow_their_operators(spark, given):
         assert kept.columns == columns and not as_rows(kept) - as_rows(docs)
     stages = dict(corpus_pipeline.STAGES)
     deduped = stages["simhash_near_dedup"](spark, docs, FOLDER)
-    groups = simhash.similar_groups(docs)
+    groups = simhash.near_duplicate_groups(docs, width=4, apart=4)
     assert sorted(r["doc_id"] for r in deduped.collect()) == sorted({r["component_id"] for r in groups.collect()})
     mixed = stages["mixing"](spark, docs, FOLDER)
     taken = {r["doc_id"]: r for r in mixing.mix(docs).collect()}
