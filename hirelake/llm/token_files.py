@@ -74,7 +74,9 @@ def write_token_files(
                     yield pa.RecordBatch.from_arrays(columns, ["doc_id", "part", "part_start", "n_tokens", "ids"])
 
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    ordered = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Ties are told apart by a hash, so rows without a number, or with one number, are dealt to several files.
+    tie = F.xxhash64("text")
+    ordered = texts.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
     options = ENCODINGS | {
         "compression": "zstd",
         "parquet.block.size": str(row_group_bytes),

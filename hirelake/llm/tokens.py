@@ -11,21 +11,21 @@ import re
 from array import array
 from collections.abc import Iterable
 from functools import lru_cache
-from unicodedata import is_normalized
+from unicodedata import category, is_normalized
 
 import numpy as np
 
-# Pieces that a worker keeps; it starts anew when they are more, which changes no result.
+# Pieces that a worker keeps between calls; it starts anew when they are more, which changes no result.
 KEPT_PIECES = 3 << 18
 LONGEST_KEPT = 64
 ENCODED_AT_ONCE = 1 << 14
 
+# Characters with the property White_Space.
+_SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+_WORD = re.compile(f"[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+")
 # A blank before other white space: there the blank doesn't begin a piece of its own.
 _BLANK_RUN = re.compile(r" \s")
-_SPACE_RUN = re.compile(r"\s\s")
-# A comma or full stop in a run of signs, or where an apostrophe could belong to letters.
-_SIGN_RUN = re.compile(r"[,.](?:[^\w\s]|_)|(?:[^\w\s]|_)[,.]")
-# The same for texts in ASCII, which are most: every character becomes its kind first.
+# Every ASCII character becomes its kind, and so does a byte of a letter beyond ASCII.
 _KINDS = bytes(
     ord(" ") if chr(c) in " \t\n\r\v\f" else ord(",") if chr(c) in ",." else ord("a") if chr(c).isalnum() else ord("!")
     for c in range(128)
@@ -39,12 +39,13 @@ _BLANK_SYMBOL = chr(_SYMBOLS[32])
 _UINT32 = "I"
 
 
-def _runs(text: str) -> tuple[bool, bool]:
-    """Whether white space follows white space, and whether commas or full stops touch other signs."""
-    if not text.isascii():
-        return bool(_SPACE_RUN.search(text)), bool(_SIGN_RUN.search(text))
-    kinds = text.encode("ascii").translate(_KINDS)
-    return b"  " in kinds, b",," in kinds or b",!" in kinds or b"!," in kinds
+def _runs(text: str) -> tuple[bool, bool, bool]:
+    """Whether white space follows white space, whether commas or full stops touch other signs, or follow white space.
+
+    For plain texts only, whose signs and white space are ASCII.
+    """
+    kinds = text.encode().translate(_KINDS)
+    return b"  " in kinds, b",," in kinds or b",!" in kinds or b"!," in kinds, b" ," in kinds
 
 
 def vocabulary(name: str) -> str:
@@ -71,14 +72,17 @@ def _drops_white_space(tokenizer) -> bool:
 class Encoder:
     """Texts to token ids as little-endian unsigned 32-bit integers, equal to encoding each as a whole.
 
-    Two kinds of tokenizers are known: those that drop white space, so that every word is encoded by
-    itself (words in any letter case alike where it lower-cases), and byte-level ones that cut before a
-    blank followed by something else. Texts with blanks before other white space go to the latter whole.
+    Two kinds of tokenizers are known: those that drop white space, and byte-level ones that cut before a
+    blank followed by something else. Both never look beyond white space and the word that follows it, so
+    that is encoded by itself. Plain texts, of ASCII characters and letters, are cut at single commas and
+    full stops as well, which makes words alike; whether a character is a letter is what the tokenizer says.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
         self.kept: dict = {}
+        self.plain = {chr(c) for c in range(32, 127)} | set("\t\n\r\v\f")
+        self.other: set[str] = set()
         self.drops = _drops_white_space(self.tokenizer)
         self.lowers = self.drops and self._ids("AZ") == self._ids("az")
         if not self.drops and self._ids("a\nb c") != self._ids("a") + self._ids("\n") + self._ids("b") + self._ids(" c"):
@@ -93,25 +97,35 @@ class Encoder:
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _bytes(self, ids: Iterable[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
-
-    def pieces(self, text: str) -> list | None:
-        """Parts of a text that are encoded each by itself; None if the text is to be encoded whole."""
+    def _plain(self, text: str) -> bool:
+        """Whether a text has only ASCII characters, but few controls, and letters that nothing changes."""
+        unknown = set(text) - self.plain
+        for c in unknown - self.other:
+            alone = category(c).startswith("L") and is_normalized("NFC", c) and len(c.lower()) == 1
+            letter = alone and len(self.tokenizer.pre_tokenizer.pre_tokenize_str(f"a{c}a")) == 1
+            (self.plain if letter else self.other).add(c)
+        return not unknown or unknown <= self.plain
+
+    def pieces(self, text: str) -> list:
+        """Parts of a text that are encoded each by itself."""
+        plain = self._plain(text)
+        spaces, signs, begun = _runs(text) if plain else (True, True, True)
         if self.drops:
-            raw = text.encode("utf-8", "replace")
+            if not plain:
+                return [w.encode("utf-8", "replace") for w in _WORD.findall(text)]
+            raw = text.encode()
             raw = raw.lower() if self.lowers else raw
             # Signs are cut off words, so that a word with and without a comma is one piece.
-            if not _runs(text)[1]:
+            if not signs:
                 raw = raw.replace(b",", b" ,").replace(b".", b" .")
             return raw.split()
-        spaces, signs = _runs(text)
-        if "\0" in text or (spaces and _BLANK_RUN.search(text)):
-            return None
+        if not plain or (spaces and _BLANK_RUN.search(text)):
+            return _WORD.findall(text)
         marked = text.replace(" ", "\0 ")
         if not spaces:
             marked = marked.replace("\n", "\0\n\0")
-        if not signs:
+        # A blank belongs to the sign behind it, and other white space is cut by what follows it.
+        if not signs and not begun:
             marked = marked.replace(",", "\0,").replace(".", "\0.")
         return marked.split("\0")
 
@@ -120,43 +134,40 @@ class Encoder:
         word = piece[1:] if piece[:1] == " " and not self.drops else piece
         if not word.isalpha() or (self.drops and not (word.islower() and is_normalized("NFC", word))):
             return None
-        return piece.replace(" ", _BLANK_SYMBOL) if word.isascii() else piece.encode().decode("latin-1").translate(_SYMBOLS)
+        if word.isascii():
+            return piece.replace(" ", _BLANK_SYMBOL)
+        return piece.encode().decode("latin-1").translate(_SYMBOLS) if self._plain(word) else None
 
-    def _learn(self, pieces: list) -> dict:
-        """The ids of pieces; those of usual length are kept."""
-        if len(self.kept) + len(pieces) > KEPT_PIECES:
-            self.kept.clear()
-        learnt, others = {}, []
+    def _learn(self, pieces: set) -> None:
+        """Adds the ids of pieces to those that are kept."""
+        others = []
         for piece in pieces:
             word = piece.decode("utf-8") if self.drops else piece
             symbols = self._symbols(word) if self.sees_symbols else None
             if symbols is None:
                 others.append((piece, word))
             else:
-                learnt[piece] = array(_UINT32, [token.id for token in self.model.tokenize(symbols)]).tobytes()
+                self.kept[piece] = array(_UINT32, [token.id for token in self.model.tokenize(symbols)]).tobytes()
         for at in range(0, len(others), ENCODED_AT_ONCE):
             some = others[at : at + ENCODED_AT_ONCE]
             encoded = self.tokenizer.encode([w for _, w in some], is_pretokenized=True, add_special_tokens=False)
             raw = np.array(encoded.ids, "<u4").tobytes()
             bounds = (np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(some) + 1)) * 4).tolist()
             for k, (piece, _) in enumerate(some):
-                learnt[piece] = raw[bounds[k] : bounds[k + 1]]
-        self.kept.update((p, i) for p, i in learnt.items() if len(p) <= LONGEST_KEPT)
-        return learnt
+                self.kept[piece] = raw[bounds[k] : bounds[k + 1]]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [self.pieces(t or "") for t in texts]
-        found = [None if c is None else list(map(self.kept.get, c)) for c in cut]
-        missing = {p for c, f in zip(cut, found) if f and None in f for p, ids in zip(c, f) if ids is None}
-        learnt = self._learn(list(missing)) if missing else {}
-        encoded = []
-        for text, c, f in zip(texts, cut, found):
-            if c is None:
-                encoded.append(self._bytes(self._ids(text)))
-            elif None in f:
-                encoded.append(b"".join([learnt[p] if ids is None else ids for p, ids in zip(c, f)]))
-            else:
-                encoded.append(b"".join(f))
+        wanted = set().union(*cut)
+        missing = wanted - self.kept.keys()
+        if len(self.kept) + len(missing) > KEPT_PIECES:
+            self.kept.clear()
+            missing = wanted
+        self._learn(missing)
+        encoded = [b"".join(map(self.kept.__getitem__, c)) for c in cut]
+        for piece in missing:
+            if len(piece) > LONGEST_KEPT:
+                del self.kept[piece]
         return encoded
 
 

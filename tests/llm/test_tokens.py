@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -26,6 +27,24 @@ def test_encoder_equals_the_tokenizer(name, given):
     assert [np.frombuffer(i, "<u4").tolist() for i in found] == [plain(name, t) for t in texts]
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_random_texts(name):
+    draw, encoder = random.Random(11), Encoder(vocabulary(name))
+    pools = ["ab \n", ".,a 5", "aeiou thinr'sdlvm", "  \t\n\r\x0b\x1c\x1f\x85\xa0\u2003\u3000aé1٣!,._'",
+             " .,-=#*0123456789", "日本語😀é̈İßﬁ٣¼²𐐷", "aAÉéİİKΣσς́ ,."]
+    texts = ["a , b", "a .b", " .5", "é\n\n.\x1c", "İ,", "日!\x1c,", "本b\n\n,aA"]
+    for k in range(25_000):
+        pool = draw.choice(pools)
+        if k % 5:
+            texts.append("".join(draw.choice(pool if k % 3 else draw.choice(pools)) for _ in range(draw.randrange(40))))
+        else:
+            codes = [draw.choice([draw.randrange(1, 0xD800), draw.randrange(0xE000, 0x110000)]) for _ in range(9)]
+            texts.append("".join(map(chr, codes)))
+    for at in range(0, len(texts), 1_000):
+        found = encoder.encode(texts[at : at + 1_000])
+        assert [np.frombuffer(i, "<u4").tolist() for i in found] == [plain(name, t) for t in texts[at : at + 1_000]]
+
+
 def test_encoder_forgets_without_harm(monkeypatch):
     from hirelake.llm import tokens
 
