@@ -25,6 +25,7 @@ SUBSPACES, CODES, ROUNDS = 8, 32, 8
 LEAST_LISTS, MOST_LISTS = 8, 4096
 BLOCK = 512  # about as many vectors of one list are held in memory while queries pass by
 ROUNDING = 1e-6
+PLANTED = 1 << 15  # about as many links are planted into the sample to learn how far borders are crossed
 
 
 class Index(NamedTuple):
@@ -32,6 +33,7 @@ class Index(NamedTuple):
 
     lists: np.ndarray
     codes: np.ndarray  # subspace, code, coordinate
+    reach: float  # vectors this close to the border of another list visit it
 
     @property
     def width(self) -> int:
@@ -54,8 +56,13 @@ def _k_means(x: np.ndarray, k: int, seed: int) -> np.ndarray:
     return centres
 
 
-def fit(x: np.ndarray, rows: int) -> Index:
-    """From a sample of unit vectors; the number of lists grows with the root of the number of rows."""
+def fit(x: np.ndarray, rows: int, least: float = LEAST_COSINE) -> Index:
+    """From a sample of unit vectors; the number of lists grows with the root of the number of rows.
+
+    Of two linked vectors in two lists one lies within half their distance of the border between these,
+    but seldom so far: a link leads across a border in a slanting direction. How far is learnt from links
+    planted into the sample, all of the smallest cosine there is; the farthest any of them needs is the reach.
+    """
     lists = int(np.clip(2 ** np.round(np.log2(max(rows, 1)) / 2), LEAST_LISTS, MOST_LISTS))
     step = -(-x.shape[1] // SUBSPACES)
     wide = np.zeros((len(x), step * SUBSPACES))
@@ -64,7 +71,36 @@ def fit(x: np.ndarray, rows: int) -> Index:
     rest = wide - centres[_nearest(wide, centres)]
     parts = rest.reshape(len(x), SUBSPACES, step)
     codes = [_k_means(parts[:, s], CODES, 2 + s) for s in range(SUBSPACES)]
-    return Index(centres, np.array(codes))
+    return Index(centres, np.array(codes), _reach(centres, wide, least))
+
+
+def _reach(centres: np.ndarray, x: np.ndarray, least: float) -> float:
+    """The largest distance from a border at which one end of each planted link lies, at most half a link.
+
+    A link leads from a vector of the sample in the direction in which two others of it differ.
+    """
+    random = np.random.default_rng(SUBSPACES + 2)
+    half = float(np.sqrt(max(2 - 2 * least, 0.0))) / 2
+    most, met = 0.0, 0
+    for _ in range(-(-PLANTED // len(x))):
+        for at in range(0, len(x), BLOCK):
+            one = x[at : at + BLOCK]
+            ends = random.integers(0, len(x), (2, len(one)))
+            across = x[ends[0]] - x[ends[1]]
+            across -= np.einsum("ij,ij->i", across, one)[:, None] * one
+            size = np.sqrt(np.einsum("ij,ij->i", across, across))
+            real = size > 1e-9
+            one, across = one[real], across[real] / size[real, None]
+            other = least * one + np.sqrt(max(1 - least * least, 0.0)) * across
+            a, b = _nearest(one, centres), _nearest(other, centres)
+            apart = a != b
+            if apart.any():
+                needed = np.minimum(
+                    _to_border(centres, one[apart], a[apart], b[apart]), _to_border(centres, other[apart], b[apart], a[apart])
+                )
+                most = max(most, float(needed.max()))
+            met += len(one)
+    return min(most, half) if met else half
 
 
 def encode(index: Index, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -78,29 +114,33 @@ def encode(index: Index, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndar
     return lists, codes.astype(np.uint8), np.sqrt(((parts - kept) ** 2).sum(axis=(1, 2)))
 
 
-def _near_border(index: Index, wide: np.ndarray, own: np.ndarray, others: np.ndarray, apart: float) -> np.ndarray:
-    """Whether each vector, of list ``own``, lies within half of ``apart`` of the border to the other list.
+def _to_border(centres: np.ndarray, wide: np.ndarray, own: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """How far each vector, of list ``own``, is from the border to the other list.
 
-    Of two vectors in two lists that are no more than ``apart`` from each other, one at least does. Rows are
-    computed one by one, so that the answer is the same wherever it is asked.
+    Rows are computed one by one, so that the answer is the same wherever it is asked.
     """
-    apart_lists = index.lists[own] - index.lists[others]
-    middle = (index.lists[own] + index.lists[others]) / 2
-    gaps = np.sqrt(np.maximum(np.einsum("ij,ij->i", apart_lists, apart_lists), 1e-24))
-    return np.einsum("ij,ij->i", wide - middle, apart_lists) / gaps <= apart / 2 + ROUNDING
+    apart = centres[own] - centres[others]
+    middle = (centres[own] + centres[others]) / 2
+    gaps = np.sqrt(np.maximum(np.einsum("ij,ij->i", apart, apart), 1e-24))
+    return np.einsum("ij,ij->i", wide - middle, apart) / gaps
+
+
+def _near_border(index: Index, wide: np.ndarray, own: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Whether each vector lies within the reach of the border to the other list."""
+    return _to_border(index.lists, wide, own, others) <= index.reach + ROUNDING
 
 
-def probed(index: Index, x: np.ndarray, own: np.ndarray, apart: float) -> tuple[np.ndarray, np.ndarray]:
-    """(query, list) pairs: the query's own list and those whose border lies within half of ``apart``."""
+def probed(index: Index, x: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(query, list) pairs: the query's own list and those whose border lies within the reach."""
     wide = _widened(index, x)
     squares = _squares(wide, index.lists)
     gaps = np.sqrt(np.maximum(_squares(index.lists, index.lists), 1e-24))
     over = (squares - squares[np.arange(len(x)), own][:, None]) / (2 * gaps[own])
-    query, list_ = np.nonzero((over <= apart / 2 + 2 * ROUNDING) | (gaps[own] <= 1e-6) | (np.arange(len(index.lists)) == own[:, None]))
+    query, list_ = np.nonzero((over <= index.reach + 2 * ROUNDING) | (gaps[own] <= 1e-6) | (np.arange(len(index.lists)) == own[:, None]))
     visits = list_ == own[query]
     for at in range(0, len(query), 65536):
         q, other = query[at : at + 65536], list_[at : at + 65536]
-        visits[at : at + 65536] |= _near_border(index, wide[q], own[q], other, apart)
+        visits[at : at + 65536] |= _near_border(index, wide[q], own[q], other)
     return query[visits], list_[visits]
 
 
@@ -213,7 +253,7 @@ def _met(index, members, queries, list_: int, apart: float, least: float) -> Ite
             query_keys, query_sizes = part.column("key").to_numpy(), part.column("size").to_numpy()
             own = part.column("own").to_numpy()
             q, m = _links(x, blocks, index, index.lists[list_], apart, least)
-            q, m = _met_once(index, blocks, x, own, query_keys, keys, q, m, list_, apart)
+            q, m = _met_once(index, blocks, x, own, query_keys, keys, q, m, list_)
             if not len(q):
                 continue
             gained = np.bincount(q, sizes[m], part.num_rows).astype(np.int64)
@@ -229,7 +269,7 @@ def _met(index, members, queries, list_: int, apart: float, least: float) -> Ite
             )
 
 
-def _met_once(index, blocks, x, own, query_keys, keys, q, m, list_: int, apart: float) -> tuple[np.ndarray, np.ndarray]:
+def _met_once(index, blocks, x, own, query_keys, keys, q, m, list_: int) -> tuple[np.ndarray, np.ndarray]:
     """The links that count here: in one list the smaller key's, in two the earlier list's visit if both visit."""
     if not len(q):
         return q, m
@@ -240,7 +280,7 @@ def _met_once(index, blocks, x, own, query_keys, keys, q, m, list_: int, apart:
         some = later[at : at + 65536]
         members = _widened(index, block["x"][np.searchsorted(block["at"], m[some])])
         here = np.full(len(some), list_)
-        once[some] = ~_near_border(index, members, here, own[q[some]], apart)
+        once[some] = ~_near_border(index, members, here, own[q[some]])
     return q[once], m[once]
 
 
@@ -263,8 +303,8 @@ def near_duplicate_vectors(
     """One row per vector: vec_id, n_links, component_id and kept.
 
     Vectors link at a cosine of ``least`` or more, computed in double precision; none below it is ever
-    linked, and of those above it all are found, for one of two visits the other's list. Equal vectors are compared as
-    one. Vectors that are NULL, empty, zero or hold NULL, NaN or an infinity link with nothing, nor do
+    linked. Of those above it a link is found where one of two vectors visits the other's list: all planted
+    ones of the fitting sample (``recall`` measures it). Equal vectors are compared as one. Vectors that are NULL, empty, zero or hold NULL, NaN or an infinity link with nothing, nor do
     vectors of different lengths. n_links counts rows; component_id is the smallest vec_id reachable,
     and kept tells whether it is the row's own. A row without vec_id takes part; its component has the
     smallest vec_id there is. Rows that repeat a vec_id are separate rows. Other columns are ignored; an
@@ -288,7 +328,7 @@ def near_duplicate_vectors(
     wide = np.zeros((len(vectors), max(map(len, vectors))))
     for k, x in enumerate(vectors):
         wide[k, : len(x)] = x
-    fitted = fit(wide, classes.count())
+    fitted = fit(wide, classes.count(), least)
     index = spark.sparkContext.broadcast(fitted)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,7 +346,7 @@ def near_duplicate_vectors(
                 for at in range(0, batch.num_rows, BLOCK):
                     part = batch.slice(at, BLOCK)
                     own = part.column("own").to_numpy()
-                    query, list_ = probed(index.value, _matrix(part.column("unit")), own, apart)
+                    query, list_ = probed(index.value, _matrix(part.column("unit")), own)
                     taken = part.take(pa.array(query))
                     yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(list_)], ["key", "size", "unit", "own", "list"])
 
@@ -345,11 +385,11 @@ def near_duplicate_vectors(
 
 def recall(x: np.ndarray, least: float = LEAST_COSINE) -> tuple[float, float]:
     """Share of linked pairs of the unit vectors ``x`` that share a visited list, and visits per vector."""
-    index, apart = fit(x[:SAMPLE], len(x)), float(np.sqrt(2 - 2 * least))
+    index = fit(x[:SAMPLE], len(x), least)
     own, _, _ = encode(index, x)
     visits = np.zeros((len(x), len(index.lists)), bool)
     for at in range(0, len(x), BLOCK):
-        q, list_ = probed(index, x[at : at + BLOCK], own[at : at + BLOCK], apart)
+        q, list_ = probed(index, x[at : at + BLOCK], own[at : at + BLOCK])
         visits[at + q, list_] = True
     found = total = 0
     for at in range(0, len(x), BLOCK):

@@ -96,9 +96,9 @@ def test_recall_on_planted_pairs():
     assert found >= 0.95 and visits < 32
 
 
-def correlated(n, pairs, width, seed):
-    """Unit vectors whose coordinates decay as 1/k, and copies of some at cosines of 0.9 to 0.93."""
-    random, scale = np.random.default_rng(seed), 1 / np.arange(1, width + 1)
+def correlated(n, pairs, width, seed, power=1):
+    """Unit vectors whose coordinates decay as 1/k^power, and copies of some at cosines of 0.9 to 0.93."""
+    random, scale = np.random.default_rng(seed), 1 / np.arange(1, width + 1) ** power
     x = random.normal(size=(n, width)) * scale
     x /= np.linalg.norm(x, axis=1)[:, None]
     noise = random.normal(size=(pairs, width)) * scale
@@ -108,6 +108,21 @@ def correlated(n, pairs, width, seed):
     return random.permutation(np.vstack([x, cosine * x[:pairs] + np.sqrt(1 - cosine**2) * noise]))
 
 
+@pytest.mark.parametrize("power, most", [(0, 12), (0.5, 11), (1, 10)])
+def test_reach_is_fitted_to_the_vectors(power, most):
+    """At cosines from 0.9 to 0.93; half the distance of a link as reach takes 40, 13 and 9 visits."""
+    found, visits = vectors.recall(correlated(8000, 1000, 64, 8, power))
+    assert found >= 0.999 and visits < most
+
+
+def test_reach_of_few_and_equal_vectors():
+    half = np.sqrt(0.2) / 2
+    one = np.eye(4)[:1]
+    assert vectors.fit(one, 1).reach == pytest.approx(half)
+    assert vectors.fit(np.repeat(one, 3, 0), 3).reach == pytest.approx(half)
+    assert 0 <= vectors.fit(np.eye(4), 4).reach <= half
+
+
 @pytest.mark.parametrize("width", [64, 384])
 def test_recall_on_correlated_vectors(width):
     assert vectors.recall(correlated(3000, 500, width, 8))[0] == 1
