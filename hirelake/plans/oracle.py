@@ -292,6 +292,21 @@ ORACLE_SQL: dict[str, str] = {
                  WHEN 'signup' THEN CAST(today - to_months(k) AS DATE) WHEN 'purchase' THEN CAST(ts AS DATE)
                  ELSE DATE '9999-12-30' END AS date_posted
         FROM posted""",
+    "posted_date_by_language": f"""
+        WITH posted AS (
+          SELECT event_id, event_type, ts, props, CAST(trunc(value) AS INTEGER) % 40 AS k,
+                 CAST(TIMESTAMP '{POSTED_ANCHOR}' AS DATE) AS today FROM events)
+        SELECT event_id,
+               CASE event_type WHEN 'click' THEN 'Veröffentlicht vor ' || k || ' Tagen'
+                 WHEN 'view' THEN 'Publié il y a ' || k || ' semaines et 1 jour'
+                 WHEN 'signup' THEN 'Publicado hace ' || k || ' meses'
+                 WHEN 'purchase' THEN 'Publié le ' || day(ts) || ' ' || (['janvier', 'février', 'mars', 'avril', 'mai',
+                   'juin', 'juillet', 'août', 'septembre', 'octobre', 'novembre', 'décembre'])[month(ts)] || ' ' || year(ts)
+                 ELSE 'Publicado ' || props END AS posted,
+               CASE event_type WHEN 'click' THEN today - k WHEN 'view' THEN today - 7 * k - 1
+                 WHEN 'signup' THEN CAST(today - to_months(k) AS DATE) WHEN 'purchase' THEN CAST(ts AS DATE)
+                 ELSE DATE '9999-12-30' END AS date_posted
+        FROM posted""",
     "truncate_minute": "SELECT event_id, date_trunc('minute', ts) AS minute FROM events",
     "chunk_text": f"""WITH RECURSIVE {CHUNKS}
         SELECT id, CAST(pos AS INTEGER) AS pos, chunk FROM pieces WHERE pos >= 0""",

@@ -227,6 +227,29 @@ def parse_posted_date(spark, folder):
     )
 
 
+@query
+def posted_date_by_language(spark, folder):
+    """Posting texts made from the events in German, French and Spanish: amounts, two amounts, and days of a month."""
+    k = F.col("value").cast("int") % 40
+    # The months' names in French.
+    months = F.array(
+        *map(F.lit, ("janvier", "février", "mars", "avril", "mai", "juin", "juillet", "août", "septembre", "octobre")),
+        *map(F.lit, ("novembre", "décembre")),
+    )
+    named = F.concat(F.dayofmonth("ts"), F.lit(" "), months[F.month("ts") - 1], F.lit(" "), F.year("ts"))
+    posted = (
+        F.when(F.col("event_type") == "click", F.concat(F.lit("Veröffentlicht vor "), k, F.lit(" Tagen")))
+        .when(F.col("event_type") == "view", F.concat(F.lit("Publié il y a "), k, F.lit(" semaines et 1 jour")))
+        .when(F.col("event_type") == "signup", F.concat(F.lit("Publicado hace "), k, F.lit(" meses")))
+        .when(F.col("event_type") == "purchase", F.concat(F.lit("Publié le "), named))
+        .otherwise(F.concat(F.lit("Publicado "), F.col("props")))
+    )
+    anchor = F.lit(POSTED_ANCHOR).cast("timestamp_ntz")
+    return fixtures.arrivals(spark, folder).select(
+        "event_id", posted.alias("posted"), dates.parse_posted_date(posted, anchor).alias("date_posted")
+    )
+
+
 @query
 def truncate_minute(spark, folder):
     return fixtures.arrivals(spark, folder).select("event_id", dates.truncate_minute("ts").alias("minute"))

@@ -50,6 +50,37 @@ def anchor():
         ("Posted 99999999999 days ago", "9999-12-30"),
         ("Posted 1000000 months ago", "9999-12-30"),
         ("Posted 3 apples ago", "9999-12-30"),
+        ("Posted 3d ago", "2024-03-28"),
+        ("Posted 2 weeks, 3 days and an hour ago", "2024-03-13"),
+        ("Posted 900000 days ago", "9999-12-30"),
+        ("Posted 23999 months, 700000 days ago", "9999-12-30"),
+        ("Posted 2024/02/03", "2024-02-03"),
+        ("Posted 2024/02-03", "9999-12-30"),
+        ("Posted 28/02/2024", "2024-02-28"),
+        ("Posted 13.13.2024", "9999-12-30"),
+        ("Posted 30 February 2024", "9999-12-30"),
+        ("Posted May 5", "2023-05-05"),
+        ("Posted 5 nonsense 2024", "9999-12-30"),
+        ("Posted 5th of January 2024 10:30", "2024-01-05"),
+        ("Veröffentlicht vor 3 Tagen", "2024-03-28"),
+        ("Veröffentlicht vor einem Monat", "2024-02-29"),
+        ("Veröffentlicht vor 1 Jahr und 2 Monaten", "2023-01-31"),
+        ("Veröffentlicht gestern", "2024-03-30"),
+        ("Veröffentlicht am 5. März 2024", "2024-03-05"),
+        ("Posted vor 2 Wochen", "2024-03-17"),
+        ("Posted 2 Wochen", "9999-12-30"),
+        ("Publié il y a 3 jours", "2024-03-28"),
+        ("Publié il y a un an", "2023-03-31"),
+        ("Publié il y a plus de 2 semaines et 1 heure", "2024-03-16"),
+        ("Publié aujourd'hui", "2024-03-31"),
+        ("Publié le 1er février 2024", "2024-02-01"),
+        ("Publié le 31 décembre", "2023-12-31"),
+        ("Publicado hace 5 días", "2024-03-26"),
+        ("Publicada hace un mes", "2024-02-29"),
+        ("Publicado hace más de 2 semanas y 3 días", "2024-03-14"),
+        ("Publicado ayer", "2024-03-30"),
+        ("Publicado el 5 de enero de 2024", "2024-01-05"),
+        ("Publicado 5 ago 2023", "2023-08-05"),
         ("", "9999-12-30"),
         (None, "9999-12-30"),
     ],
