@@ -161,11 +161,12 @@ def unescape_entities(text: Column | str) -> Column:
     return F.get(F.transform(F.array(text), whole), F.lit(0))
 
 
-def any_of(terms: Iterable[str], exact: Iterable[str] = ()) -> str:
+def any_of(terms: Iterable[str], exact: Iterable[str] = (), word: str = r"\p{L}\p{N}_", blank: str = " ") -> str:
     """A regular expression for whole words or phrases, as spelled in the text.
 
     ``terms`` match in any letter case; those in ``exact``, which are also words of the language, only
-    as they are written.
+    as they are written. ``word`` are the characters that words consist of, inside a class; none of them
+    touches a match. ``blank`` is the expression that a blank inside a term stands for.
 
     Where several terms begin at one place the longest one matches. Most places of a text are ruled
     out by the first character alone; the others are compared with the terms of one letter only.
@@ -177,18 +178,18 @@ def any_of(terms: Iterable[str], exact: Iterable[str] = ()) -> str:
     alternatives = []
     for first, members in sorted(groups.items()):
         ordered = sorted(members, key=lambda m: (-len(m[0]), m[0]))
-        spelled = "|".join(_spelled(term, only) for term, only in ordered)
+        spelled = "|".join(_spelled(term, only, blank) for term, only in ordered)
         alternatives.append(f"(?=[{_quote(first)}{_quote(first.upper())}])(?:{spelled})")
     firsts = "".join(_quote(c) for first in sorted(groups) for c in sorted({first, first.upper()}))
-    word = r"[\p{L}\p{N}_]"
-    return f"(?=[{firsts}])(?<!{word})(?:{'|'.join(alternatives)})(?!{word})"
+    return f"(?=[{firsts}])(?<![{word}])(?:{'|'.join(alternatives)})(?![{word}])"
 
 
-def _spelled(term: str, exact: bool) -> str:
+def _spelled(term: str, exact: bool, blank: str) -> str:
     """One term; a single letter is none next to an ampersand, as in R&D."""
+    spelled = blank.join(_quote(part) for part in term.split(" "))
     if not exact:
-        return f"(?i:{_quote(term)})"
-    return _quote(term) if len(term) > 1 else f"(?<!&){_quote(term)}(?!&)"
+        return f"(?i:{spelled})"
+    return spelled if len(term) > 1 else f"(?<!&){spelled}(?!&)"
 
 
 def _quote(literal: str) -> str:

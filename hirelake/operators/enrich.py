@@ -46,7 +46,8 @@ EXACT_TOOLS = ("Excel", "Go", "Hive", "Oracle", "R", "SAS", "Spark")
 # What stands for a place that was not found.
 NOT_DEFINED = "Not Defined"
 
-WORD = r"[\p{L}\p{N}_+#]+"
+WORD_SIGNS = r"\p{L}\p{N}_+#"
+WORD = f"[{WORD_SIGNS}]+"
 _PLACE_WORD = r"[\p{L}\p{N}_'.\-]+"
 
 
@@ -105,24 +106,32 @@ def tool_spans(docs: DataFrame, id_col: str, text: Column | str, lexicon: DataFr
 
 
 def tagged_spans(
-    docs: DataFrame, id_col: str, text: str, tools: Sequence[str] = DEFAULT_TOOLS, exact: Sequence[str] | None = None
+    docs: DataFrame,
+    id_col: str,
+    text: str,
+    tools: Sequence[str] = DEFAULT_TOOLS,
+    exact: Sequence[str] | None = None,
+    blank: str = " ",
 ) -> DataFrame:
-    """The tools that ``tools_in`` finds, as spans like those of ``tool_spans``.
+    """The tools that a regular expression like that of ``tools_in`` finds, as spans like those of ``tool_spans``.
 
-    The text before a hit tells how many words come before it: the text is cut at the hits, which keep
-    their order, and the words of the pieces are counted.
+    A tool consists of whole words in the sense of ``tool_spans``, to which + and # belong: "sql###" doesn't
+    name SQL. ``blank`` is the expression for what may stand between the words of a tool; it matches no word.
+    One expression cuts a text into tools and other words, so the place in that list tells the start, but
+    for the further words of the tools before.
     """
     if exact is None:
         exact = EXACT_TOOLS if tools is DEFAULT_TOOLS else ()
-    pattern = F.lit(any_of(tools, exact))
-    words = lambda part: F.regexp_count(part, F.lit(WORD))
-    cut = docs.select(
-        id_col, F.regexp_extract_all(text, pattern, F.lit(0)).alias("_hits"), F.split(text, any_of(tools, exact)).alias("_between")
+    pattern = any_of(tools, exact, WORD_SIGNS, blank)
+    named = docs.where(F.rlike(F.col(text), F.lit(pattern)))
+    # The group is empty where a word is no tool.
+    cut = named.select(id_col, F.regexp_extract_all(text, F.lit(f"({pattern})|{WORD}"), F.lit(1)).alias("_hits"))
+    places = F.transform("_hits", lambda hit, i: F.when(hit != "", F.struct(i.alias("place"), hit.alias("hit"))))
+    each = cut.select(id_col, F.inline(F.filter(places, lambda p: p.isNotNull()))).select(
+        id_col, "place", F.regexp_count("hit", F.lit(WORD)).alias("n_words"), F.lower(F.regexp_replace("hit", blank, " ")).alias("term")
     )
-    pieces = F.transform("_hits", lambda hit, i: F.struct(words(F.col("_between")[i]).alias("gap"), words(hit).alias("n_words"), F.lower(hit).alias("term"), i.alias("place")))
-    each = cut.select(id_col, F.inline(pieces))
     before = W.partitionBy(id_col).orderBy("place").rowsBetween(W.unboundedPreceding, -1)
-    start = F.col("gap") + F.coalesce(F.sum(F.col("gap") + F.col("n_words")).over(before), F.lit(0))
+    start = F.col("place") + F.coalesce(F.sum(F.col("n_words") - 1).over(before), F.lit(0))
     return each.select(id_col, start.cast("int").alias("start"), F.col("n_words").cast("int").alias("n_words"), "term")
 
 

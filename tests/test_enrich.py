@@ -153,6 +153,15 @@ def test_tagged_spans_equal_spans_by_words(rows):
     assert sorted(map(tuple, spans.collect())) == [(1, 0, 2, "a b"), (1, 2, 1, "c"), (1, 3, 2, "a b"), (4, 0, 1, "b")]
 
 
+def test_tagged_tools_are_whole_words(rows):
+    docs = rows("id long, t string", (1, "x a### b c++ a"), (2, "#b a (b, a#b +c"), (3, "a b# c"))
+    terms = ["a b", "a", "b", "c", "c++"]
+    spans = enrich.tool_spans(docs, "id", "t", rows("term string", *[(t,) for t in terms]))
+    tagged = enrich.tagged_spans(docs, "id", "t", terms, blank=f" [^{enrich.WORD_SIGNS}]*")
+    expected = [(1, 2, 1, "b"), (1, 3, 1, "c++"), (1, 4, 1, "a"), (2, 1, 2, "a b"), (3, 0, 1, "a"), (3, 2, 1, "c")]
+    assert sorted(map(tuple, tagged.collect())) == sorted(map(tuple, spans.collect())) == expected
+
+
 def test_a_fitted_classifier_names_the_roles(rows):
     known = rows("title string, role string", ("data engineer", "Data Engineer"), ("etl engineer", "Data Engineer"),
                  ("data analyst", "Data Analyst"), ("bi analyst", "Data Analyst"), ("x", None))
