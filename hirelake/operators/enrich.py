@@ -48,6 +48,8 @@ NOT_DEFINED = "Not Defined"
 
 WORD_SIGNS = r"\p{L}\p{N}_+#"
 WORD = f"[{WORD_SIGNS}]+"
+# Up to so many phrases are looked for inside the array of words, before rows are made; more are joined.
+LOOKED_UP = 4096
 _PLACE_WORD = r"[\p{L}\p{N}_'.\-]+"
 
 
@@ -88,8 +90,7 @@ def tool_spans(docs: DataFrame, id_col: str, text: Column | str, lexicon: DataFr
     the terms, and only hits go on. Where hits overlap the earlier wins, then the longer one.
     """
     terms = _phrases(lexicon, "term", WORD)
-    begun = _phrase_starts(docs, [id_col], F.lower(text), WORD, terms)
-    hits = begun.join(terms, "first").where(F.array_join(F.slice("ahead", F.lit(1), F.col("n_words")), " ") == F.col("phrase"))
+    hits = _phrase_hits(docs, [id_col], F.lower(text), WORD, terms)
     hits = hits.select(id_col, "start", "n_words", F.col("phrase").alias("term"))
     # Hits that touch no earlier one begin a new group: what overlaps is decided within groups only.
     before = W.partitionBy(id_col).orderBy("start", F.desc("n_words"), "term")
@@ -150,18 +151,26 @@ def _phrases(terms: DataFrame, column: str, word: str) -> DataFrame:
     )
 
 
-def _phrase_starts(rows: DataFrame, keep: Sequence[str], text: Column, word: str, phrases: DataFrame) -> DataFrame:
-    """One row per word of a text: its place, itself (``first``) and as many words as a phrase may have.
+def _phrase_hits(rows: DataFrame, keep: Sequence[str], text: Column, word: str, phrases: DataFrame) -> DataFrame:
+    """One row per place of a text and phrase that begins there: ``keep``, start and the phrase's columns.
 
-    How many that are is asked of the phrases, which are few next to the texts.
+    How many words a phrase may have and, up to LOOKED_UP phrases, what they begin with is asked of the
+    phrases, which are few next to the texts: then only words that begin one become rows, and these meet the
+    phrases without being shuffled. Beyond, all words are joined; their rows are never the side sent around,
+    whatever Spark takes their size for.
     """
     longest = phrases.agg(F.max("n_words")).first()[0] or 1
+    some = phrases.select("first").limit(LOOKED_UP + 1).collect()
+    few, firsts = len(some) <= LOOKED_UP, sorted({r["first"] for r in some})
     words = F.regexp_extract_all(text, F.lit(word), F.lit(0))
-    each = F.transform(
-        "_words",
-        lambda w, i: F.struct(i.alias("start"), w.alias("first"), F.slice("_words", i + 1, F.lit(longest)).alias("ahead")),
-    )
-    return rows.select(*keep, words.alias("_words")).select(*keep, F.inline(each))
+    places = F.transform("_words", lambda w, i: F.struct(i.alias("start"), w.alias("first")))
+    if few:
+        places = F.filter(places, lambda p: p["first"].isin(firsts)) if firsts else F.slice(places, 1, 0)
+    ahead = lambda p: F.slice("_words", p["start"] + 1, F.lit(longest))
+    begun = F.transform(places, lambda p: F.struct(p["start"].alias("start"), p["first"].alias("first"), ahead(p).alias("ahead")))
+    each = rows.select(*keep, words.alias("_words")).select(*keep, F.inline(begun))
+    named = each.join(F.broadcast(phrases), "first") if few else each.hint("merge").join(phrases, "first")
+    return named.where(F.array_join(F.slice("ahead", F.lit(1), F.col("n_words")), " ") == F.col("phrase")).drop("ahead")
 
 
 def _without_overlaps(hits: Column) -> Column:
@@ -222,10 +231,7 @@ def _gazetteer_hits(distinct: DataFrame, gazetteer: DataFrame) -> DataFrame:
         F.array_join("_words", " ").alias("phrase"),
     )
     texts = distinct.withColumn("_text", normal("location"))
-    begun = _phrase_starts(texts, ["location", "_text"], F.col("_text"), _PLACE_WORD, places)
-    named = begun.join(places, "first").where(
-        F.array_join(F.slice("ahead", F.lit(1), F.col("n_words")), " ") == F.col("phrase")
-    )
+    named = _phrase_hits(texts, ["location", "_text"], F.col("_text"), _PLACE_WORD, places)
     hit = F.struct(
         (~F.contains(F.col("_text"), F.col("_country"))).alias("elsewhere"),
         "start",

@@ -162,6 +162,19 @@ def test_tagged_tools_are_whole_words(rows):
     assert sorted(map(tuple, tagged.collect())) == sorted(map(tuple, spans.collect())) == expected
 
 
+@pytest.mark.parametrize("looked_up", [4096, 1])
+def test_only_words_that_begin_a_tool_meet_the_lexicon(rows, monkeypatch, looked_up):
+    monkeypatch.setattr(enrich, "LOOKED_UP", looked_up)
+    docs = rows("id long, t string", (1, "x a, b y c### c"), (2, "x y"), (3, None))
+    terms = ["a b", "b", "c"]
+    spans = enrich.tool_spans(docs, "id", "t", rows("term string", *[(t,) for t in terms]))
+    tagged = enrich.tagged_spans(docs, "id", "t", terms, blank=f"[^{enrich.WORD_SIGNS}]+")
+    assert sorted(map(tuple, spans.collect())) == sorted(map(tuple, tagged.collect())) == [(1, 1, 2, "a b"), (1, 5, 1, "c")]
+    # The rows of a text's words are never sent to all tasks: the side that is, is the lexicon.
+    sent = spans._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[1].splitlines()[0]
+    assert ("rightHint=(strategy=broadcast)" in sent) == (looked_up == 4096)
+
+
 def test_a_fitted_classifier_names_the_roles(rows):
     known = rows("title string, role string", ("data engineer", "Data Engineer"), ("etl engineer", "Data Engineer"),
                  ("data analyst", "Data Analyst"), ("bi analyst", "Data Analyst"), ("x", None))
