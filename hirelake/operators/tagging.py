@@ -9,6 +9,9 @@ these words and twelve weights, whatever the number of texts.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,43 +21,56 @@ from pyspark.sql import functions as F
 from hirelake.session import scratch_path
 
 TAGS, BEFORE = ("O", "B", "I"), ("S", "O", "B", "I")  # at equal scores the first tag wins
-# A word with the signs that follow it, the word itself, and what ends a sentence.
-TOKEN, TOKEN_WORD, ENDS = r"[\p{L}\p{N}_+#]+[^\s\p{L}\p{N}_+#]*", r"^[\p{L}\p{N}_+#]+", r"[.!?]"
+# A word, with the signs after it up to one that ends its sentence, if there is one.
+TOKEN = r"[\p{L}\p{N}_+#]+(?:[^\s\x1C-\x1F\x85\p{Z}\p{L}\p{N}_+#.!?]*[.!?])?"
+TOKEN_WORD, ENDS = r"^[\p{L}\p{N}_+#]+", (".", "!", "?")
 # Up to so many words are looked for inside the array of tokens, before rows are made; more are joined.
 LOOKED_UP = 4096
 
 
-def _tokens(text: str) -> Column:
-    return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+def _ends(token: Column) -> Column:
+    """Whether a sentence ends with a token; cheaper than an expression for each token of a text."""
+    return reduce(or_, [F.contains(token, F.lit(sign)) for sign in ENDS])
 
 
-def _word_tokens(docs: DataFrame, id_col: str, text: str, words: DataFrame) -> DataFrame:
-    """Tokens whose lower-cased word is among ``words``: id, pos, word, first and goes_on.
+def _known(words: DataFrame) -> list[str]:
+    """The words, or more than LOOKED_UP of them."""
+    return [r["word"] for r in words.select("word").limit(LOOKED_UP + 1).collect()]
 
-    ``first`` tells that a sentence begins there, ``goes_on`` that another token of it follows.
+
+def _tokens(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """A row per text with an id: id and its tokens in ``_raw``."""
+    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+    return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), tokens.alias("_raw"))
+
+
+def _placed(known: Sequence[str]) -> Column:
+    """The tokens whose lower-cased word is known, of the array ``_raw``: pos, word, first and goes_on.
+
+    ``first`` tells that a sentence begins there, ``goes_on`` that another token of it follows. All tokens
+    are placed if too many words are known to be looked for here.
     """
-    raw = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), _tokens(text).alias("_raw"))
 
-    def begins(i: Column) -> Column:
-        return (i == 0) | F.rlike(F.get("_raw", i - 1), F.lit(ENDS))
+    def word(token: Column) -> Column:
+        return F.lower(F.when(_ends(token), F.regexp_extract(token, TOKEN_WORD, 0)).otherwise(token))
 
-    every = F.transform(
-        "_raw", lambda t, i: F.struct(i.alias("pos"), F.lower(F.regexp_extract(t, TOKEN_WORD, 0)).alias("word"))
-    )
-    known = [r["word"] for r in words.select("word").limit(LOOKED_UP + 1).collect()]
+    every = F.transform("_raw", lambda t, i: F.struct(i.alias("pos"), word(t).alias("word")))
     if len(known) <= LOOKED_UP:
-        every = F.filter(every, lambda t: t["word"].isin(known)) if known else F.slice(every, 1, 0)
-    placed = F.transform(
+        every = F.filter(every, lambda t: t["word"].isin(list(known))) if known else F.slice(every, 1, 0)
+    return F.transform(
         every,
         lambda t: F.struct(
             t["pos"].alias("pos"),
             t["word"].alias("word"),
-            begins(t["pos"]).alias("first"),
-            ((t["pos"] + 1 < F.size("_raw")) & ~begins(t["pos"] + 1)).alias("goes_on"),
+            ((t["pos"] == 0) | _ends(F.get("_raw", t["pos"] - 1))).alias("first"),
+            ((t["pos"] + 1 < F.size("_raw")) & ~_ends(F.get("_raw", t["pos"]))).alias("goes_on"),
         ),
     )
-    found = raw.select("id", F.inline(placed))
-    return found if len(known) <= LOOKED_UP else found.join(words.select("word"), "word")
+
+
+def _with_words(found: DataFrame, words: DataFrame, known: Sequence[str]) -> DataFrame:
+    """Tokens with the columns of their word; few words are sent to all tasks."""
+    return found.join(F.broadcast(words) if len(known) <= LOOKED_UP else words, "word")
 
 
 def _span_words(spans: DataFrame, id_col: str) -> DataFrame:
@@ -88,7 +104,9 @@ class Tagger(NamedTuple):
 
         A NULL or empty text has none. Terms are lower-cased words joined by blanks.
         """
-        seen = _word_tokens(docs, id_col, text, self.words).join(self.words, "word")
+        known = _known(self.words)
+        # The array is made inside inline(): as a column it would be computed once more, by a filter for empty ones.
+        seen = _with_words(_tokens(docs, id_col, text).select("id", F.inline(_placed(known))), self.words, known)
         by_place = W.partitionBy("id").orderBy("pos")
         begins = F.col("first") | F.coalesce(F.lag("pos").over(by_place) != F.col("pos") - 1, F.lit(True))
         parts = seen.withColumn("_part", F.sum(begins.cast("long")).over(by_place))
@@ -152,14 +170,26 @@ def fit_tagger(docs: DataFrame, spans: DataFrame, id_col: str, text: str) -> Tag
     """Learns from texts and the spans (id, start, n_words, term) of the names in them.
 
     Texts and spans without an id don't count. All counts are aggregates, one more than they are. Words are counted by tag, tags by
-    the tag before them. What reaches the driver are thirteen sums.
+    the tag before them. What reaches the driver are thirteen sums. The spans and, unless they are too many, the tokens
+    of the names' words are stored, so each text is read once for them.
     """
     spark = docs.sparkSession
-    named = _span_words(spans, id_col)
     path = scratch_path(spark, "tagger")
+    _span_words(spans, id_col).write.parquet(f"{path}/spans")
+    named = spark.read.parquet(f"{path}/spans")
     named.groupBy("word").agg(*[F.count(F.when(F.col("tag") == t, 1)).alias(f"n{t}") for t in "BI"]).write.parquet(f"{path}/named")
     words = spark.read.parquet(f"{path}/named")
-    seen = _word_tokens(docs, id_col, text, words).join(named.select("id", "pos", "tag"), ["id", "pos"], "left")
+    known = _known(words)
+    raw = _tokens(docs, id_col, text)
+    size = F.size("_raw")
+    ended = F.size(F.filter(F.slice("_raw", 1, F.greatest(size - 1, F.lit(0))), _ends))
+    texts = raw.select("id", size.alias("n_tokens"), (F.least(size, F.lit(1)) + ended).alias("n_first"), _placed(known).alias("placed"))
+    found = raw.select("id", F.inline(_placed(known)))
+    if len(known) <= LOOKED_UP:
+        texts.write.parquet(f"{path}/texts")
+        texts = spark.read.parquet(f"{path}/texts")
+        found = texts.select("id", F.inline("placed"))
+    seen = _with_words(found, words.select("word"), known).join(named.select("id", "pos", "tag"), ["id", "pos"], "left")
     by_place = W.partitionBy("id").orderBy("pos")
     adjacent = F.lag("pos").over(by_place) == F.col("pos") - 1
     tagged = seen.withColumn("tag", F.coalesce("tag", F.lit("O"))).select(
@@ -173,10 +203,7 @@ def fit_tagger(docs: DataFrame, spans: DataFrame, id_col: str, text: str) -> Tag
     counts = spark.read.parquet(f"{path}/counts")
     steps = {(r["before"], r["tag"]): r["n"] for r in counts.groupBy("before", "tag").agg(F.sum("n").alias("n")).collect()}
     leaving = {r["tag"]: r["n"] for r in counts.where("left").groupBy("tag").agg(F.sum("n").alias("n")).collect()}
-    sentence = F.filter("_raw", lambda t, i: (i == 0) | F.rlike(F.get("_raw", i - 1), F.lit(ENDS)))
-    sizes = docs.where(F.col(id_col).isNotNull()).select(_tokens(text).alias("_raw")).agg(
-        F.sum(F.size("_raw")).alias("tokens"), F.sum(F.size(sentence)).alias("first")
-    ).first()
+    sizes = texts.agg(F.sum("n_tokens").alias("tokens"), F.sum("n_first").alias("first")).first()
     tokens, first = sizes["tokens"] or 0, sizes["first"] or 0
     # All other tokens are O: those after a sentence's begin, after a word that names have, after another.
     seen_first = sum(n for (before, _), n in steps.items() if before == "S")

@@ -130,6 +130,11 @@ def descriptions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def raw_descriptions(spark: SparkSession, folder: str) -> DataFrame:
+    """Descriptions as they come, for jobs that read words and don't mind the blanks."""
+    return documents(spark, folder).select(F.col("doc_id").alias("id"), F.col("text").alias("job_description"))
+
+
 def arrivals(spark: SparkSession, folder: str) -> DataFrame:
     """Arriving records: the events."""
     return read_table(spark, folder, "events")

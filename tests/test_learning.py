@@ -4,6 +4,7 @@ import math
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from hirelake import schemas
 from hirelake.operators import batches, enrich, tagging, text_ml
@@ -130,6 +131,19 @@ def test_no_examples(spark):
     assert tagger.spans(spark.createDataFrame(DEV, "id long, text string"), "id", "text").count() == 0
 
 
+def test_texts_are_read_once_for_names_and_once_for_words(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def read(text):
+        reads.add(1)
+        return text
+
+    train = spark.createDataFrame(TRAIN, "id long, text string")
+    docs = train.select("id", F.udf(read, "string").asNondeterministic()("text").alias("text"))
+    tagging.fit_tagger(docs, enrich.tagged_spans(docs, "id", "text", (), TOOLS), "id", "text")
+    assert reads.value <= 2 * len(TRAIN)
+
+
 def sizes(start, stop, compound):
     size = start
     while True:
