@@ -9,12 +9,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hirelake.operators import versions
 from hirelake.operators.keyed import one_per_key, with_whole_key
+from hirelake.session import delete_path, scratch_path
 
 DAY, COUNT = "snap_date", "open_ads"
+_NEW, _RANK = "_new", "_rank"
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    """The rows, written and read back."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def affected_rows(stored: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -51,18 +60,25 @@ def upsert_counted(
     tables are written before either shows the batch. If the job is lost between the two, the next call
     sees from the version numbers that the counts are behind and counts the fact anew.
     """
-    batch = one_per_key(with_whole_key(incoming, keys), keys, order)
     base = versions.current_version(spark, fact_path)
     behind = versions.current_version(spark, counts_path) != base
+    # The batch and the rows that it touches are used several times: they are made once and stored.
+    staged = scratch_path(spark, "upsert")
+    batch = _stored(one_per_key(with_whole_key(incoming, keys), keys, order), f"{staged}/batch")
     stored = versions.read_version(spark, fact_path, base) if base else spark.createDataFrame([], batch.schema)
-    before = affected_rows(stored, batch, keys)
-    after = one_per_key(before.unionByName(batch.select(*stored.columns)), keys, order)
+    old = affected_rows(stored, batch, keys)
+    # Of a stored and a new row the first one wins; a key that is new has no other row.
+    both = old.withColumn(_NEW, F.lit(False)).unionByName(batch.select(*stored.columns).withColumn(_NEW, F.lit(True)))
+    ranked = both.withColumn(_RANK, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+    touched = _stored(ranked.where((F.col(_RANK) == 1) | ~F.col(_NEW)), f"{staged}/touched")
+    before, after = touched.where(~F.col(_NEW)), touched.where(F.col(_RANK) == 1).select(*stored.columns)
     rest = stored.join(batch.select(*keys), list(keys), "left_anti").select(*stored.columns)
     changes = count_changes(before, after, day)
     if behind or not base:
-        old = count_changes(stored.limit(0), stored, day)
+        counted = count_changes(stored.limit(0), stored, day)
     else:
-        old = versions.read_version(spark, counts_path, base)
+        counted = versions.read_version(spark, counts_path, base)
     # Counts have the version number of the fact they count; the fact comes first.
-    tables = {fact_path: rest.unionByName(after), counts_path: changed_counts(old, changes)}
+    tables = {fact_path: rest.unionByName(after), counts_path: changed_counts(counted, changes)}
     versions.publish_all(spark, tables, {fact_path: base, counts_path: base})
+    delete_path(spark, staged)

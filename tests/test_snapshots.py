@@ -51,3 +51,17 @@ def test_counts_that_were_left_behind_are_made_anew(spark, tmp_path):
     versions.publish(spark, versions.read_version(spark, fact), fact)  # a fact whose counts were lost
     snapshots.upsert_counted(spark, fact, counts, spark.createDataFrame(second, ROWS), ["k"], order(), "updated")
     assert found(spark, counts) == counted(first + second)
+
+
+def test_a_batch_is_computed_once(spark, tmp_path):
+    reads, rows = spark.sparkContext.accumulator(0), adverts(random.Random(3), 20)
+
+    def read(key):
+        reads.add(1)
+        return key
+
+    for half in (rows[:10], rows[10:]):
+        batch = spark.createDataFrame(half, ROWS).withColumn("k", F.udf(read, "string").asNondeterministic()("k"))
+        snapshots.upsert_counted(spark, f"{tmp_path}/fact", f"{tmp_path}/counts", batch, ["k"], order(), "updated")
+    assert reads.value <= len(rows)
+    assert found(spark, f"{tmp_path}/counts") == counted(rows)
