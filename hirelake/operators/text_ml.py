@@ -214,5 +214,5 @@ def training_score(entities: DataFrame, categories: DataFrame) -> DataFrame:
     parts = parts.unionByName(
         categories.where("label = 'macro'").select((F.col("f1") * CATEGORY_WEIGHT).alias("part"))
     )
-    # Halves of six digits have seven: nothing is rounded once more.
-    return parts.agg(F.sum(F.col("part").cast("decimal(18,7)")).cast("decimal(18,7)").alias("score"))
+    # Halves of six digits have seven: nothing is rounded once more, and the sum is that of decimals.
+    return parts.agg(F.sum(F.col("part").cast("decimal(18,7)")).cast("double").alias("score"))
