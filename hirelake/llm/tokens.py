@@ -1,11 +1,13 @@
 """Token ids of whole texts by a public tokenizer, computed in Arrow batches.
 
 A tokenizer is slow on text but its vocabulary of words is repetitive: pieces between which the
-tokenizer always cuts are encoded once per worker, in batches, and looked up afterwards.
+tokenizer always cuts are encoded once per worker, in batches, and looked up afterwards. Plain byte-level
+tokenizers are met with arrays: the bytes of many texts are cut, numbered and looked up at once.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -14,6 +16,7 @@ from functools import lru_cache
 from unicodedata import category, is_normalized
 
 import numpy as np
+import pyarrow as pa
 
 # Pieces that a worker keeps between calls; it starts anew when they are more, which changes no result.
 KEPT_PIECES = 3 << 18
@@ -69,6 +72,14 @@ def _drops_white_space(tokenizer) -> bool:
     return not tokenizer.encode(" \n ", add_special_tokens=False).ids
 
 
+def _each(tokenizer, words: list[str]) -> list[bytes]:
+    """The ids of every word, each encoded by itself."""
+    encoded = tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+    raw = np.array(encoded.ids, "<u4").tobytes()
+    bounds = (np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(words) + 1)) * 4).tolist()
+    return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+
+
 class Encoder:
     """Texts to token ids as little-endian unsigned 32-bit integers, equal to encoding each as a whole.
 
@@ -80,7 +91,8 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.kept: dict = {}
+        self.at_once = ByteLevel(path) if _is_byte_level(path) else None
+        self.kept: dict = self.at_once.kept if self.at_once else {}
         self.plain = {chr(c) for c in range(32, 127)} | set("\t\n\r\v\f")
         self.other: set[str] = set()
         self.drops = _drops_white_space(self.tokenizer)
@@ -150,13 +162,20 @@ class Encoder:
                 self.kept[piece] = array(_UINT32, [token.id for token in self.model.tokenize(symbols)]).tobytes()
         for at in range(0, len(others), ENCODED_AT_ONCE):
             some = others[at : at + ENCODED_AT_ONCE]
-            encoded = self.tokenizer.encode([w for _, w in some], is_pretokenized=True, add_special_tokens=False)
-            raw = np.array(encoded.ids, "<u4").tobytes()
-            bounds = (np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(some) + 1)) * 4).tolist()
-            for k, (piece, _) in enumerate(some):
-                self.kept[piece] = raw[bounds[k] : bounds[k + 1]]
+            self.kept.update(zip([piece for piece, _ in some], _each(self.tokenizer, [w for _, w in some])))
+
+    def flat(self, texts: list[bytes | None], end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each text (in UTF-8) has, and the ids of all; the id ``end`` follows each text."""
+        if self.at_once:
+            return self.at_once.flat(texts, end)
+        raw = [ids + end for ids in self.encode([(t or b"").decode() for t in texts])]
+        return np.fromiter(map(len, raw), np.int64, len(raw)) // 4, np.frombuffer(b"".join(raw), "<i4")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        if self.at_once:
+            lengths, ids = self.at_once.flat([(t or "").encode() for t in texts])
+            raw, ends = ids.tobytes(), (np.cumsum(lengths) * 4).tolist()
+            return [raw[a:b] for a, b in zip([0, *ends], ends)]
         cut = [self.pieces(t or "") for t in texts]
         wanted = set().union(*cut)
         missing = wanted - self.kept.keys()
@@ -170,6 +189,159 @@ class Encoder:
                 del self.kept[piece]
         return encoded
 
+# What a byte belongs to; a blank and other ASCII white space differ, for a blank goes with what follows it.
+EDGE, BLANK, SPACE, WIDE_SPACE, LETTER, NUMBER, SIGN, APOSTROPHE = range(8)
+_EDGE = b"\xff"  # never a byte of UTF-8
+
+
+def _cuts() -> np.ndarray:
+    """For the kinds of two neighbours, 8 times the first plus the second: 1 if there is always a cut, 2 if there
+    is one as long as something else than white space follows the second, 0 if there may be none.
+    """
+    white, others = (BLANK, SPACE, WIDE_SPACE), (LETTER, NUMBER, SIGN, APOSTROPHE)
+    cut = np.zeros((8, 8), np.uint8)
+    cut[EDGE], cut[:, EDGE] = 1, 1
+    for a in others:
+        for b in (*white, *others):
+            cut[a, b] = a != b
+        cut[SPACE, a] = 1
+    cut[SIGN, APOSTROPHE] = cut[APOSTROPHE, SIGN] = 0
+    cut[APOSTROPHE, LETTER] = 0  # may be 's, 't and the like
+    # Of several white spaces the last goes with what follows, or is cut from it.
+    cut[BLANK : SPACE + 1, BLANK : SPACE + 1] = 2
+    return cut.ravel()
+
+
+_CUTS = _cuts()
+
+
+def _is_byte_level(path: str) -> bool:
+    """Whether a tokenizer file is byte-level BPE with the usual cuts and with nothing before them."""
+    with open(path, encoding="utf-8") as file:
+        rules = json.load(file)
+    model, cuts = rules["model"], rules["pre_tokenizer"] or {}
+    unusual = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")
+    return (
+        rules["normalizer"] is None and all(token["special"] for token in rules["added_tokens"])
+        and cuts.get("type") == "ByteLevel" and not cuts.get("add_prefix_space") and cuts.get("use_regex", True)
+        and model["type"] == "BPE" and not any(model.get(k) for k in unusual)
+    )
+
+
+class ByteLevel:
+    """Token ids of many texts at once, for tokenizers that ``_is_byte_level`` accepts.
+
+    The tokenizer cuts between letters, numbers, signs and white space, so the kinds of neighbouring bytes
+    tell the cuts; of what kind a character is, the tokenizer says. Arrow numbers the distinct pieces. A new
+    piece is what the model sees as one word and goes to the model itself; pieces with apostrophes or with
+    white space beyond ASCII, inside which there may be cuts, go to the whole tokenizer.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
+
+        self.tokenizer = _tokenizer(path)
+        self.words = Tokenizer.from_file(path)  # takes symbols of bytes, words apart by the edge's
+        self.words.encode_special_tokens = True
+        self.words.pre_tokenizer = CharDelimiterSplit(_EDGE.decode("latin-1"))
+        self.symbols = np.array([_SYMBOLS.get(b, b) for b in range(256)], "<u2")
+        known = self.words.get_vocab(with_added_tokens=False)
+        self.n_bytes = np.zeros(max(known.values()) + 1, np.int64)
+        for token, number in known.items():
+            self.n_bytes[number] = len(token)
+        self.kept: dict[bytes, bytes] = {}
+        self.ascii = np.full(256, LETTER, np.uint8)
+        self.ascii[:128] = [self._kind(chr(c)) for c in range(128)]
+        self.ascii[[32, 39, 255]] = BLANK, APOSTROPHE, EDGE
+        self.beyond = np.full(0x110000, LETTER, np.uint8)  # of characters, once they are met
+        self.letters: set[str] = set()
+        self.others: set[str] = set()
+
+    def _kind(self, character: str) -> int:
+        alone = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        found = [kind for kind, like in ((LETTER, "a"), (NUMBER, "1"), (SIGN, "!")) if len(alone(like + character)) == 1]
+        return found[0] if found else SPACE if character.isascii() else WIDE_SPACE
+
+    def _kinds(self, raw: bytes) -> np.ndarray:
+        """The kind of every byte's character."""
+        read = np.frombuffer(raw, np.uint8)
+        kinds = self.ascii[read]
+        met = set(raw.translate(None, bytes(range(128)) + _EDGE).decode()) - self.letters
+        for c in met - self.others:
+            self.beyond[ord(c)] = self._kind(c)
+            (self.letters if self.beyond[ord(c)] == LETTER else self.others).add(c)
+        if met - self.letters:
+            for first, n, bits in ((0xC0, 2, 0x1F), (0xE0, 3, 0x0F), (0xF0, 4, 0x07)):
+                at = np.flatnonzero((read >= first) & (read <= first + bits))
+                code = read[at].astype(np.int32) & bits
+                for k in range(1, n):
+                    code = code << 6 | (read[at + k] & 0x3F)
+                kind = self.beyond[code]
+                for k in range(n):
+                    kinds[at + k] = kind
+        return kinds
+
+    def _bounds(self, raw: bytes) -> np.ndarray:
+        """Where pieces begin, and the end. ``raw`` ends with an edge."""
+        kinds = self._kinds(raw)
+        cut = _CUTS[kinds[:-1] << 3 | kinds[1:]]
+        doubtful = np.flatnonzero(cut == 2)  # the edge at the end is never
+        cut[doubtful] = kinds[doubtful + 2] >= LETTER
+        # White space right behind such beyond ASCII isn't cut from it, so neither from what follows.
+        behind = np.flatnonzero((kinds[:-2] == WIDE_SPACE) & (kinds[1:-1] == SPACE)) + 1
+        cut[behind] &= kinds[behind + 1] < LETTER
+        return np.r_[0, np.flatnonzero(cut) + 1, len(raw)].astype(np.int32)
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Adds the ids of pieces to those that are kept."""
+        raw = _EDGE.join([*pieces, b""])
+        kinds = self._kinds(raw)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        cut_inside = np.flatnonzero((kinds == APOSTROPHE) | (kinds == WIDE_SPACE))
+        whole = np.ones(len(pieces), bool)
+        whole[np.searchsorted(np.cumsum(sizes + 1), cut_inside, "right")] = False
+        symbols = self.symbols[np.frombuffer(raw, np.uint8)].tobytes().decode("utf-16-le")
+        ids = np.array(self.words.encode_batch_fast([symbols], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.r_[0, np.cumsum(self.n_bytes[ids])]
+        bounds = np.searchsorted(ends, np.r_[0, np.cumsum(sizes)])
+        if ends[-1] != sizes.sum():  # the vocabulary lacks some bytes
+            whole[:] = False
+        packed, bounds = ids.tobytes(), (bounds * 4).tolist()
+        self.kept.update(zip(pieces, [packed[a:b] for a, b in zip(bounds, bounds[1:])]))
+        if not whole.all():
+            others = [pieces[k] for k in np.flatnonzero(~whole).tolist()]
+            self.kept.update(zip(others, _each(self.tokenizer, [p.decode() for p in others])))
+
+    def flat(self, texts: list[bytes | None], end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """As ``Encoder.flat``."""
+        raw = _EDGE.join([*(t or b"" for t in texts), b""])
+        if not raw:
+            return np.zeros(0, np.int64), np.zeros(0, "<i4")
+        bounds = self._bounds(raw)
+        pieces = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(raw)])
+        numbered = pieces.dictionary_encode()
+        distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.kept[_EDGE] = end
+        missing = [p for p in distinct if p not in self.kept]
+        if len(self.kept) + len(missing) > KEPT_PIECES:
+            self.kept.clear()
+            self.kept[_EDGE] = end
+            missing = [p for p in distinct if p != _EDGE]
+        for at in range(0, len(missing), ENCODED_AT_ONCE):
+            self._learn(missing[at : at + ENCODED_AT_ONCE])
+        known = [self.kept[p] for p in distinct]
+        for piece in missing:
+            if len(piece) > LONGEST_KEPT:
+                del self.kept[piece]
+        offsets = np.r_[0, np.cumsum(np.fromiter(map(len, known), np.int64, len(known))) // 4].astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(known), "<i4")))
+        code = numbered.indices
+        found = lists.take(code)
+        edges = np.flatnonzero(code.to_numpy() == distinct.index(_EDGE))
+        ends = found.offsets.to_numpy()[edges + 1].astype(np.int64)
+        return np.diff(ends, prepend=0), found.values.to_numpy()
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
@@ -178,7 +350,7 @@ def encoder(path: str) -> Encoder:
 
 
 def in_lots(texts: list, most: int = 1 << 21) -> Iterable[tuple[int, int]]:
-    """Ranges of texts of about ``most`` characters."""
+    """Ranges of texts of about ``most`` characters, or bytes."""
     start, size = 0, 0
     for at, text in enumerate(texts):
         size += len(text or "")

@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 
@@ -57,6 +58,24 @@ def test_encoder_forgets_without_harm(monkeypatch):
         ]
 
 
+def test_every_neighbourhood_of_kinds():
+    encoder, signs = Encoder(vocabulary("byte_bpe_50k.json")), [" ", "\n", "\u3000", "a", "é", "1", "٣", "!", "—", "'", "s"]
+    texts = ["".join(t) for n in range(5) for t in itertools.product(signs, repeat=n)]
+    lengths, ids = encoder.flat([t.encode() for t in texts], np.array([7], "<u4").tobytes())
+    wanted = [plain("byte_bpe_50k.json", t) + [7] for t in texts]
+    assert lengths.tolist() == [len(w) for w in wanted] and ids.tolist() == [i for w in wanted for i in w]
+    assert [len(x) for x in encoder.flat([])] == [0, 0]
+    assert [x.tolist() for x in encoder.flat([None, b"", None])] == [[0, 0, 0], []]
+
+
+def test_words_are_learnt_once_whatever_signs_touch_them():
+    encoder = Encoder(vocabulary("byte_bpe_50k.json"))
+    text = " ".join(f"{a}wordly{b}" for a in ("", "(", "„", "12") for b in ("", "!", "%%%", "***", ".”", "34"))
+    for _ in range(2):
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == plain("byte_bpe_50k.json", text)
+    assert len([piece for piece in encoder.kept if "wordly" in str(piece)]) == 2 and len(encoder.kept) < 20
+
+
 def check_packed(pieces, wanted, window):
     """``wanted``: (doc_id, ids) of every row; pieces of equal documents may be mixed up."""
     left = {}
